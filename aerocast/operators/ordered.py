@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerocast.session import broadcast_if_small
 
 CHUNK = "_chunk"
 DEFAULT_CHUNK_ROWS = 1_000_000
@@ -45,8 +44,11 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: str,
                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Add ``_chunk``: equal-width time slices per key, ~chunk_rows rows each.
 
-    One small aggregate (min, max, count per key) sizes the slices; it is
-    joined back by broadcast only when its row count is proven small.
+    One small aggregate (min, max, count per key) sizes the slices. It is
+    joined back without a hint: adaptive execution measures the aggregate's
+    materialized size and broadcasts it only below the broadcast threshold,
+    otherwise the join stays a shuffle join (the number of keys has no bound
+    known in advance).
     """
     num = _order_number(df, order)
     stats = (
@@ -66,7 +68,7 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: str,
     for i, k in enumerate(keys):
         c = df[k].eqNullSafe(F.col(f"_key{i}"))
         cond = c if cond is None else cond & c
-    joined = df.join(broadcast_if_small(stats), cond, "left")
+    joined = df.join(stats, cond, "left")
     return joined.withColumn(
         CHUNK, F.floor((num - F.col("_lo")).cast("double") / F.col("_w")).cast("long")
     ).drop(*[f"_key{i}" for i in range(len(keys))], "_lo", "_w")

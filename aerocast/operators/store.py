@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_COLUMNS, STORE_KEY
 from aerocast.operators.ordered import latest_per_key
-from aerocast.session import broadcast_if_small
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -84,14 +83,15 @@ def materialize(snapshot: DataFrame | None, new_rows: DataFrame, key: str = "cit
 def online_lookup(entities: DataFrame, served: DataFrame, key: str = "city",
                   columns: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
     """Served vector per entity row; unknown keys get NULLs. The served
-    table holds one row per key; it is broadcast only when proven small."""
+    table holds one row per key: adaptive execution broadcasts it when its
+    measured size is below the threshold, else a shuffle join is kept."""
     side = served.select(key, *columns)
-    return entities.join(broadcast_if_small(side), key, "left")
+    return entities.join(side, key, "left")
 
 
 def split_supported(df: DataFrame, supported: DataFrame, key: str = "city") -> tuple[DataFrame, DataFrame]:
     """(accepted, refused) rows by membership in the supported-key table."""
-    keys = broadcast_if_small(supported.select(key).distinct())
+    keys = supported.select(key).distinct()
     return df.join(keys, key, "left_semi"), df.join(keys, key, "left_anti")
 
 
@@ -102,4 +102,4 @@ def already_stored(batch: DataFrame, stored: DataFrame, keys: Sequence[str] = ST
 def late_rows(batch: DataFrame, stored: DataFrame, key: str = "city", ts: str = "event_timestamp") -> DataFrame:
     """Rows not newer than their key's last stored time (with that time)."""
     last = stored.groupBy(key).agg(F.max(ts).alias("last_stored"))
-    return batch.join(broadcast_if_small(last), key).where(F.col(ts) <= F.col("last_stored"))
+    return batch.join(last, key).where(F.col(ts) <= F.col("last_stored"))

@@ -103,21 +103,22 @@ def q_ingest_batch(spark, sf_dir):
 def q_stream_ingest(spark, sf_dir):
     prepare(spark)
     root = scratch_path(spark, "stream-ingest")
-    landing, store, status, state, ckpt = (f"{root}/{p}" for p in ("landing", "store", "status", "state", "ckpt"))
+    landing, store, status, state, served, ckpt = (
+        f"{root}/{p}" for p in ("landing", "store", "status", "state", "served", "ckpt"))
     stored = sc.stored(spark, sf_dir)
     seed = ft.hourly_feature_rows(stored.withColumnRenamed("event_timestamp", "timestamp"),
                                   include_targets=False, complete_only=False)
     seed = seed.withColumnRenamed("timestamp", "event_timestamp").select(
         "city", "event_timestamp", F.col("event_timestamp").alias("created_timestamp"), "aqi", *FEATURE_COLUMNS)
-    ig.seed_stream_state(seed, store, state)
+    ig.seed_stream_state(seed, store, state, served)
     parts = sc.batch_parts(spark, sf_dir)
     first = parts["fresh"].unionByName(parts["newcomers"])
     second = parts["twins"].unionByName(parts["replay"]).unionByName(parts["late"])
-    first.write.parquet(f"{landing}/part=1")
-    second.write.parquet(f"{landing}/part=2")
-    schema = first.schema
-    ig.run_ingest_stream(spark, f"{landing}/part=*", store, status, state, ckpt, schema,
-                         created_at="2024-02-01 00:00:00")
+    # two scheduled runs on one checkpoint: each picks up what landed since
+    for part, rows in (("1", first), ("2", second)):
+        rows.write.parquet(f"{landing}/part={part}")
+        ig.run_ingest_stream(spark, f"{landing}/part=*", store, status, state, ckpt, first.schema,
+                             created_at="2024-02-01 00:00:00", served=served)
     out = spark.read.parquet(status).select(*ig.STATUS_COLUMNS[:-1], "status")
     out = out.select("city", "event_timestamp", "seq", "aqi", *RAW_FEATURES, "hour", "month", "day", "day_of_week",
                      "aqi_lag1", "aqi_lag2", "aqi_lag3", "aqi_rolling_mean", "status")

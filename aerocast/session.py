@@ -8,8 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows below which a derived side table may be broadcast. Every use first
-# proves the bound with a LIMITed count; larger sides use a shuffle join.
+# Side tables derived from the data (one row per key, per chunk, ...) have no
+# size bound known in advance, so joins to them carry no broadcast hint:
+# adaptive execution measures each shuffle stage and turns a join into a
+# broadcast join only when the measured side is below this threshold; above
+# it the sort-merge join stays. Explicit broadcasts are used only for sides
+# bounded by construction (one row per contract feature, the model's leaves).
+ADAPTIVE_BROADCAST_BYTES = str(64 * 1024 * 1024)
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -23,6 +28,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", ADAPTIVE_BROADCAST_BYTES)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
@@ -76,5 +82,6 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise a shuffle join."""
+    """Explicit broadcast behind a proven row bound (costs one bounded job);
+    otherwise the plain side, left to adaptive execution."""
     return F.broadcast(df) if is_bounded(df, max_rows) else df

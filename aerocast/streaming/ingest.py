@@ -25,9 +25,8 @@ from aerocast.contract import FEATURE_COLUMNS, MIN_HISTORY_ROWS, RAW_FEATURES
 from aerocast.functions import calendar_columns
 from aerocast.operators.features import rolling_prev3
 from aerocast.operators.ordered import DEFAULT_CHUNK_ROWS, last_n_per_key, shifted
-from aerocast.session import broadcast_if_small
 
-KEY, TS, SEQ = "city", "event_timestamp", "seq"
+KEY, TS, SEQ, DATE = "city", "event_timestamp", "seq", "event_date"
 STATUS_COLUMNS = ["city", "event_timestamp", "seq", "aqi", *FEATURE_COLUMNS, "status"]
 
 
@@ -64,9 +63,16 @@ def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
     Output: ``STATUS_COLUMNS``; features are NULL unless inserted.
     """
     s = summary.select(KEY, "n_stored", "last_ts", "last_rows")
-    b = batch.select(KEY, TS, SEQ, "aqi", *RAW_FEATURES).join(broadcast_if_small(s), KEY, "left")
+    b = batch.select(KEY, TS, SEQ, "aqi", *RAW_FEATURES).join(s, KEY, "left")
     cand = b.where(F.col(TS) <= F.col("last_ts")).select(KEY, TS).distinct()
-    hit = cand.join(stored.select(KEY, TS), [KEY, TS], "left_semi").withColumn("_stored", F.lit(True))
+    if DATE in stored.columns:
+        # the date in the join key lets dynamic partition pruning read only
+        # the store partitions of the candidates' days
+        cand = cand.withColumn(DATE, F.to_date(TS))
+        probe = [KEY, TS, DATE]
+    else:
+        probe = [KEY, TS]
+    hit = cand.join(stored.select(*probe), probe, "left_semi").select(KEY, TS).withColumn("_stored", F.lit(True))
     firsts = b.groupBy(KEY, TS).agg(F.min(SEQ).alias("_first"))
     b = b.join(hit, [KEY, TS], "left").join(firsts, [KEY, TS])
     status = (
@@ -101,14 +107,24 @@ def store_rows(status_rows: DataFrame, created_at) -> DataFrame:
 
 
 def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out: str, state: str,
-                      checkpoint: str, schema: T.StructType, created_at, max_files_per_trigger: int = 1):
-    """Structured Streaming job: landed files -> statuses, store, summary.
+                      checkpoint: str, schema: T.StructType, created_at, max_files_per_trigger: int | None = None,
+                      served: str | None = None):
+    """Structured Streaming job: landed files -> statuses, store, summary,
+    served table.
 
     Each micro-batch reads the summary written by the previous batch and the
     store rows of earlier batches only, so a re-run of a batch after a
-    failure gives the same statuses; store appends are anti-joined on the key
-    and status/summary writes replace the batch's own partition.
+    failure gives the same statuses. Store appends skip keys the batch wrote
+    already; status, summary and served-table writes replace the batch's own
+    partition. The store is partitioned by event day.
+
+    Runs as ``availableNow``: everything landed since the last run is one
+    micro-batch by default (a scheduled run, as the hourly collector), or
+    ``max_files_per_trigger`` files per batch. Files carry no time order, so
+    a row that reaches a key after a newer row of it was stored is ``late``.
     """
+    from aerocast.operators.store import materialize
+
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
@@ -117,21 +133,33 @@ def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out:
         st = ingest_batch(df, summary, earlier).withColumn("batch_id", F.lit(batch_id)).persist()
         new = store_rows(st, created_at)
         already = spark.read.parquet(store).where(F.col("batch_id") == F.lit(batch_id)).select(KEY, TS)
-        (new.join(already, [KEY, TS], "left_anti").withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").partitionBy("batch_id").parquet(store))
+        (new.join(already, [KEY, TS], "left_anti")
+         .withColumns({"batch_id": F.lit(batch_id), DATE: F.to_date(TS)})
+         .write.mode("append").partitionBy(DATE).parquet(store))
         st.write.mode("overwrite").partitionBy("batch_id").parquet(status_out)
         nxt = advance_summary(summary, new.select(KEY, TS, "aqi"))
         nxt.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").parquet(state)
+        if served is not None:
+            prev = spark.read.parquet(served).where(F.col("batch_id") == F.lit(batch_id - 1)).drop("batch_id")
+            (materialize(prev, new).withColumn("batch_id", F.lit(batch_id))
+             .write.mode("overwrite").partitionBy("batch_id").parquet(served))
         st.unpersist()
 
-    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-         .parquet(landing).writeStream.foreachBatch(per_batch)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (reader.parquet(landing).writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
-def seed_stream_state(stored: DataFrame, store: str, state: str) -> None:
-    """Write the initial store (batch -1) and its summary (batch -1)."""
-    stored.withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(store)
+def seed_stream_state(stored: DataFrame, store: str, state: str, served: str | None = None) -> None:
+    """Write the initial store, its summary and served table (batch -1)."""
+    from aerocast.operators.store import latest_rows
+
+    (stored.withColumns({"batch_id": F.lit(-1), DATE: F.to_date(TS)})
+     .write.mode("overwrite").partitionBy(DATE).parquet(store))
     history_summary(stored).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(state)
+    if served is not None:
+        latest_rows(stored).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(served)
