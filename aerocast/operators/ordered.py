@@ -84,68 +84,53 @@ def shifted(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[st
 
     Same values as ``lag(col, j)`` / ``lead(col, j)`` over
     ``Window.partitionBy(*keys).orderBy(order)``; ``order`` must be unique
-    within a key. Only one full shuffle of the data (by key and chunk).
+    within a key.
+
+    Plan: (1) chunk widths from a (key, order) aggregate; (2) on a narrow
+    projection (key, chunk, order, columns) the first ``max_lead`` and last
+    ``max_lag`` rows of every chunk, windowed per key (a few rows per chunk),
+    give each chunk its halo: the rows just before and just after it;
+    (3) the full rows and the halo rows go through ONE window per
+    ``(key, chunk)``, and the halo rows are dropped. The wide rows are
+    shuffled once.
     """
     K, L = max_lag, max_lead
     base_cols = df.columns
     cdf = with_chunks(df, keys, order, chunk_rows)
     part = [*keys, CHUNK]
-    w = Window.partitionBy(*part).orderBy(order)
-    base = cdf.withColumn(_RN, F.row_number().over(w)).withColumn(
-        _CNT, F.count(F.lit(1)).over(Window.partitionBy(*part))
-    )
-    shift_cols = []
-    for c in columns:
-        for j in range(1, K + 1):
-            base = base.withColumn(_shift_name(c, "lag", j), F.lag(c, j).over(w))
-            shift_cols.append((c, "lag", j))
-        for j in range(1, L + 1):
-            base = base.withColumn(_shift_name(c, "lead", j), F.lead(c, j).over(w))
-            shift_cols.append((c, "lead", j))
-    out_cols = base_cols + [_shift_name(c, k, j) for c, k, j in shift_cols]
-
-    in_head = F.col(_RN) <= K
-    in_tail = F.col(_RN) > F.col(_CNT) - L
-    interior = base.where(~in_head & ~in_tail).select(*out_cols)
-
-    # Halo rows: neighbours of each chunk taken from the per-chunk summary.
     carried = [order, *columns]
+    w = Window.partitionBy(*part).orderBy(order)
+    ranked = cdf.select(*part, *carried).withColumn(_RN, F.row_number().over(w)).withColumn(
+        _CNT, F.count(F.lit(1)).over(Window.partitionBy(*part)))
     sw = Window.partitionBy(*keys).orderBy(order)
     halos = []
     if K:
-        tails = base.where(F.col(_RN) > F.col(_CNT) - K).select(*part, *carried, _RN, _CNT)
+        # lags: among the chunk tails, the K rows before each chunk's first tail row
+        tails = ranked.where(F.col(_RN) > F.col(_CNT) - K)
         prev = tails.select(
             *part, _RN, _CNT,
             F.array(*[F.lag(F.struct(*carried), j).over(sw) for j in range(1, K + 1)]).alias("_nb"),
         ).where(F.col(_RN) == F.greatest(F.col(_CNT) - K + 1, F.lit(1)))
         halos.append(prev.select(*part, F.explode("_nb").alias("_r")).where(F.col("_r").isNotNull()))
     if L:
-        heads = base.where(F.col(_RN) <= L).select(*part, *carried, _RN, _CNT)
+        # leads: among the chunk heads, the L rows after each chunk's last head row
+        heads = ranked.where(F.col(_RN) <= L)
         nxt = heads.select(
             *part, _RN, _CNT,
             F.array(*[F.lead(F.struct(*carried), j).over(sw) for j in range(1, L + 1)]).alias("_nb"),
         ).where(F.col(_RN) == F.least(F.col(_CNT), F.lit(L)))
         halos.append(nxt.select(*part, F.explode("_nb").alias("_r")).where(F.col("_r").isNotNull()))
 
-    edge = base.where(in_head | in_tail).withColumn(_HALO, F.lit(False))
-    for c, k, j in shift_cols:
-        edge = edge.withColumnRenamed(_shift_name(c, k, j), "_b" + _shift_name(c, k, j))
-    mixed = edge
+    mixed = cdf.withColumn(_HALO, F.lit(False))
     for h in halos:
         mixed = mixed.unionByName(
             h.select(*part, *[F.col(f"_r.{c}").alias(c) for c in carried], F.lit(True).alias(_HALO)),
-            allowMissingColumns=True,
-        )
-    w2 = Window.partitionBy(*part).orderBy(order)
-    fixed_cols = []
-    for c, k, j in shift_cols:
-        fn = F.lag(c, j) if k == "lag" else F.lead(c, j)
-        use_fix = in_head if k == "lag" else in_tail
-        fixed_cols.append(
-            F.when(use_fix, fn.over(w2)).otherwise(F.col("_b" + _shift_name(c, k, j))).alias(_shift_name(c, k, j))
-        )
-    fixed = mixed.select(*base_cols, _HALO, _RN, _CNT, *fixed_cols).where(~F.col(_HALO)).select(*out_cols)
-    return interior.unionByName(fixed)
+            allowMissingColumns=True)
+    shifts = []
+    for c in columns:
+        shifts += [F.lag(c, j).over(w).alias(_shift_name(c, "lag", j)) for j in range(1, K + 1)]
+        shifts += [F.lead(c, j).over(w).alias(_shift_name(c, "lead", j)) for j in range(1, L + 1)]
+    return mixed.select(*base_cols, _HALO, *shifts).where(~F.col(_HALO)).drop(_HALO)
 
 
 def last_n_per_key(df: DataFrame, keys: Sequence[str], order: str, n: int,
