@@ -53,7 +53,7 @@ def daily_cte(src: str = "obs", name: str = "daily") -> str:
 
 
 def dense_daily_features_cte(daily: str = "daily", name: str = "dfeat") -> str:
-    """Reference-style: dense calendar per key, then positional shifts."""
+    """Dense calendar per key, then positional shifts (an independent formulation)."""
     return f"""{name}_span AS (SELECT city, min(timestamp) AS lo, max(timestamp) AS hi FROM {daily} GROUP BY city),
 {name}_cal AS (SELECT city, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS timestamp FROM {name}_span),
 {name}_dense AS (SELECT c.city, c.timestamp, d.aqi, d.pm10, d.pm2_5, d.carbon_monoxide, d.nitrogen_dioxide,
