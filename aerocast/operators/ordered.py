@@ -137,14 +137,21 @@ def last_n_per_key(df: DataFrame, keys: Sequence[str], order: str, n: int,
                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """The ``n`` latest rows of every key (by ``order``), with ``_rank`` 1..n.
 
-    Two-level top-n: per (key, chunk) first, then per key over at most
-    n rows per chunk, so no task holds a whole key.
+    Only the key's latest chunks that together hold ``n`` rows are read into
+    a window: a per-(key, chunk) count (partial aggregation) picks them, a
+    semi join keeps their rows (the chunk list is small; adaptive execution
+    broadcasts it), and the window runs on those rows only. The history
+    itself is scanned, never shuffled whole.
     """
     cdf = with_chunks(df, keys, order, chunk_rows)
-    wc = Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).desc())
-    cand = cdf.withColumn("_r1", F.row_number().over(wc)).where(F.col("_r1") <= n).drop("_r1")
+    counts = cdf.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_c"))
+    newer = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
+                             .rowsBetween(Window.unboundedPreceding, -1))
+    needed = counts.withColumn("_before", F.coalesce(newer, F.lit(0))).where(F.col("_before") < n) \
+        .select(*keys, CHUNK)
+    recent = cdf.join(needed, [*keys, CHUNK], "left_semi")
     wk = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    return cand.withColumn("_rank", F.row_number().over(wk)).where(F.col("_rank") <= n).drop(CHUNK)
+    return recent.withColumn("_rank", F.row_number().over(wk)).where(F.col("_rank") <= n).drop(CHUNK)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
