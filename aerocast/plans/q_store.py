@@ -259,3 +259,54 @@ def q_pit_join(spark, sf_dir):
         .select("event_id", user.alias("city"), ts.alias("timestamp"))
     out = asof_join(ents, feats, values=["value"], ttl_seconds=PIT_TTL_DAYS * 86400.0)
     return finish(out.select("event_id", "city", "timestamp", "event_timestamp", "value"))
+
+
+# --- C2: collect landed payloads -> guard -> ingest statuses ----------------------
+@query("collect_payloads", f"""
+WITH {sc.SQL},
+ok AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS city FROM customer WHERE c_mktsegment <> 'MACHINERY'),
+acc AS (SELECT * FROM batch WHERE city IN (SELECT city FROM ok)),
+st AS (SELECT city, count(*) AS n_stored, max(event_timestamp) AS last_ts FROM stored GROUP BY city),
+b1 AS (SELECT b.*, st.n_stored, st.last_ts,
+              EXISTS (SELECT 1 FROM stored s WHERE s.city = b.city AND s.event_timestamp = b.event_timestamp) AS in_store,
+              row_number() OVER (PARTITION BY b.city, b.event_timestamp) AS twin
+       FROM acc b LEFT JOIN st ON b.city = st.city),
+b2 AS (SELECT *, CASE WHEN in_store THEN 'duplicate' WHEN coalesce(n_stored, 0) < 3 THEN 'no_history'
+                      WHEN event_timestamp <= last_ts THEN 'late' WHEN twin > 1 THEN 'duplicate'
+                      ELSE 'inserted' END AS status FROM b1),
+hist AS (SELECT city, event_timestamp, aqi FROM stored
+         QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_timestamp DESC) <= 3),
+seqd AS (SELECT city, event_timestamp, aqi, false AS is_new FROM hist
+         UNION ALL SELECT city, event_timestamp, aqi, true FROM b2 WHERE status = 'inserted'),
+lg AS (SELECT city, event_timestamp, is_new, lag(aqi, 1) OVER w AS aqi_lag1, lag(aqi, 2) OVER w AS aqi_lag2,
+              lag(aqi, 3) OVER w AS aqi_lag3,
+              (lag(aqi, 3) OVER w + lag(aqi, 2) OVER w + lag(aqi, 1) OVER w) / 3 AS aqi_rolling_mean
+       FROM seqd WINDOW w AS (PARTITION BY city ORDER BY event_timestamp))
+SELECT b2.city, b2.event_timestamp, b2.aqi, lg.aqi_lag1, lg.aqi_lag2, lg.aqi_lag3,
+       round(lg.aqi_rolling_mean, 6) AS aqi_rolling_mean, b2.status
+FROM b2 LEFT JOIN lg ON lg.is_new AND b2.status = 'inserted' AND lg.city = b2.city
+                    AND lg.event_timestamp = b2.event_timestamp
+UNION ALL
+SELECT city, event_timestamp, aqi, NULL, NULL, NULL, NULL, 'unsupported' FROM batch
+WHERE city NOT IN (SELECT city FROM ok)
+""")
+def q_collect_payloads(spark, sf_dir):
+    from aerocast.plans.collect import collect
+    prepare(spark)
+    path = scratch_path(spark, "collect-payloads")
+    b = sc.batch(spark, sf_dir)
+    comp = F.struct(
+        F.col("carbon_monoxide").alias("co"), F.col("nitrogen_dioxide").alias("no2"), F.col("ozone").alias("o3"),
+        F.col("sulphur_dioxide").alias("so2"), F.col("pm2_5").alias("pm2_5"), F.col("pm10").alias("pm10"))
+    b.select(
+        F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"), "city",
+        F.struct(F.array(F.struct(comp.alias("components"))).alias("list")).alias("air_pollution"),
+    ).write.json(path)
+    ok = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "MACHINERY").select(
+        F.col("c_custkey").cast("string").alias("city"))
+    status, refused = collect(spark, path, sc.stored(spark, sf_dir), ok, multi_line=False)
+    cols = ["city", "event_timestamp", "aqi", "aqi_lag1", "aqi_lag2", "aqi_lag3", "aqi_rolling_mean", "status"]
+    out = status.select(*cols).unionByName(
+        refused.select("city", F.col("timestamp").alias("event_timestamp"), "aqi",
+                       *[F.lit(None).cast("double").alias(c) for c in cols[3:7]], F.lit("unsupported").alias("status")))
+    return finish(out, ["aqi_rolling_mean"])

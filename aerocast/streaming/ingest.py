@@ -5,7 +5,8 @@ Status of each arriving row, tested in this order:
 1. ``duplicate``  - its ``(key, ts)`` is already stored;
 2. ``no_history`` - the key has fewer than 3 stored rows (fail closed);
 3. ``late``       - not newer than the key's last stored time;
-4. ``duplicate``  - an in-batch twin of an earlier-arriving row (by ``seq``);
+4. ``duplicate``  - an in-batch twin of an earlier-arriving row (by ``seq``;
+   exact copies with equal ``seq`` keep one winner);
 5. ``inserted``   - otherwise; its lags come from the key's last 3 stored rows
    followed by the batch's inserted rows in event-time order (each new row is
    history for the next).
@@ -63,7 +64,9 @@ def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
     Output: ``STATUS_COLUMNS``; features are NULL unless inserted.
     """
     s = summary.select(KEY, "n_stored", "last_ts", "last_rows")
-    b = batch.select(KEY, TS, SEQ, "aqi", *RAW_FEATURES).join(s, KEY, "left")
+    # a row id taken at the scan breaks ties between copies with equal seq
+    b = batch.select(KEY, TS, SEQ, "aqi", *RAW_FEATURES).withColumn("_rid", F.monotonically_increasing_id()) \
+        .join(s, KEY, "left")
     cand = b.where(F.col(TS) <= F.col("last_ts")).select(KEY, TS).distinct()
     if DATE in stored.columns:
         # the date in the join key lets dynamic partition pruning read only
@@ -73,13 +76,13 @@ def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
     else:
         probe = [KEY, TS]
     hit = cand.join(stored.select(*probe), probe, "left_semi").select(KEY, TS).withColumn("_stored", F.lit(True))
-    firsts = b.groupBy(KEY, TS).agg(F.min(SEQ).alias("_first"))
+    firsts = b.groupBy(KEY, TS).agg(F.min(F.struct(SEQ, "_rid")).alias("_first"))
     b = b.join(hit, [KEY, TS], "left").join(firsts, [KEY, TS])
     status = (
         F.when(F.col("_stored"), "duplicate")
         .when(F.coalesce(F.col("n_stored"), F.lit(0)) < MIN_HISTORY_ROWS, "no_history")
         .when(F.col(TS) <= F.col("last_ts"), "late")
-        .when(F.col(SEQ) != F.col("_first"), "duplicate")
+        .when(F.struct(SEQ, "_rid") != F.col("_first"), "duplicate")
         .otherwise("inserted")
     )
     b = b.withColumn("status", status)
