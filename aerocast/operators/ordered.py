@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 CHUNK = "_chunk"
 DEFAULT_CHUNK_ROWS = 1_000_000
 
-_RN, _CNT, _ORD, _HALO = "_rn", "_cnt", "_ordnum", "_halo"
+_RN, _CNT, _ORD, _HALO = "__ck_rn", "__ck_cnt", "__ck_ord", "__ck_halo"
 
 
 def _order_number(df: DataFrame, order: str) -> Column:
@@ -40,38 +40,51 @@ def _order_number(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("double")
 
 
-def with_chunks(df: DataFrame, keys: Sequence[str], order: str,
-                chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Add ``_chunk``: equal-width time slices per key, ~chunk_rows rows each.
+SEGMENTS = 32
+_SUB_BITS = 32
+
 
-    One small aggregate (min, max, count per key) sizes the slices. It is
-    joined back without a hint: adaptive execution measures the aggregate's
-    materialized size and broadcasts it only below the broadcast threshold,
+def with_chunks(df: DataFrame, keys: Sequence[str], order: str,
+                chunk_rows: int = DEFAULT_CHUNK_ROWS, segments: int = SEGMENTS) -> DataFrame:
+    """Add ``_chunk``: slices of about ``chunk_rows`` rows per key, in order.
+
+    Two levels, both from one partially-aggregated pass per key (count, min,
+    max and ``segments - 1`` approximate quantiles of the order value):
+    equi-depth segments between the quantiles, so a burst of rows in a short
+    span gets segments of its own, then equal-width sub-chunks inside each
+    segment sized from its ~n/segments rows. ``_chunk`` = segment * 2^32 + sub,
+    increasing with the order value inside a key.
+
+    The stats are joined back without a hint: adaptive execution measures
+    the aggregate and broadcasts it only below the broadcast threshold,
     otherwise the join stays a shuffle join (the number of keys has no bound
     known in advance).
     """
     num = _order_number(df, order)
+    qs = [i / segments for i in range(1, segments)]
     stats = (
         df.select(*keys, num.alias(_ORD))
         .groupBy(*keys)
-        .agg(F.min(_ORD).alias("_lo"), F.max(_ORD).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-        .select(
-            *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
-            F.col("_lo"),
-            F.greatest(
-                F.lit(1.0),
-                F.ceil((F.col("_hi") - F.col("_lo") + 1).cast("double") * chunk_rows / F.col("_n")).cast("double"),
-            ).alias("_w"),
-        )
+        .agg(F.min(_ORD).alias("__ck_lo"), F.max(_ORD).alias("__ck_hi"), F.count(F.lit(1)).alias("__ck_n"),
+             F.percentile_approx(_ORD, qs, 1000).alias("__ck_q"))
+        .select(*[F.col(k).alias(f"__ck_key{i}") for i, k in enumerate(keys)],
+                F.concat(F.array(F.col("__ck_lo")), F.col("__ck_q"), F.array(F.col("__ck_hi"))).alias("__ck_b"), "__ck_n")
     )
     cond = None
     for i, k in enumerate(keys):
-        c = df[k].eqNullSafe(F.col(f"_key{i}"))
+        c = df[k].eqNullSafe(F.col(f"__ck_key{i}"))
         cond = c if cond is None else cond & c
-    joined = df.join(stats, cond, "left")
+    joined = df.join(stats, cond, "left").withColumn(_ORD, num)
+    # segment: number of inner quantiles strictly below the value (0..segments-1)
+    seg = F.size(F.filter(F.slice("__ck_b", 2, segments - 1), lambda b: b < F.col(_ORD)))
+    lo = F.element_at("__ck_b", seg + 1)
+    hi = F.element_at("__ck_b", seg + 2)
+    per_seg = F.greatest(F.col("__ck_n") / segments, F.lit(1.0))
+    width = F.greatest(F.lit(1.0), F.ceil((hi - lo + 1).cast("double") * chunk_rows / per_seg).cast("double"))
+    sub = F.floor((F.col(_ORD) - lo).cast("double") / width).cast("long")
     return joined.withColumn(
-        CHUNK, F.floor((num - F.col("_lo")).cast("double") / F.col("_w")).cast("long")
-    ).drop(*[f"_key{i}" for i in range(len(keys))], "_lo", "_w")
+        CHUNK, seg.cast("long") * (1 << _SUB_BITS) + F.greatest(sub, F.lit(0))
+    ).drop(*[f"__ck_key{i}" for i in range(len(keys))], "__ck_b", "__ck_n", _ORD)
 
 
 def _shift_name(col: str, kind: str, j: int) -> str:

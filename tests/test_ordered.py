@@ -45,3 +45,27 @@ def test_last_n_and_latest(spark):
     assert got.count() == plain.count()
     top = latest_per_key(df, ["city"], ["t"])
     assert sorted(top.collect()) == sorted(plain.where("_rank = 1").drop("_rank").collect())
+
+
+def test_burst_key_is_split(spark):
+    """A key with one row a day for years and a burst of many rows within
+    one minute: no chunk holds much more than the target."""
+    from aerocast.operators.ordered import CHUNK, with_chunks
+    day = 86_400_000_000
+    sparse = [("hot", i * day) for i in range(3000)]
+    burst = [("hot", 1500 * day + i * 60) for i in range(20_000)]
+    df = spark.createDataFrame(sparse + burst, "city string, t long")
+    sizes = [r["count"] for r in with_chunks(df, ["city"], "t", chunk_rows=500).groupBy(CHUNK).count().collect()]
+    assert max(sizes) <= 4 * 500, max(sizes)
+    assert sum(sizes) == 23_000
+
+
+def test_shifted_with_burst_equals_plain(spark):
+    rows = [("k", i * 1000) for i in range(200)] + [("k", 100_000 + i) for i in range(300)] + \
+           [("j", i) for i in range(7)]
+    df = spark.createDataFrame([(k, t, float(t % 97)) for k, t in rows], "city string, t long, v double")
+    w = Window.partitionBy("city").orderBy("t")
+    plain = df.select("city", "t", "v", *[F.lag("v", j).over(w).alias(f"v__lag{j}") for j in (1, 2, 3)],
+                      *[F.lead("v", j).over(w).alias(f"v__lead{j}") for j in (1, 2, 3)])
+    got = shifted(df, ["city"], "t", ["v"], max_lag=3, max_lead=3, chunk_rows=3).select(*plain.columns)
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
