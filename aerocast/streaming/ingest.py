@@ -42,9 +42,11 @@ def history_summary(stored: DataFrame, *, n_last: int = MIN_HISTORY_ROWS,
 
 def advance_summary(summary: DataFrame, inserted: DataFrame, *, n_last: int = MIN_HISTORY_ROWS) -> DataFrame:
     """Summary after appending ``inserted`` (key, event_timestamp, aqi)."""
-    add = inserted.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(TS).alias("_max"),
-        F.sort_array(F.collect_list(F.struct(TS, "aqi")), False).alias("_new"))
+    counts = inserted.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.max(TS).alias("_max"))
+    # at most n_last rows per key reach the array (a hot key is cut first)
+    top = last_n_per_key(inserted.select(KEY, TS, "aqi"), [KEY], TS, n_last)
+    rows = top.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct(TS, "aqi")), False).alias("_new"))
+    add = counts.join(rows, KEY, "left")
     j = summary.join(add, KEY, "full_outer")
     merged = F.concat(F.coalesce(F.col("last_rows"), F.array()),
                       F.coalesce(F.slice(F.col("_new"), 1, n_last), F.array()))

@@ -100,3 +100,14 @@ def test_store_probe_prunes_partitions(spark):
     out = ig.ingest_batch(sc.batch(spark, SF_SMALL), ig.history_summary(stored), st)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
+
+
+def test_advance_summary_equals_recomputed(spark):
+    st = sc.stored(spark, SF_SMALL)
+    out = ig.ingest_batch(sc.batch(spark, SF_SMALL), ig.history_summary(st), st)
+    ins = out.where("status = 'inserted'").select("city", "event_timestamp", "aqi")
+    adv = ig.advance_summary(ig.history_summary(st), ins)
+    full = ig.history_summary(st.select("city", "event_timestamp", "aqi").unionByName(ins))
+    cols = ["city", "n_stored", "last_ts", "last_rows"]
+    assert adv.select(cols).exceptAll(full.select(cols)).count() == 0
+    assert full.select(cols).exceptAll(adv.select(cols)).count() == 0
