@@ -77,11 +77,12 @@ def q_daily_features(spark, sf_dir):
 
 
 # --- W4 on a second table: orders by priority --------------------------------
+_ORD_P = "(o_totalprice * CAST('0.0001414213562373095' AS DOUBLE))"
 _ORD_OBS = f"""obs AS (
   SELECT o_orderpriority AS city, o_orderdate AS timestamp, o_orderkey AS seq,
-         o_totalprice / 7000 AS pm10, o_totalprice / 7000 AS pm2_5, o_totalprice / 7000 AS carbon_monoxide,
-         o_totalprice / 7000 AS nitrogen_dioxide, o_totalprice / 7000 AS sulphur_dioxide,
-         o_totalprice / 7000 AS ozone, {sql_aqi('(o_totalprice / 7000)')} AS aqi
+         {_ORD_P} AS pm10, {_ORD_P} AS pm2_5, {_ORD_P} AS carbon_monoxide,
+         {_ORD_P} AS nitrogen_dioxide, {_ORD_P} AS sulphur_dioxide,
+         {_ORD_P} AS ozone, {sql_aqi(_ORD_P)} AS aqi
   FROM orders)"""
 
 

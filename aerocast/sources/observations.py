@@ -42,10 +42,15 @@ def events_observations(spark: SparkSession, sf_dir: str, by: str = "type") -> D
     )
 
 
+# Fixed value: scale of the orders reading. Not a decimal fraction, so daily
+# means of prices never sit exactly on a rounding tie.
+ORDERS_SCALE = 0.0001414213562373095
+
+
 def orders_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second daily series: ``o_orderpriority`` as key, price as reading."""
     o = table(spark, sf_dir, "orders")
-    p = F.col("o_totalprice") / 7000
+    p = F.col("o_totalprice") * F.lit(ORDERS_SCALE)
     return o.select(
         F.col("o_orderpriority").alias("city"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
