@@ -48,33 +48,36 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: str,
                 chunk_rows: int = DEFAULT_CHUNK_ROWS, segments: int = SEGMENTS) -> DataFrame:
     """Add ``_chunk``: slices of about ``chunk_rows`` rows per key, in order.
 
-    Two levels, both from one partially-aggregated pass per key (count, min,
-    max and ``segments - 1`` approximate quantiles of the order value):
-    equi-depth segments between the quantiles, so a burst of rows in a short
+    Keys with at most ``chunk_rows`` rows are one chunk (0). Larger keys are
+    cut in two levels: equi-depth segments between ``segments - 1``
+    approximate quantiles of the order value, so a burst of rows in a short
     span gets segments of its own, then equal-width sub-chunks inside each
-    segment sized from its ~n/segments rows. ``_chunk`` = segment * 2^32 + sub,
-    increasing with the order value inside a key.
-
-    The stats are joined back without a hint: adaptive execution measures
-    the aggregate and broadcasts it only below the broadcast threshold,
-    otherwise the join stays a shuffle join (the number of keys has no bound
-    known in advance).
+    segment sized from its ~n/segments rows; ``_chunk`` = segment * 2^32 +
+    sub, increasing with the order value inside a key.
+
+    Only large keys get a row in the side table, so it holds at most
+    ``total rows / chunk_rows`` rows - a bound by construction - and is
+    broadcast: the wide rows are never shuffled to attach their chunk.
+    Counts and quantile sketches are partial (map-side) aggregates over the
+    key and order columns only.
     """
     num = _order_number(df, order)
     qs = [i / segments for i in range(1, segments)]
-    stats = (
-        df.select(*keys, num.alias(_ORD))
+    narrow = df.select(*keys, num.alias(_ORD))
+    big = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("__ck_n")).where(F.col("__ck_n") > chunk_rows)
+    side = (
+        narrow.join(F.broadcast(big), list(keys))          # <= rows / chunk_rows keys
         .groupBy(*keys)
-        .agg(F.min(_ORD).alias("__ck_lo"), F.max(_ORD).alias("__ck_hi"), F.count(F.lit(1)).alias("__ck_n"),
+        .agg(F.max("__ck_n").alias("__ck_n"), F.min(_ORD).alias("__ck_lo"), F.max(_ORD).alias("__ck_hi"),
              F.percentile_approx(_ORD, qs, 1000).alias("__ck_q"))
-        .select(*[F.col(k).alias(f"__ck_key{i}") for i, k in enumerate(keys)],
-                F.concat(F.array(F.col("__ck_lo")), F.col("__ck_q"), F.array(F.col("__ck_hi"))).alias("__ck_b"), "__ck_n")
+        .select(*[F.col(k).alias(f"__ck_key{i}") for i, k in enumerate(keys)], "__ck_n",
+                F.concat(F.array(F.col("__ck_lo")), F.col("__ck_q"), F.array(F.col("__ck_hi"))).alias("__ck_b"))
     )
     cond = None
     for i, k in enumerate(keys):
         c = df[k].eqNullSafe(F.col(f"__ck_key{i}"))
         cond = c if cond is None else cond & c
-    joined = df.join(stats, cond, "left").withColumn(_ORD, num)
+    joined = df.join(F.broadcast(side), cond, "left").withColumn(_ORD, num)
     # segment: number of inner quantiles strictly below the value (0..segments-1)
     seg = F.size(F.filter(F.slice("__ck_b", 2, segments - 1), lambda b: b < F.col(_ORD)))
     lo = F.element_at("__ck_b", seg + 1)
@@ -82,9 +85,10 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: str,
     per_seg = F.greatest(F.col("__ck_n") / segments, F.lit(1.0))
     width = F.greatest(F.lit(1.0), F.ceil((hi - lo + 1).cast("double") * chunk_rows / per_seg).cast("double"))
     sub = F.floor((F.col(_ORD) - lo).cast("double") / width).cast("long")
-    return joined.withColumn(
-        CHUNK, seg.cast("long") * (1 << _SUB_BITS) + F.greatest(sub, F.lit(0))
-    ).drop(*[f"__ck_key{i}" for i in range(len(keys))], "__ck_b", "__ck_n", _ORD)
+    chunk = F.when(F.col("__ck_n").isNull(), F.lit(0).cast("long")).otherwise(
+        seg.cast("long") * (1 << _SUB_BITS) + F.greatest(sub, F.lit(0)))
+    return joined.withColumn(CHUNK, chunk).drop(
+        *[f"__ck_key{i}" for i in range(len(keys))], "__ck_b", "__ck_n", _ORD)
 
 
 def _shift_name(col: str, kind: str, j: int) -> str:
