@@ -69,3 +69,27 @@ def test_shifted_with_burst_equals_plain(spark):
                       *[F.lead("v", j).over(w).alias(f"v__lead{j}") for j in (1, 2, 3)])
     got = shifted(df, ["city"], "t", ["v"], max_lag=3, max_lead=3, chunk_rows=3).select(*plain.columns)
     assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+
+
+def test_shifted_property(spark):
+    """Random keys, gaps and chunk sizes: equal to the plain window."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rows_strategy = st.lists(
+        st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 10_000), st.integers(0, 500)),
+        min_size=1, max_size=120, unique_by=lambda r: (r[0], r[1]))
+
+    @settings(max_examples=6, deadline=None)
+    @given(rows_strategy, st.integers(1, 9), st.integers(0, 3), st.integers(0, 3))
+    def check(rows, chunk_rows, lags, leads):
+        df = spark.createDataFrame([(k, t, float(v)) for k, t, v in rows], "city string, t long, v double")
+        w = Window.partitionBy("city").orderBy("t")
+        plain = df.select("city", "t", "v",
+                          *[F.lag("v", j).over(w).alias(f"v__lag{j}") for j in range(1, lags + 1)],
+                          *[F.lead("v", j).over(w).alias(f"v__lead{j}") for j in range(1, leads + 1)])
+        got = shifted(df, ["city"], "t", ["v"], max_lag=lags, max_lead=leads, chunk_rows=chunk_rows)
+        got = got.select(*plain.columns)
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+
+    check()
