@@ -103,3 +103,37 @@ def late_rows(batch: DataFrame, stored: DataFrame, key: str = "city", ts: str =
     """Rows not newer than their key's last stored time (with that time)."""
     last = stored.groupBy(key).agg(F.max(ts).alias("last_stored"))
     return batch.join(last, key).where(F.col(ts) <= F.col("last_stored"))
+
+
+def served_version(spark: SparkSession, root: str) -> int | None:
+    """Current version of a served table (from its pointer), None if none."""
+    try:
+        row = spark.read.schema("version long").json(f"{root.rstrip('/')}/_pointer").first()
+    except Exception as ex:  # noqa: BLE001 - no pointer yet
+        if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
+            raise
+        return None
+    return None if row is None else row["version"]
+
+
+def read_served(spark: SparkSession, root: str) -> DataFrame | None:
+    v = served_version(spark, root)
+    return None if v is None else spark.read.parquet(f"{root.rstrip('/')}/v={v}")
+
+
+def refresh_served(spark: SparkSession, root: str, new_rows: DataFrame, key: str = "city",
+                   ts: str = "event_timestamp", created: str = "created_timestamp") -> int:
+    """Incremental refresh of the served table (latest row per key).
+
+    Plain Parquet has no MERGE: the refreshed snapshot (latest of current
+    snapshot and new rows) is written as a new version folder, then the
+    pointer is moved. Readers of the old version are not disturbed, and a
+    failure before the pointer moves leaves the old version served.
+    """
+    current = served_version(spark, root)
+    prev = None if current is None else spark.read.parquet(f"{root.rstrip('/')}/v={current}")
+    nxt = 0 if current is None else current + 1
+    materialize(prev, new_rows, key, ts, created).write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={nxt}")
+    spark.createDataFrame([(nxt,)], "version long").coalesce(1).write.mode("overwrite").json(
+        f"{root.rstrip('/')}/_pointer")
+    return nxt

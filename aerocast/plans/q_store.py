@@ -161,8 +161,10 @@ def q_materialize_latest(spark, sf_dir):
     prepare(spark)
     r = _reissued(spark, sf_dir)
     cut = F.to_timestamp(F.lit(sc.CUT))
-    snapshot = so.materialize(None, r.where(F.col("created_timestamp") < cut))
-    return finish(so.materialize(snapshot, r.where(F.col("created_timestamp") >= cut)))
+    root = scratch_path(spark, "served")
+    so.refresh_served(spark, root, r.where(F.col("created_timestamp") < cut))    # version 0
+    so.refresh_served(spark, root, r.where(F.col("created_timestamp") >= cut))   # version 1
+    return finish(so.read_served(spark, root))
 
 
 _SERVED_SQL = f"""{obs_cte('user')}, {hourly_cte('obs', name='bf', targets=False, complete=False)},

@@ -111,3 +111,17 @@ def test_advance_summary_equals_recomputed(spark):
     cols = ["city", "n_stored", "last_ts", "last_rows"]
     assert adv.select(cols).exceptAll(full.select(cols)).count() == 0
     assert full.select(cols).exceptAll(adv.select(cols)).count() == 0
+
+
+def test_refresh_served_versions(spark):
+    root = scratch_path(spark, "served")
+    rows = sc.stored(spark, SF_SMALL).withColumn("created_timestamp", F.col("event_timestamp"))
+    early = rows.where(F.col("event_timestamp") < F.lit("2024-01-15").cast("timestamp"))
+    late = rows.where(F.col("event_timestamp") >= F.lit("2024-01-15").cast("timestamp"))
+    assert so.refresh_served(spark, root, early) == 0
+    assert so.refresh_served(spark, root, late) == 1
+    got = so.read_served(spark, root).select("city", "event_timestamp")
+    want = so.latest_rows(rows).select("city", "event_timestamp")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # the old version stays readable
+    assert spark.read.parquet(f"{root}/v=0").count() == early.select("city").distinct().count()
