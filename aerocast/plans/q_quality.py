@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aerocast.contract import FEATURE_COLUMNS, RAW_FEATURES, TARGET_COLUMNS
+from aerocast.contract import FEATURE_COLUMNS, TARGET_COLUMNS
 from aerocast.functions import (
     calendar_columns, json_field, nan_to_null, to_utc_naive, try_number, try_timestamp, version_stamp,
 )
 from aerocast.operators import features as ft
 from aerocast.operators import quality as qc
-from aerocast.operators.ordered import last_n_per_key, latest_per_key
+from aerocast.operators.ordered import latest_per_key
 from aerocast.plans.registry import finish, query
-from aerocast.plans.sqlparts import POLLUTANTS, TARGETS, hourly_cte, obs_cte
+from aerocast.plans.sqlparts import TARGETS, hourly_cte, obs_cte
 from aerocast.session import prepare
 from aerocast.sources.observations import events_observations, table
 
@@ -245,5 +245,3 @@ def q_live_serving_row(spark, sf_dir):
     rows, _refused = serving_rows(history, live)
     return finish(rows.select("city", "timestamp", *FEATURE_COLUMNS), ["aqi_rolling_mean"])
 
-
-__all__ = ["last_n_per_key", "RAW_FEATURES", "POLLUTANTS"]

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from aerocast.contract import FEATURE_COLUMNS, HORIZONS, RAW_FEATURES, TARGET_COLUMNS
+from aerocast.contract import FEATURE_COLUMNS, HORIZONS, RAW_FEATURES
 from aerocast.functions import iso_date, version_stamp
 from aerocast.operators import features as ft
 from aerocast.operators import status as stt
 from aerocast.plans.backfill import backfill_summary, prepare_backfill
 from aerocast.plans.registry import finish, query
 from aerocast.plans.sqlparts import (
-    FEATURES, POLLUTANTS, TARGETS, daily_cte, dense_daily_features_cte, dense_daily_serving_cte, hourly_cte,
+    FEATURES, POLLUTANTS, daily_cte, dense_daily_features_cte, dense_daily_serving_cte, hourly_cte,
     obs_cte, r6,
 )
 from aerocast.session import prepare, scratch_path
@@ -318,5 +317,3 @@ def q_importance_report_csv(spark, sf_dir):
     return back.select("feature", F.col("mean_abs_shap").cast("double").alias("mean_abs_shap"),
                        "model_version", "horizon")
 
-
-__all__ = ["Window", "TARGET_COLUMNS", "TARGETS"]
