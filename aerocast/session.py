@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Side tables derived from the data (one row per key, per chunk, ...) have no
 # size bound known in advance, so joins to them carry no broadcast hint:
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 # it the sort-merge join stays. Explicit broadcasts are used only for sides
 # bounded by construction (one row per contract feature, the model's leaves).
 ADAPTIVE_BROADCAST_BYTES = str(64 * 1024 * 1024)
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "aerocast",
@@ -79,9 +77,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
     return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Explicit broadcast behind a proven row bound (costs one bounded job);
-    otherwise the plain side, left to adaptive execution."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
