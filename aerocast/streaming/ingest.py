@@ -26,6 +26,7 @@ from aerocast.contract import FEATURE_COLUMNS, MIN_HISTORY_ROWS, RAW_FEATURES
 from aerocast.functions import calendar_columns
 from aerocast.operators.features import rolling_prev3
 from aerocast.operators.ordered import DEFAULT_CHUNK_ROWS, last_n_per_key, shifted
+from aerocast.session import shared_root
 
 KEY, TS, SEQ, DATE = "city", "event_timestamp", "seq", "event_date"
 STATUS_COLUMNS = ["city", "event_timestamp", "seq", "aqi", *FEATURE_COLUMNS, "status"]
@@ -64,8 +65,14 @@ def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
 
     ``stored`` is only probed for rows not newer than their key's last time.
     Output: ``STATUS_COLUMNS``; features are NULL unless inserted.
+
+    The summary (one row per key) and the status-annotated batch are each
+    used by several branches of the plan; both are checkpointed to the
+    shared checkpoint folder (two small eager jobs), so the sources are read
+    once and the arrival tie-break ids are fixed once.
     """
-    s = summary.select(KEY, "n_stored", "last_ts", "last_rows")
+    shared_root(batch.sparkSession)
+    s = summary.select(KEY, "n_stored", "last_ts", "last_rows").checkpoint()
     # a row id taken at the scan breaks ties between copies with equal seq
     b = batch.select(KEY, TS, SEQ, "aqi", *RAW_FEATURES).withColumn("_rid", F.monotonically_increasing_id()) \
         .join(s, KEY, "left")
@@ -87,7 +94,7 @@ def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
         .when(F.struct(SEQ, "_rid") != F.col("_first"), "duplicate")
         .otherwise("inserted")
     )
-    b = b.withColumn("status", status)
+    b = b.withColumn("status", status).checkpoint()
     ins = b.where(F.col("status") == "inserted")
 
     prior = s.select(KEY, F.explode("last_rows").alias("_r")).select(
