@@ -59,20 +59,14 @@ def advance_summary(summary: DataFrame, inserted: DataFrame, *, n_last: int = MI
     ).select(KEY, "n_stored", "last_ts", F.sort_array("_top").alias("last_rows"))
 
 
-def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
-                 created_at=None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Status rows for ``batch`` (key, event_timestamp, seq, aqi, pollutants).
+def batch_status(batch: DataFrame, summary: DataFrame, stored: DataFrame) -> DataFrame:
+    """Batch rows with their key's summary and ``status`` (rules 1-5).
 
-    ``stored`` is only probed for rows not newer than their key's last time.
-    Output: ``STATUS_COLUMNS``; features are NULL unless inserted.
-
-    The summary (one row per key) and the status-annotated batch are each
-    used by several branches of the plan; both are checkpointed to the
-    shared checkpoint folder (two small eager jobs), so the sources are read
-    once and the arrival tie-break ids are fixed once.
+    Only rows not newer than their key's last time probe ``stored``; when
+    the store has ``event_date``, the date joins too, so dynamic partition
+    pruning reads only the candidates' days.
     """
-    shared_root(batch.sparkSession)
-    s = summary.select(KEY, "n_stored", "last_ts", "last_rows").checkpoint()
+    s = summary.select(KEY, "n_stored", "last_ts", "last_rows")
     # a row id taken at the scan breaks ties between copies with equal seq
     b = batch.select(KEY, TS, SEQ, "aqi", *RAW_FEATURES).withColumn("_rid", F.monotonically_increasing_id()) \
         .join(s, KEY, "left")
@@ -94,7 +88,23 @@ def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
         .when(F.struct(SEQ, "_rid") != F.col("_first"), "duplicate")
         .otherwise("inserted")
     )
-    b = b.withColumn("status", status).checkpoint()
+    return b.withColumn("status", status)
+
+
+def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
+                 created_at=None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Status rows for ``batch`` (key, event_timestamp, seq, aqi, pollutants).
+
+    Output: ``STATUS_COLUMNS``; features are NULL unless inserted.
+
+    The summary (one row per key) and the status-annotated batch are each
+    used by several branches of the plan; both are checkpointed to the
+    shared checkpoint folder (two small eager jobs), so the sources are read
+    once and the arrival tie-break ids are fixed once.
+    """
+    shared_root(batch.sparkSession)
+    s = summary.select(KEY, "n_stored", "last_ts", "last_rows").checkpoint()
+    b = batch_status(batch, s, stored).checkpoint()
     ins = b.where(F.col("status") == "inserted")
 
     prior = s.select(KEY, F.explode("last_rows").alias("_r")).select(

@@ -97,7 +97,7 @@ def test_store_probe_prunes_partitions(spark):
     stored = sc.stored(spark, SF_SMALL)
     stored.withColumn("event_date", F.to_date("event_timestamp")).write.partitionBy("event_date").parquet(root)
     st = spark.read.parquet(root)
-    out = ig.ingest_batch(sc.batch(spark, SF_SMALL), ig.history_summary(stored), st)
+    out = ig.batch_status(sc.batch(spark, SF_SMALL), ig.history_summary(stored), st)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
 
