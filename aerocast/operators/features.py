@@ -63,12 +63,18 @@ def complete_rows(df: DataFrame, *, include_targets: bool = True, extra: Sequenc
     return df.na.drop(subset=subset)
 
 
-def daily_mean(obs: DataFrame, *, key: str = "city", ts: str = "timestamp") -> DataFrame:
+def daily_mean(obs: DataFrame, *, key: str = "city", ts: str = "timestamp",
+               include_open_day: bool = True, as_of=None) -> DataFrame:
     """One row per key and UTC day: mean of aqi and the six pollutants.
 
     A hash aggregate with map-side partial sums, so hot keys are reduced
-    before the shuffle.
+    before the shuffle. By default the day still open counts as a full day
+    (as the contract does); with ``include_open_day=False`` the days not yet
+    closed at ``as_of`` (an instant; default: now) are left out.
     """
+    if not include_open_day:
+        cut = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+        obs = obs.where(F.col(ts) < F.date_trunc("day", cut))
     return (
         obs.groupBy(F.col(key), floor_day(ts).alias(ts))
         .agg(*[F.avg(c).alias(c) for c in ["aqi", *RAW_FEATURES]])
