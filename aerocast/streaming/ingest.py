@@ -92,7 +92,8 @@ def batch_status(batch: DataFrame, summary: DataFrame, stored: DataFrame) -> Dat
 
 
 def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
-                 created_at=None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                 created_at=None, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                 summary_is_table: bool = False) -> DataFrame:
     """Status rows for ``batch`` (key, event_timestamp, seq, aqi, pollutants).
 
     Output: ``STATUS_COLUMNS``; features are NULL unless inserted.
@@ -103,7 +104,9 @@ def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
     once and the arrival tie-break ids are fixed once.
     """
     shared_root(batch.sparkSession)
-    s = summary.select(KEY, "n_stored", "last_ts", "last_rows").checkpoint()
+    s = summary.select(KEY, "n_stored", "last_ts", "last_rows")
+    if not summary_is_table:          # a written table needs no second copy
+        s = s.checkpoint()
     b = batch_status(batch, s, stored).checkpoint()
     ins = b.where(F.col("status") == "inserted")
 
@@ -152,7 +155,8 @@ def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out:
     def per_batch(df: DataFrame, batch_id: int) -> None:
         summary = spark.read.parquet(state).where(F.col("batch_id") == F.lit(batch_id - 1)).drop("batch_id")
         earlier = spark.read.parquet(store).where(F.col("batch_id") < F.lit(batch_id))
-        st = ingest_batch(df, summary, earlier).withColumn("batch_id", F.lit(batch_id)).persist()
+        st = ingest_batch(df, summary, earlier, summary_is_table=True).withColumn(
+            "batch_id", F.lit(batch_id)).persist()
         new = store_rows(st, created_at)
         already = spark.read.parquet(store).where(F.col("batch_id") == F.lit(batch_id)).select(KEY, TS)
         (new.join(already, [KEY, TS], "left_anti")
