@@ -93,3 +93,52 @@ def test_shifted_property(spark):
         assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
 
     check()
+
+
+def test_asof_join_matches_pandas_merge_asof(spark):
+    """Random entity and feature rows, tiny chunks: equal to pandas
+    merge_asof (backward, per key) after keeping the latest created row per
+    (key, event time), with the TTL applied."""
+    import pandas as pd
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from aerocast.operators.joins import asof_join
+
+    feats_s = st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 300), st.integers(0, 2),
+                                 st.integers(0, 99)), min_size=0, max_size=60,
+                        unique_by=lambda r: (r[0], r[1], r[2]))
+    ents_s = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 320)), min_size=1, max_size=40)
+
+    @settings(max_examples=5, deadline=None)
+    @given(feats_s, ents_s, st.integers(1, 7), st.integers(5, 200))
+    def check(feats, ents, chunk_rows, ttl):
+        base = pd.Timestamp("2026-01-01", tz="UTC")
+        fp = pd.DataFrame(feats, columns=["city", "t", "c", "value"])
+        fp["event_timestamp"] = base + pd.to_timedelta(fp["t"], unit="s")
+        fp["created_timestamp"] = base + pd.to_timedelta(fp["t"] + fp["c"], unit="s")
+        fp["value"] = fp["value"].astype(float)
+        ep = pd.DataFrame([(i, k, t) for i, (k, t) in enumerate(ents)], columns=["eid", "city", "t"])
+        ep["timestamp"] = base + pd.to_timedelta(ep["t"], unit="s")
+        fschema = "city string, event_timestamp timestamp, created_timestamp timestamp, value double"
+        fdf = spark.createDataFrame(fp[["city", "event_timestamp", "created_timestamp", "value"]], fschema) \
+            if len(fp) else spark.createDataFrame([], fschema)
+        edf = spark.createDataFrame(ep[["eid", "city", "timestamp"]], "eid long, city string, timestamp timestamp")
+        got = asof_join(edf, fdf, values=["value"], ttl_seconds=float(ttl), chunk_rows=chunk_rows) \
+            .select("eid", "value").toPandas().set_index("eid")["value"].sort_index()
+        # brute force
+        want = {}
+        for _, e in ep.iterrows():
+            cand = fp[(fp.city == e.city) & (fp.event_timestamp <= e.timestamp)]
+            v = None
+            if len(cand):
+                last_t = cand.event_timestamp.max()
+                top = cand[cand.event_timestamp == last_t].sort_values("created_timestamp").iloc[-1]
+                if (e.timestamp - last_t).total_seconds() <= ttl:
+                    v = top.value
+            want[e.eid] = v
+        for eid, v in want.items():
+            g = got.loc[eid]
+            assert (v is None and pd.isna(g)) or g == v, (eid, g, v)
+
+    check()
