@@ -186,6 +186,8 @@ def seed_stream_state(stored: DataFrame, store: str, state: str, served: str | N
 
     (stored.withColumns({"batch_id": F.lit(-1), DATE: F.to_date(TS)})
      .write.mode("overwrite").partitionBy(DATE).parquet(store))
-    history_summary(stored).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(state)
+    # summary and served table come from the written store (read once each)
+    written = stored.sparkSession.read.parquet(store).drop("batch_id", DATE)
+    history_summary(written).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(state)
     if served is not None:
-        latest_rows(stored).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(served)
+        latest_rows(written).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(served)
