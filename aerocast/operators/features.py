@@ -22,7 +22,7 @@ from aerocast.contract import (
     TRAIN_FRACTION_NUM,
 )
 from aerocast.functions import calendar_columns, floor_day
-from aerocast.operators.ordered import DEFAULT_CHUNK_ROWS, latest_per_key, shifted
+from aerocast.operators.ordered import latest_per_key, shifted
 
 
 def rolling_prev3(l1, l2, l3):
@@ -32,7 +32,7 @@ def rolling_prev3(l1, l2, l3):
 
 def hourly_feature_rows(obs: DataFrame, *, key: str = "city", ts: str = "timestamp",
                         include_targets: bool = True, complete_only: bool = True,
-                        chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                        chunk_rows: int | None = None) -> DataFrame:
     """Positional features per key, ordered by ``ts`` (unique per key).
 
     Output: key, ts, aqi, the 14 features (contract order) and, if asked, the

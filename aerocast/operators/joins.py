@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_TTL_DAYS
-from aerocast.operators.ordered import CHUNK, DEFAULT_CHUNK_ROWS, latest_per_key, with_chunks
+from aerocast.operators.ordered import CHUNK, latest_per_key, with_chunks
 
 
 def asof_join(entities: DataFrame, features: DataFrame, *, key: str = "city",
               entity_ts: str = "timestamp", feature_ts: str = "event_timestamp",
               created: str | None = "created_timestamp", values: Sequence[str] = (),
               ttl_seconds: float | None = FEATURE_TTL_DAYS * 86400.0,
-              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+              chunk_rows: int | None = None) -> DataFrame:
     """Entity rows plus ``feature_ts`` and ``values`` of the matched row.
 
     Unmatched rows (no earlier feature row, or older than the TTL) keep NULLs.

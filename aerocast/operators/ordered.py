@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 DEFAULT_CHUNK_ROWS = 1_000_000
+# Session setting for the chunk size, used when a call passes none.
+CHUNK_ROWS_CONF = "aerocast.chunkRows"
 
 _RN, _CNT, _ORD, _HALO = "__ck_rn", "__ck_cnt", "__ck_ord", "__ck_halo"
 
@@ -40,12 +42,20 @@ def _order_number(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("double")
 
 
+def resolve_chunk_rows(df: DataFrame, chunk_rows: int | None) -> int:
+    """The explicit value, else the session's ``aerocast.chunkRows``, else 1M."""
+    if chunk_rows is not None:
+        return int(chunk_rows)
+    value = df.sparkSession.conf.get(CHUNK_ROWS_CONF, None)
+    return int(value) if value else DEFAULT_CHUNK_ROWS
+
+
 SEGMENTS = 32
 _SUB_BITS = 32
 
 
 def with_chunks(df: DataFrame, keys: Sequence[str], order: str,
-                chunk_rows: int = DEFAULT_CHUNK_ROWS, segments: int = SEGMENTS) -> DataFrame:
+                chunk_rows: int | None = None, segments: int = SEGMENTS) -> DataFrame:
     """Add ``_chunk``: slices of about ``chunk_rows`` rows per key, in order.
 
     Keys with at most ``chunk_rows`` rows are one chunk (0). Larger keys are
@@ -61,6 +71,7 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: str,
     Counts and quantile sketches are partial (map-side) aggregates over the
     key and order columns only.
     """
+    chunk_rows = resolve_chunk_rows(df, chunk_rows)
     num = _order_number(df, order)
     qs = [i / segments for i in range(1, segments)]
     narrow = df.select(*keys, num.alias(_ORD))
@@ -96,7 +107,7 @@ def _shift_name(col: str, kind: str, j: int) -> str:
 
 
 def shifted(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],
-            max_lag: int = 3, max_lead: int = 0, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+            max_lag: int = 3, max_lead: int = 0, chunk_rows: int | None = None) -> DataFrame:
     """Add ``<col>__lag<j>`` (j=1..max_lag) and ``<col>__lead<j>`` per key.
 
     Same values as ``lag(col, j)`` / ``lead(col, j)`` over
@@ -151,7 +162,7 @@ def shifted(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[st
 
 
 def last_n_per_key(df: DataFrame, keys: Sequence[str], order: str, n: int,
-                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                   chunk_rows: int | None = None) -> DataFrame:
     """The ``n`` latest rows of every key (by ``order``), with ``_rank`` 1..n.
 
     Only the key's latest chunks that together hold ``n`` rows are read into

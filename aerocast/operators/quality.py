@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from aerocast.contract import RAW_FEATURES, DataQualityError, assert_required_columns
 from aerocast.functions import try_number
-from aerocast.operators.ordered import DEFAULT_CHUNK_ROWS, shifted
+from aerocast.operators.ordered import shifted
 
 RULES = ("invalid_timestamp", "duplicate_timestamp", "out_of_order", "invalid_value", "negative_value")
 MESSAGES = {
@@ -41,7 +41,7 @@ def coerce(df: DataFrame, *, ts: str = "timestamp", require_aqi: bool = True) ->
 
 
 def flag_rows(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: str = "seq",
-              require_aqi: bool = True, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+              require_aqi: bool = True, chunk_rows: int | None = None) -> DataFrame:
     """Coerced rows plus one boolean column per rule and ``bad_columns``.
 
     ``seq`` is the arrival order (a DataFrame has none of its own).

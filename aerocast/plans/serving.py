@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_COLUMNS, MIN_HISTORY_ROWS, RAW_FEATURES
 from aerocast.operators import features as ft
-from aerocast.operators.ordered import DEFAULT_CHUNK_ROWS, last_n_per_key
+from aerocast.operators.ordered import last_n_per_key
 
 
 def serving_rows(history: DataFrame, live: DataFrame, *, key: str = "city", ts: str = "timestamp",
-                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+                 chunk_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, refused) for live observations (one or more per key).
 
     Only the last 3 history rows of each key are read back (two-level top-n),

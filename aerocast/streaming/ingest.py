@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from aerocast.contract import FEATURE_COLUMNS, MIN_HISTORY_ROWS, RAW_FEATURES
 from aerocast.functions import calendar_columns
 from aerocast.operators.features import rolling_prev3
-from aerocast.operators.ordered import DEFAULT_CHUNK_ROWS, last_n_per_key, shifted
+from aerocast.operators.ordered import last_n_per_key, shifted
 from aerocast.session import shared_root
 
 KEY, TS, SEQ, DATE = "city", "event_timestamp", "seq", "event_date"
@@ -33,7 +33,7 @@ STATUS_COLUMNS = ["city", "event_timestamp", "seq", "aqi", *FEATURE_COLUMNS, "st
 
 
 def history_summary(stored: DataFrame, *, n_last: int = MIN_HISTORY_ROWS,
-                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                    chunk_rows: int | None = None) -> DataFrame:
     """Per key: stored row count, last event time, last ``n_last`` (ts, aqi)."""
     counts = stored.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_stored"), F.max(TS).alias("last_ts"))
     last = last_n_per_key(stored.select(KEY, TS, "aqi"), [KEY], TS, n_last, chunk_rows)
@@ -92,7 +92,7 @@ def batch_status(batch: DataFrame, summary: DataFrame, stored: DataFrame) -> Dat
 
 
 def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
-                 created_at=None, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                 created_at=None, chunk_rows: int | None = None,
                  summary_is_table: bool = False) -> DataFrame:
     """Status rows for ``batch`` (key, event_timestamp, seq, aqi, pollutants).
 

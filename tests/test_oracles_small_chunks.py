@@ -1,10 +1,8 @@
-"""Every oracle query again, with every chunk-size default forced to 20 rows,
+"""Every oracle query again, with the session's chunk size set to 20 rows,
 so each key spans several chunks and the halo, carry-in and large-key paths
 run inside the real query plans."""
 
-import inspect
 import os
-import sys
 
 import duckdb
 import pytest
@@ -16,23 +14,23 @@ from tools.check_oracles import TABLES, rows_of
 QUERIES = entry_mod.queries()
 ORACLES = entry_mod.oracle_sql()
 SMALL = 20
-DEFAULT = 1_000_000
 
 
 @pytest.fixture(scope="module", autouse=True)
-def small_chunks():
-    saved = []
-    for name, mod in list(sys.modules.items()):
-        if not name.startswith("aerocast"):
-            continue
-        for _, fn in inspect.getmembers(mod, inspect.isfunction):
-            if fn.__defaults__ and DEFAULT in fn.__defaults__:
-                saved.append((fn, "__defaults__", fn.__defaults__))
-                fn.__defaults__ = tuple(SMALL if v == DEFAULT else v for v in fn.__defaults__)
-    assert saved, "no chunk_rows defaults found"
+def small_chunks(spark):
+    from aerocast.operators.ordered import CHUNK_ROWS_CONF
+
+    spark.conf.set(CHUNK_ROWS_CONF, str(SMALL))
+    from aerocast.operators.ordered import CHUNK, with_chunks
+    from aerocast.sources.observations import events_observations
+
+    obs = events_observations(spark, SF_SMALL, "type")
+    from pyspark.sql import functions as F
+
+    per_key = with_chunks(obs, ["city"], "timestamp").groupBy("city").agg(F.countDistinct(CHUNK).alias("n"))
+    assert per_key.agg(F.min("n")).first()[0] > 5   # the setting is honoured
     yield
-    for fn, attr, value in saved:
-        setattr(fn, attr, value)
+    spark.conf.unset(CHUNK_ROWS_CONF)
 
 
 @pytest.fixture(scope="module")
