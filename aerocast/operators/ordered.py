@@ -2,8 +2,9 @@
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to
 one task; with one key holding a third of the data that task is the job. Here
-each key's time line is cut into chunks of about ``chunk_rows`` rows (chunk
-width is derived per key from its count and span), windows run per
+each key's time line is cut into chunks of about ``chunk_rows`` rows (small
+keys are one chunk; large keys get equi-depth segments from approximate
+quantiles, then equal-width chunks inside each segment), windows run per
 ``(key, chunk)``, and the few rows that need neighbours from another chunk get
 them from a small per-chunk summary:
 
@@ -114,7 +115,7 @@ def shifted(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[st
     ``Window.partitionBy(*keys).orderBy(order)``; ``order`` must be unique
     within a key.
 
-    Plan: (1) chunk widths from a (key, order) aggregate; (2) on a narrow
+    Plan: (1) chunks from partial aggregates over (key, order); (2) on a narrow
     projection (key, chunk, order, columns) the first ``max_lead`` and last
     ``max_lag`` rows of every chunk, windowed per key (a few rows per chunk),
     give each chunk its halo: the rows just before and just after it;
