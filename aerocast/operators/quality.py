@@ -82,26 +82,48 @@ def violations(df: DataFrame, **kw) -> DataFrame:
     return stacked.where(F.col("rule").isNotNull())
 
 
-def report(df: DataFrame, *, key: str = "city", **kw) -> DataFrame:
-    """Counts per key: rows and rows breaking each rule (one pass)."""
-    f = flag_rows(df, key=key, **kw)
-    return f.groupBy(key).agg(
+def report(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: str = "seq",
+           require_aqi: bool = True, chunk_rows: int | None = None) -> DataFrame:
+    """Counts per key: rows and rows breaking each rule.
+
+    No wide row is shuffled: the row-local rules are one partial aggregate
+    over the scan; duplicates (an aggregate on ``(key, ts)``) and arrival
+    order (a chunked lag over ``seq``) read only ``key, seq, ts``; the three
+    per-key results are joined.
+    """
+    assert_required_columns(df.columns, require_aqi=require_aqi, ts_col=ts)
+    raw_cols = value_columns(require_aqi)
+    c = coerce(df.select(key, seq, ts, *raw_cols), ts=ts, require_aqi=require_aqi)
+    bad = F.greatest(*[F.col(x).isNull() for x in raw_cols])
+    neg = F.coalesce(F.greatest(*[F.col(x) < 0 for x in raw_cols]), F.lit(False))
+    local = c.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count(F.when(F.col(r), 1)).alias(r) for r in RULES],
+        F.count(F.when(F.col(ts).isNull(), 1)).alias("invalid_timestamp"),
+        F.count(F.when(bad, 1)).alias("invalid_value"),
+        F.count(F.when(neg, 1)).alias("negative_value"),
     )
+    narrow = c.select(key, seq, ts)
+    dups = (narrow.where(F.col(ts).isNotNull()).groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
+            .where("_n > 1").groupBy(key).agg(F.sum("_n").alias("duplicate_timestamp")))
+    order = (shifted(narrow, [key], seq, [ts], max_lag=1, chunk_rows=chunk_rows).groupBy(key)
+             .agg(F.count(F.when(F.col(ts) < F.col(f"{ts}__lag1"), 1)).alias("out_of_order")))
+    out = local.join(dups, key, "left").join(order, key, "left")
+    return out.select(key, "n_rows", *[F.coalesce(F.col(r), F.lit(0)).cast("long").alias(r) for r in RULES])
 
 
 def enforce(df: DataFrame, **kw) -> DataFrame:
     """Raise the contract error when any rule fails; else the coerced rows.
 
-    One aggregate action; rules are tested in the contract's order.
+    One aggregate job over the per-key report; rules are tested in the
+    contract's order.
     """
-    f = flag_rows(df, **kw)
-    totals = f.agg(*[F.count(F.when(F.col(r), 1)).alias(r) for r in RULES]).first()
+    rep = report(df, **kw)
+    totals = rep.agg(*[F.sum(r).alias(r) for r in RULES]).first()
     for r in RULES:
         if totals[r]:
             column = ""
             if r in ("invalid_value", "negative_value"):
+                f = flag_rows(df, **kw)
                 column = f.where(F.col(r)).select(F.col("bad_columns")[0]).first()[0]
             raise DataQualityError(MESSAGES[r].format(column=column))
     ts = kw.get("ts", "timestamp")
