@@ -72,6 +72,20 @@ def flag_rows(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: s
     )
 
 
+def out_of_order(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: str = "seq",
+                 chunk_rows: int | None = None) -> DataFrame:
+    """Rows (key, seq, ts) whose time is before the previous arrival's.
+
+    Reads only the three columns; text timestamps are parsed (bad -> NULL,
+    never out of order).
+    """
+    t = df.schema[ts].dataType
+    ts_col = F.col(ts) if isinstance(t, T.TimestampType) else F.try_to_timestamp(F.col(ts).cast("string"))
+    narrow = df.select(key, seq, ts_col.alias(ts))
+    sh = shifted(narrow, [key], seq, [ts], max_lag=1, chunk_rows=chunk_rows)
+    return sh.where(F.col(ts) < F.col(f"{ts}__lag1")).select(key, seq, ts)
+
+
 def violations(df: DataFrame, **kw) -> DataFrame:
     """Long form: one row per (key, seq, rule)."""
     key = kw.get("key", "city")

@@ -75,8 +75,7 @@ SELECT city, seq, ts AS timestamp FROM f WHERE out_of_order
 """)
 def q_out_of_order_rows(spark, sf_dir):
     prepare(spark)
-    f = qc.flag_rows(_raw_defects(spark, sf_dir))
-    return finish(f.where("out_of_order").select("city", "seq", "timestamp"))
+    return finish(qc.out_of_order(_raw_defects(spark, sf_dir)))
 
 
 @query("key_violations", f"""
