@@ -52,11 +52,14 @@ def flag_rows(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: s
     c = coerce(raw, ts=ts, require_aqi=require_aqi)
     c = c.withColumns({f"_neg_{x}": F.col(x) < 0 for x in raw_cols})
     c = c.withColumns({f"_bad_{x}": F.col(x).isNull() for x in raw_cols})
-    # duplicates: aggregate on (key, ts), joined back (AQE splits a hot key)
-    dups = c.where(F.col(ts).isNotNull()).groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    c = c.join(dups, [key, ts], "left")
-    # arrival order: previous timestamp by seq within the key
-    c = shifted(c, [key], seq, [ts], max_lag=1, chunk_rows=chunk_rows)
+    # duplicate and order flags on the narrow (key, seq, ts) projection, then
+    # joined back once on (key, seq): one shuffle of the wide rows
+    narrow = c.select(key, seq, ts)
+    dups = narrow.where(F.col(ts).isNotNull()).groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    flags = shifted(narrow.join(dups, [key, ts], "left"), [key], seq, [ts], max_lag=1, chunk_rows=chunk_rows) \
+        .select(key, seq, F.col("_n").isNotNull().alias("_dup"),
+                F.coalesce(F.col(ts) < F.col(f"{ts}__lag1"), F.lit(False)).alias("_ooo"))
+    c = c.join(flags, [key, seq], "left")
     bad_cols = F.filter(
         F.array(*[F.when(F.col(f"_bad_{x}") | F.coalesce(F.col(f"_neg_{x}"), F.lit(False)), F.lit(x)) for x in raw_cols]),
         lambda v: v.isNotNull(),
@@ -64,8 +67,8 @@ def flag_rows(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: s
     return c.select(
         key, seq, ts, *raw_cols,
         F.col(ts).isNull().alias("invalid_timestamp"),
-        F.col("_n").isNotNull().alias("duplicate_timestamp"),
-        F.coalesce(F.col(ts) < F.col(f"{ts}__lag1"), F.lit(False)).alias("out_of_order"),
+        F.coalesce(F.col("_dup"), F.lit(False)).alias("duplicate_timestamp"),
+        F.coalesce(F.col("_ooo"), F.lit(False)).alias("out_of_order"),
         F.greatest(*[F.col(f"_bad_{x}") for x in raw_cols]).alias("invalid_value"),
         F.coalesce(F.greatest(*[F.col(f"_neg_{x}") for x in raw_cols]), F.lit(False)).alias("negative_value"),
         bad_cols.alias("bad_columns"),
