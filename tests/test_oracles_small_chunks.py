@@ -7,12 +7,12 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry_mod
+from aerocast.plans import catalog
 from conftest import SF_SMALL
 from tools.check_oracles import TABLES, rows_of
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 SMALL = 20
 
 
