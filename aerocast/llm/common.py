@@ -19,7 +19,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocast.llm import textarrays as ta
@@ -40,21 +40,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back (lineage is cut)."""
     spark = df.sparkSession
     path = f"{shared_root(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # the shuffle files of this job serve no later one
+    switch = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(switch, "false")
+    spark.conf.set(switch, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(switch, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucket_count(docs: DataFrame, column: str = "text") -> int:
-    """Buckets of about BUCKET_BYTES of text; grows with the table."""
-    total = docs.select(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0
-    return max(1, round(total / BUCKET_BYTES))
+def bucket_count(docs: DataFrame, most: int | None = None) -> int:
+    """Buckets of about ``most`` (BUCKET_BYTES) bytes of text; grows with the table."""
+    total = docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return max(1, round(total / (most or BUCKET_BYTES)))
 
 
-def packed_buckets(docs: DataFrame, n_buckets: int, extra: tuple[str, ...] = ()) -> DataFrame:
-    """(bucket, row, doc_id, z, extra columns): texts compressed, dealt by id.
+def bucket_of(n_buckets: int, spread: Column | int = 0) -> Column:
+    """The bucket of ``doc_id``; rows with a null id are spread by another value."""
+    salt = F.when(F.isnull("doc_id"), spread if isinstance(spread, Column) else F.lit(spread)).otherwise(F.lit(0)).cast("long")
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long"), salt), F.lit(n_buckets)).cast("int")
+
 
-    ``row`` orders rows with equal or null ids inside a bucket, so that each
-    step sees the rows of a bucket in the same order."""
+def packed_buckets(docs: DataFrame, n_buckets: int, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(bucket, doc_id, extra columns, z): texts compressed, dealt by id."""
     keep = ["doc_id", "text", *extra]
     src = docs.select(*keep)
     kinds = ", ".join(f"{c} {src.schema[c].dataType.simpleString()}" for c in ("doc_id", *extra))
@@ -67,8 +77,7 @@ def packed_buckets(docs: DataFrame, n_buckets: int, extra: tuple[str, ...] = ())
             yield pa.RecordBatch.from_arrays([*cols, ta.pack(texts)], [*names, "z"])
 
     return (src.mapInArrow(squeeze, f"{kinds}, z binary")
-            .withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.crc32("z") % F.lit(64) * F.isnull("doc_id").cast("int")),
-                                         F.lit(n_buckets)).cast("int"))
+            .withColumn("bucket", bucket_of(n_buckets, F.crc32("z")))
             .select("bucket", "doc_id", *extra, "z"))
 
 
