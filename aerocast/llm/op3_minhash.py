@@ -9,12 +9,15 @@ every table with probability 2 * (1 - 0.8**HALF)**BANDS = 2e-4.
 
 Links are confirmed on full sets, made anew from the texts. Not all pairs of a
 table's bucket are tried: in each of STAR_ROUNDS rounds every bucket compares
-its members with one centre (the least member outside the components of earlier
-centres), then components are joined. What is left then, pairs of members of
-one bucket in different components that no round has compared, is compared
-exactly too: blocks of minhashes are held against each other inside a task, and
-pairs that agree in MIN_AGREE of them are confirmed on full sets (a pair at 0.8
-falls below with probability 1e-5). Buckets above WIDE members are first
+its members with one centre (the least member first, then one chosen by a hash
+that differs by round and table) unless they are in its component already, and
+components are joined. Members of a family of copies share many tables, so each
+meets many centres at the cost of one comparison per bucket. What is left then,
+pairs of one bucket in different components, is searched whole: sketches of
+SKETCH further minhashes, 8 bits each, are held against each other in blocks
+inside a task, and the pairs that agree in MIN_AGREE of them are confirmed on
+full sets (a pair at 0.8 falls below with probability 3e-5). A pair is listed
+by the first table only that has it. Buckets above WIDE members are first
 divided by a third sub-signature, each member under every one of them.
 
 Edge cases: a text with fewer than four words is one shingle of all its words;
@@ -40,13 +43,13 @@ SHINGLE = 4
 SHARE = (80, 100)  # 100 * intersection >= 80 * union
 BANDS, HALF = 9, 2
 HASHES = 2 * BANDS * HALF
-STAR_ROUNDS = 2
-MIN_AGREE = 19
+STAR_ROUNDS = 4
+SKETCH, MIN_AGREE = 256, 179
 WIDE = 2000
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
-_salt = ta.mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
-FACTOR, ADD = _salt[:HASHES] | np.uint64(1), _salt[HASHES:]
+_salt = ta.mix(np.arange(1, 2 * (HASHES + SKETCH) + 1, dtype=np.uint64)).reshape(2, -1)
+FACTOR, ADD = _salt[0] | np.uint64(1), _salt[1]  # the first HASHES for tables, the others for sketches
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -72,8 +75,17 @@ def minhashes(d: np.ndarray, h: np.ndarray) -> np.ndarray:
     """One row of HASHES values for each document that occurs in ``d``."""
     first = np.flatnonzero(np.diff(d, prepend=-1))
     out = np.empty((len(first), HASHES), np.uint32)
-    for i in range(HASHES):
-        out[:, i] = np.minimum.reduceat(h * FACTOR[i] + ADD[i], first) >> np.uint64(32) if len(first) else 0
+    for i in range(HASHES if len(first) else 0):
+        out[:, i] = np.minimum.reduceat(h * FACTOR[i] + ADD[i], first) >> np.uint64(32)
+    return out
+
+
+def sketches(d: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Low bytes of SKETCH further minhashes of each document that occurs in ``d``."""
+    first = np.flatnonzero(np.diff(d, prepend=-1))
+    out = np.empty((len(first), SKETCH), np.uint8)
+    for i in range(SKETCH if len(first) else 0):
+        out[:, i] = (ta.mix(np.minimum.reduceat(h * FACTOR[HASHES + i] + ADD[HASHES + i], first)) & np.uint64(255))
     return out
 
 
@@ -123,42 +135,52 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").filter("doc_id is not null").mapInArrow(run, "doc_id bigint, z binary")
 
 
+def keys_of(sub: np.ndarray) -> np.ndarray:
+    """Keys of all tables, table i * BANDS + j in that column."""
+    pairs = ta.mix(sub[:, :BANDS])[:, :, None] + sub[:, None, BANDS:]
+    return ta.mix(pairs.reshape(len(sub), -1) + np.arange(BANDS * BANDS, dtype=np.uint64) * np.uint64(ta.R))
+
+
+def table_of(key: np.ndarray, sub: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two sub-signatures that made each key."""
+    at = (keys_of(sub) == key[:, None]).argmax(1)
+    return at // BANDS, at % BANDS
+
+
 def table_keys(nodes: DataFrame) -> DataFrame:
     """(key, doc_id): BANDS squared keys of each node, from pairs of sub-signatures."""
     def run(batches):
-        number = np.arange(BANDS * BANDS, dtype=np.uint64) * np.uint64(ta.R)
         for b in batches:
             for at in range(0, b.num_rows, 2000):
                 part = b.slice(at, 2000)
-                sub = sub_signatures(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(-1, HASHES))
-                pairs = ta.mix(sub[:, :BANDS])[:, :, None] + sub[:, None, BANDS:]
-                keys = ta.mix(pairs.reshape(len(sub), -1) + number)
+                keys = keys_of(sub_signatures(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(-1, HASHES)))
                 yield pa.RecordBatch.from_arrays(
                     [signed(keys.ravel()), pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), BANDS * BANDS))], names=["key", "doc_id"])
 
     return nodes.select("doc_id", "sig").mapInArrow(run, "key bigint, doc_id bigint")
 
 
+def pairwise(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Whether text i of ``left`` and text i of ``right`` (bytes, offsets) are similar enough."""
+    n = len(left[1]) - 1
+    sets = [shingle_sets(*x) for x in (left, right)]
+    d, h = (np.concatenate(x) for x in zip(*sets, strict=True))
+    order = np.lexsort((h, d))
+    d, h = d[order], h[order]
+    same = (d[1:] == d[:-1]) & (h[1:] == h[:-1])
+    both = np.bincount(d[1:][same], minlength=n)
+    either = np.bincount(d, minlength=n) - both
+    return (both > 0) & (SHARE[1] * both >= SHARE[0] * either)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     def run(batches):
         for b in batches:
-            left, lo_off = ta.unpack(b.column(2))
-            right, ro_off = ta.unpack(b.column(3))
-            ok = np.zeros(b.num_rows, bool)
-            for lo, hi in ta.slices(lo_off + ro_off):
-                sets = []
-                for buf, off in ((left, lo_off), (right, ro_off)):
-                    sets.append(shingle_sets(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]))
-                d, h = (np.concatenate(x) for x in zip(*sets, strict=True))
-                order = np.lexsort((h, d))
-                d, h = d[order], h[order]
-                same = (d[1:] == d[:-1]) & (h[1:] == h[:-1])
-                both = np.bincount(d[1:][same], minlength=hi - lo)
-                either = np.bincount(d, minlength=hi - lo) - both
-                ok[lo:hi] = (both > 0) & (SHARE[1] * both >= SHARE[0] * either)
-            keep = pa.array(ok)
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                keep = pa.array(pairwise(ta.unpack(part.column(2)), ta.unpack(part.column(3))))
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], names=["a", "b"])
 
     with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb")), "b")
     with_both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za")), "a")
@@ -174,44 +196,86 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
                    .select("doc_id", F.coalesce("component", "comp").alias("comp")), "labels")
 
 
-def uncompared(groups: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket in different components that agree in at
-    least MIN_AGREE minhashes. Buckets with several components only."""
-    mixed = groups.filter("size > 2").join(labels, "doc_id")
-    several = mixed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members")).filter("x != y")
-    members = (mixed.join(several.select("key", "members"), "key").select("key", "members", "doc_id", "comp")
-               .join(nodes.select("doc_id", "sig"), "doc_id"))
+def mixed(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, doc_id, comp, size) of the buckets whose members are in several components."""
+    named = groups.filter("size > 2").join(labels, "doc_id")
+    several = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
+    return named.join(several, "key").select("key", "doc_id", "comp", "size")
+
+
+def star_pairs(members: DataFrame, nth: int) -> DataFrame:
+    """Each member with its bucket's centre of this round, if their components differ."""
+    order = F.xxhash64("key", "doc_id", F.lit(nth))
+    centre = members.groupBy("key").agg(F.min(order).alias("o"))
+    centres = members.join(centre, "key").filter(order == F.col("o")).select("key", F.col("doc_id").alias("a"), F.col("comp").alias("ca"))
+    return (members.join(centres, "key").filter("comp != ca")
+            .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct())
+
+
+def left_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs (a, b) of one bucket in different components whose sketches
+    agree in MIN_AGREE places or more, each listed once."""
+    def sketch(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                d, h = shingle_sets(*ta.unpack(part.column(1)))
+                sub = sub_signatures(minhashes(d, h))
+                yield pa.RecordBatch.from_arrays(  # all of these have shingles
+                    [part.column(0), pa.array([x.tobytes() for x in sub], pa.binary()), pa.array([x.tobytes() for x in sketches(d, h)], pa.binary())],
+                    names=["doc_id", "sub", "sketch"])
 
     def divide(batches):
+        """Members of wide buckets under each further sub-signature (``third``)."""
         for b in batches:
-            sub = sub_signatures(np.frombuffer(b"".join(b.column(4).to_pylist()), np.uint32).reshape(-1, HASHES))
+            sub = np.frombuffer(b"".join(b.column(4).to_pylist()), np.uint64).reshape(-1, 2 * BANDS)
             key, wide = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy() > WIDE
             times = np.where(wide, 2 * BANDS, 1)
             row = np.repeat(np.arange(len(key)), times)
-            nth = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-            finer = ta.mix(key[row] + ta.mix(sub[row, nth] + nth.astype(np.uint64)))
+            third = np.where(wide[row], np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times), -1)
+            finer = ta.mix(key[row] + ta.mix(sub[row, third] + third.astype(np.uint64)))
+            # dividing by a sub-signature of the table itself would divide nothing
+            i, j = table_of(key, sub)
+            keep = (third < 0) | ((third != i[row]) & (third != j[row] + BANDS))
+            row, third, finer = row[keep], third[keep], finer[keep]
+            take = lambda c: b.column(c).take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [signed(np.where(wide[row], finer, key[row])), b.column(2).take(pa.array(row)), b.column(3).take(pa.array(row)), b.column(4).take(pa.array(row))],
-                names=["key", "doc_id", "comp", "sig"])
+                [signed(np.where(third < 0, key[row], finer)), pa.array(third.astype(np.int32)), take(0), take(2), take(3), take(4), take(5)],
+                names=["part", "third", "key", "doc_id", "comp", "sub", "sketch"])
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, comp = table.column("doc_id").to_numpy(), table.column("comp").to_numpy()
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
-        a, b = [], []
-        step = 256
+        comp = table.column("comp").to_numpy()
+        order = np.argsort(comp, kind="stable")  # members of one component lie together
+        table, comp = table.take(pa.array(order)), comp[order]
+        ids, third = table.column("doc_id").to_numpy(), int(table.column("third")[0].as_py())
+        sub = np.frombuffer(b"".join(table.column("sub").to_pylist()), np.uint64).reshape(-1, 2 * BANDS)
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        i0, j0 = (int(x[0]) for x in table_of(table.column("key").to_numpy()[:1].view(np.uint64), sub[:1]))
+        a, b, step = [ids[:0]], [ids[:0]], 256
         for i in range(0, len(ids), step):
             for j in range(i, len(ids), step):
-                agree = np.zeros((len(ids[i:i + step]), len(ids[j:j + step])), np.uint8)
-                for k in range(HASHES):
-                    agree += sig[i:i + step, None, k] == sig[None, j:j + step, k]
+                if comp[i] == comp[min(j + step, len(ids)) - 1]:
+                    continue
+                agree = np.zeros((len(ids[i:i + step]), len(ids[j:j + step])), np.uint16)
+                for k in range(SKETCH):
+                    agree += sketch[i:i + step, None, k] == sketch[None, j:j + step, k]
                 x, y = np.nonzero((agree >= MIN_AGREE) & (comp[i:i + step, None] != comp[None, j:j + step]))
-                a.append(ids[i + x])
-                b.append(ids[j + y])
+                x, y = x[i + x < j + y] + i, y[i + x < j + y] + j
+                equal = sub[x] == sub[y]
+                first = (equal[:, :BANDS].argmax(1) == i0) & (equal[:, BANDS:].argmax(1) == j0)
+                if third >= 0:
+                    equal[:, [i0, BANDS + j0]] = False
+                    first &= equal.argmax(1) == third
+                a.append(ids[x[first]])
+                b.append(ids[y[first]])
         a, b = np.concatenate(a), np.concatenate(b)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    parts = members.select("key", "members", "doc_id", "comp", "sig").mapInArrow(divide, "key bigint, doc_id bigint, comp bigint, sig binary")
-    return parts.groupBy("key").applyInArrow(compare, "a bigint, b bigint").distinct()
+    wanted = members.select("doc_id").distinct()
+    known = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "z").mapInArrow(sketch, "doc_id bigint, sub binary, sketch binary")
+    parts = (members.join(known, "doc_id").select("key", "size", "doc_id", "comp", "sub", "sketch")
+             .mapInArrow(divide, "part bigint, third int, key bigint, doc_id bigint, comp bigint, sub binary, sketch binary"))
+    return parts.groupBy("part").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -227,16 +291,11 @@ def near_components(docs: DataFrame) -> DataFrame:
     labels = written(groups.select("doc_id").distinct().withColumn("comp", F.col("doc_id")), "labels")
     texts = written(_packed(docs).join(labels.select("doc_id"), "doc_id", "left_semi"), "texts")
     pairs = groups.filter("centre != doc_id").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    for _ in range(STAR_ROUNDS):
-        labels = joined(labels, confirmed(pairs, texts))
-        named = groups.filter("size > 2").join(labels, "doc_id")
-        first = named.groupBy("key").agg(F.min("comp").alias("c0"))
-        rest = named.join(first, "key").filter("comp != c0")
-        centre = rest.groupBy("key").agg(F.min("doc_id").alias("a"), F.min_by("comp", "doc_id").alias("ca"))
-        pairs = rest.join(centre, "key").filter("comp != ca").select(
-            F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
-    left = uncompared(groups, labels, nodes)
-    labels = joined(labels, confirmed(left, texts))
+    labels = joined(labels, confirmed(pairs, texts))
+    for nth in range(1, STAR_ROUNDS):
+        labels = joined(labels, confirmed(star_pairs(mixed(groups, labels), nth), texts))
+    members = written(mixed(groups, labels), "mixed")
+    labels = joined(labels, confirmed(left_pairs(members, texts), texts))
     same = base.filter("n_shingles > 0 and doc_id is not null").join(sets, ["s1", "s2", "n_shingles"]).select("doc_id", "node").distinct()
     links = (same.filter("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
              .unionByName(labels.filter("doc_id != comp").select(F.col("doc_id").alias("a"), F.col("comp").alias("b"))))
