@@ -3,7 +3,9 @@
 A rolling hash over words cuts every text at places that depend only on the
 words around them, so passages shared by documents give equal chunks wherever
 they stand. A chunk is encoded once in a task and its ids are reused (a bounded
-cache of digests). Each join of two chunks is then checked: the words on both
+cache of digests). A new chunk is put together from its words, which no token of
+this kind of vocabulary crosses: the ids of recent words are kept too, and the
+library encodes those that are new. Each join of two chunks is then checked: the words on both
 sides are encoded together, and the result must be the tail of the left ids
 followed by the head of the right ids. Where it isn't, the two chunks become
 one, are encoded anew, and the next join is checked, until all joins agree.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +33,10 @@ from aerocast.llm import textarrays as ta
 from aerocast.llm.common import documents
 from aerocast.llm.registry import query
 
-CHUNK_WORDS = 48       # mean words of a chunk
+CHUNK_WORDS = 64       # mean words of a chunk
 CUT_WORDS = 3          # words that the rolling hash of a cut looks at
-CACHE_CHUNKS = 100_000
+CACHE_CHUNKS = 60_000
+CACHE_WORDS = 800_000
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 _loaded: dict[str, object] = {}
@@ -51,49 +55,78 @@ def load(spec: str):
     return _loaded[key]
 
 
-def cut_points(buf: np.ndarray, offsets: np.ndarray, chunk_words: int = CHUNK_WORDS):
-    """Byte positions of the chunks' ends (documents' ends included) and, for
-    each, the start of its last word and the end of the word after it."""
-    start, end, doc = ta.word_spans(buf, offsets)
-    if len(start) == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    seen = ta.Prefix(ta.word_codes(buf, start, end)).rolling(CUT_WORDS)
-    i = np.flatnonzero(seen % np.uint64(chunk_words) == 0) + CUT_WORDS - 1  # a cut after word i
-    i = i[(doc[i] == doc[i - CUT_WORDS + 1])]
+def cuts_after(codes: np.ndarray, doc: np.ndarray, chunk_words: int) -> np.ndarray:
+    """Numbers of the words after which a chunk ends, documents' ends aside."""
+    if len(codes) <= CUT_WORDS:
+        return np.zeros(0, np.int64)
+    seen = ta.Prefix(codes).rolling(CUT_WORDS)
+    i = np.flatnonzero(seen % np.uint64(chunk_words) == 0) + CUT_WORDS - 1
     i = i[i + 1 < len(doc)]
-    i = i[doc[i] == doc[i + 1]]
-    return end[i], start[i], end[i + 1]
+    return i[(doc[i] == doc[i - CUT_WORDS + 1]) & (doc[i] == doc[i + 1])]
+
+
+class Recent(dict):
+    """A dict that forgets: above half its size it becomes the old half, whose
+    entries live on only if they are asked for before the next change."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.half, self.old = most // 2, {}
+
+    def lacking(self, keys: set) -> list:
+        """The keys that aren't known; those that are can be looked up until ``trim``."""
+        again = (keys - self.keys()) & self.old.keys()
+        self.update((k, self.old[k]) for k in again)
+        return list(keys - self.keys())
+
+    def trim(self) -> None:
+        if len(self) > self.half:
+            self.old = dict(self)
+            self.clear()
 
 
 class Encoder:
-    """Encodes documents by chunks; keeps the ids of recent chunks."""
+    """Encodes documents by chunks; keeps the ids of recent chunks and words."""
 
-    def __init__(self, spec: str, chunk_words: int = CHUNK_WORDS, cache_chunks: int = CACHE_CHUNKS):
-        self.tok, self.chunk_words, self.cache_chunks = load(spec), chunk_words, cache_chunks
-        self.young: dict[bytes, np.ndarray] = {}
-        self.old: dict[bytes, np.ndarray] = {}
+    def __init__(self, spec: str, chunk_words: int = CHUNK_WORDS, cache_chunks: int = CACHE_CHUNKS, cache_words: int = CACHE_WORDS):
+        self.tok, self.chunk_words = load(spec), chunk_words
+        self.chunks, self.words = Recent(cache_chunks), Recent(cache_words)
         self.encoded = self.reused = self.repaired = 0
 
     def _raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _ids(self, parts: list[bytes]) -> list[np.ndarray]:
-        """Ids of chunks; a chunk not seen lately is encoded once."""
-        keys = [hashlib.md5(p).digest() for p in parts]
-        new = {}
-        for k, p in zip(keys, parts, strict=True):
-            if k not in self.young and k not in new:
-                if k in self.old:
-                    self.young[k] = self.old[k]
-                else:
-                    new[k] = p
+    def _of_words(self, data: bytes, start: np.ndarray, end: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all the words in a row and the n + 1 offsets into them."""
+        _, first, inverse = np.unique(codes, return_index=True, return_inverse=True)
+        words = [data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        unknown = self.words.lacking(set(words))
+        fresh = self._raw([w.decode() for w in unknown])
+        self.words.update(zip(unknown, [array("I", x).tobytes() for x in fresh], strict=True))
+        found = [self.words[w] for w in words]
+        self.words.trim()
+        pool = np.frombuffer(b"".join(found), np.uint32)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin = np.cumsum(size) - size
+        offsets = np.concatenate([[0], np.cumsum(size[inverse])])
+        return pool[np.repeat(begin[inverse] - offsets[:-1], size[inverse]) + np.arange(offsets[-1])], offsets
+
+    def _of_chunks(self, data: bytes, bounds: np.ndarray, start: np.ndarray, end: np.ndarray, codes: np.ndarray) -> list[np.ndarray]:
+        """Ids of the chunks between ``bounds``; a chunk not seen lately is encoded once."""
+        keys = [hashlib.md5(data[a:b]).digest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        number = dict(zip(reversed(keys), range(len(keys) - 1, -1, -1), strict=True))  # first place of each
+        new = np.sort(np.array([number[k] for k in self.chunks.lacking(set(keys))], np.int64))
         self.encoded += len(new)
-        self.reused += len(parts) - len(new)
-        fresh = dict(zip(new, (np.array(x, np.uint32) for x in self._raw([p.decode() for p in new.values()])), strict=True))
-        out = [fresh[k] if k in fresh else self.young[k] for k in keys]
-        self.young |= fresh
-        if len(self.young) > self.cache_chunks // 2:
-            self.old, self.young = self.young, {}
+        self.reused += len(keys) - len(new)
+        chunk = np.searchsorted(bounds, start, side="right") - 1
+        wanted = np.zeros(len(keys), bool)
+        wanted[new] = True
+        at = np.flatnonzero(wanted[chunk])
+        ids, offsets = self._of_words(data, start[at], end[at], codes[at])
+        cuts = offsets[np.searchsorted(chunk[at], np.append(new, len(keys)))]
+        self.chunks.update((keys[n], ids[a:b].copy()) for n, a, b in zip(new.tolist(), cuts[:-1], cuts[1:], strict=True))
+        out = [self.chunks[k] for k in keys]
+        self.chunks.trim()
         return out
 
     @staticmethod
@@ -108,10 +141,13 @@ class Encoder:
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each document of a slice."""
         data = buf.tobytes()
-        cuts, left_word, right_word = cut_points(buf, offsets, self.chunk_words)
+        start, end, doc = ta.word_spans(buf, offsets)
+        codes = ta.word_codes(buf, start, end)
+        i = cuts_after(codes, doc, self.chunk_words)
+        cuts = end[i]
         bounds = np.unique(np.concatenate([offsets, cuts]))
-        chunks = self._ids([data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-        joints = self._raw([data[a:b].decode() for a, b in zip(left_word, right_word, strict=True)])
+        chunks = self._of_chunks(data, bounds, start, end, codes)
+        joints = self._raw([data[a:b].decode() for a, b in zip(start[i].tolist(), end[i + 1].tolist(), strict=True)])
         at = dict(zip(cuts.tolist(), joints, strict=True))
         first = np.searchsorted(bounds, offsets)
         out = []
