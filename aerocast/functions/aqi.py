@@ -42,7 +42,7 @@ def pm25_to_aqi(pm25, strict: bool = False) -> Column:
         expr = F.when(c <= F.lit(float(high)), value) if expr is None else expr.when(c <= F.lit(float(high)), value)
     expr = expr.otherwise(F.lit(AQI_CEILING))
     if strict:
-        return F.when(bad, F.raise_error(F.lit("PM2.5 must be a finite non-negative value."))).otherwise(expr)
+        return F.when(bad, F.raise_error(F.lit("a PM2.5 concentration is absent, negative or not finite"))).otherwise(expr)
     return F.when(~bad, expr)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerocast.contract import (
@@ -57,6 +57,14 @@ def hourly_feature_rows(obs: DataFrame, *, key: str = "city", ts: str = "timesta
     return out
 
 
+def is_complete(*, include_targets: bool = True, extra: Sequence[str] = ("aqi",)) -> Column:
+    """No feature (and target) is missing: neither NULL nor NaN."""
+    ok = F.lit(True)
+    for c in [*extra, *FEATURE_COLUMNS, *(TARGET_COLUMNS if include_targets else [])]:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return ok
+
+
 def complete_rows(df: DataFrame, *, include_targets: bool = True, extra: Sequence[str] = ("aqi",)) -> DataFrame:
     """Drop rows with any missing feature (and target): NULL or NaN."""
     subset = [*extra, *FEATURE_COLUMNS] + (list(TARGET_COLUMNS) if include_targets else [])

@@ -3,8 +3,8 @@
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to
 one task; with one key holding a third of the data that task is the job. Here
 each key's time line is cut into chunks of about ``chunk_rows`` rows (small
-keys are one chunk; large keys get equi-depth segments from approximate
-quantiles, then equal-width chunks inside each segment), windows run per
+keys are one chunk; large keys are cut at approximate quantiles, and further by
+equal width where a segment is still too deep), windows run per
 ``(key, chunk)``, and the few rows that need neighbours from another chunk get
 them from a small per-chunk summary:
 
@@ -51,56 +51,59 @@ def resolve_chunk_rows(df: DataFrame, chunk_rows: int | None) -> int:
     return int(value) if value else DEFAULT_CHUNK_ROWS
 
 
-SEGMENTS = 32
+COARSE = 32
+SEGMENTS = COARSE * COARSE
 _SUB_BITS = 32
 
 
 def with_chunks(df: DataFrame, keys: Sequence[str], order: str,
-                chunk_rows: int | None = None, segments: int = SEGMENTS) -> DataFrame:
+                chunk_rows: int | None = None) -> DataFrame:
     """Add ``_chunk``: slices of about ``chunk_rows`` rows per key, in order.
 
     Keys with at most ``chunk_rows`` rows are one chunk (0). Larger keys are
-    cut in two levels: equi-depth segments between ``segments - 1``
-    approximate quantiles of the order value, so a burst of rows in a short
-    span gets segments of its own, then equal-width sub-chunks inside each
-    segment sized from its ~n/segments rows; ``_chunk`` = segment * 2^32 +
-    sub, increasing with the order value inside a key.
-
-    Only large keys get a row in the side table, so it holds at most
-    ``total rows / chunk_rows`` rows - a bound by construction - and is
-    broadcast: the wide rows are never shuffled to attach their chunk.
-    Counts and quantile sketches are partial (map-side) aggregates over the
-    key and order columns only.
+    cut at SEGMENTS - 1 approximate quantiles of the order value, so rows that
+    come in bursts still fall into segments of equal depth; a segment that
+    holds more than ``chunk_rows`` rows is cut further by equal width.
+    ``_chunk`` = segment * 2^32 + sub, increasing with the order value inside
+    a key. A row finds its segment among every COARSE-th quantile first and
+    then among COARSE of them. Rows of equal order value stay together.
+
+    Only large keys get a row in the side table, at most ``total rows /
+    chunk_rows``; adaptive execution measures it and broadcasts it if it is
+    below the session's threshold. Counts and quantile sketches are partial
+    (map-side) aggregates over the key and order columns only. NULL keys are a
+    key like any other.
     """
     chunk_rows = resolve_chunk_rows(df, chunk_rows)
     num = _order_number(df, order)
-    qs = [i / segments for i in range(1, segments)]
-    narrow = df.select(*keys, num.alias(_ORD))
-    big = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("__ck_n")).where(F.col("__ck_n") > chunk_rows)
-    side = (
-        narrow.join(F.broadcast(big), list(keys))          # <= rows / chunk_rows keys
-        .groupBy(*keys)
-        .agg(F.max("__ck_n").alias("__ck_n"), F.min(_ORD).alias("__ck_lo"), F.max(_ORD).alias("__ck_hi"),
-             F.percentile_approx(_ORD, qs, 1000).alias("__ck_q"))
-        .select(*[F.col(k).alias(f"__ck_key{i}") for i, k in enumerate(keys)], "__ck_n",
-                F.concat(F.array(F.col("__ck_lo")), F.col("__ck_q"), F.array(F.col("__ck_hi"))).alias("__ck_b"))
-    )
-    cond = None
-    for i, k in enumerate(keys):
-        c = df[k].eqNullSafe(F.col(f"__ck_key{i}"))
-        cond = c if cond is None else cond & c
-    joined = df.join(F.broadcast(side), cond, "left").withColumn(_ORD, num)
-    # segment: number of inner quantiles strictly below the value (0..segments-1)
-    seg = F.size(F.filter(F.slice("__ck_b", 2, segments - 1), lambda b: b < F.col(_ORD)))
+    qs = [i / SEGMENTS for i in range(1, SEGMENTS)]
+    names = [f"__ck_key{i}" for i in range(len(keys))]
+    same = None
+    for k, n in zip(keys, names):
+        c = df[k].eqNullSafe(F.col(n))
+        same = c if same is None else same & c
+    named = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], num.alias(_ORD))
+    side = (named.groupBy(*names)
+            .agg(F.count(F.lit(1)).alias("__ck_n"), F.min(_ORD).alias("__ck_lo"), F.max(_ORD).alias("__ck_hi"),
+                 F.percentile_approx(_ORD, qs, 4 * SEGMENTS).alias("__ck_q"))
+            .where(F.col("__ck_n") > chunk_rows)
+            .select(*names, "__ck_n",
+                    F.concat(F.array("__ck_lo"), F.col("__ck_q"), F.array("__ck_hi")).alias("__ck_b"),
+                    F.transform(F.sequence(F.lit(1), F.lit(COARSE - 1)),
+                                lambda i: F.element_at("__ck_q", (i * COARSE).cast("int"))).alias("__ck_c")))
+    joined = df.join(side, same, "left").withColumn(_ORD, num)
+    # number of inner quantiles strictly below the value (0 .. SEGMENTS - 1)
+    block = F.size(F.filter("__ck_c", lambda b: b < F.col(_ORD)))
+    inside = F.filter(F.slice("__ck_b", block * COARSE + 2, F.lit(COARSE - 1)), lambda b: b < F.col(_ORD))
+    seg = block * COARSE + F.size(inside)
     lo = F.element_at("__ck_b", seg + 1)
     hi = F.element_at("__ck_b", seg + 2)
-    per_seg = F.greatest(F.col("__ck_n") / segments, F.lit(1.0))
+    per_seg = F.greatest(F.col("__ck_n") / SEGMENTS, F.lit(1.0))
     width = F.greatest(F.lit(1.0), F.ceil((hi - lo + 1).cast("double") * chunk_rows / per_seg).cast("double"))
     sub = F.floor((F.col(_ORD) - lo).cast("double") / width).cast("long")
     chunk = F.when(F.col("__ck_n").isNull(), F.lit(0).cast("long")).otherwise(
         seg.cast("long") * (1 << _SUB_BITS) + F.greatest(sub, F.lit(0)))
-    return joined.withColumn(CHUNK, chunk).drop(
-        *[f"__ck_key{i}" for i in range(len(keys))], "__ck_b", "__ck_n", _ORD)
+    return joined.withColumn(CHUNK, chunk).drop(*names, "__ck_b", "__ck_c", "__ck_n", _ORD)
 
 
 def _shift_name(col: str, kind: str, j: int) -> str:
@@ -162,36 +165,23 @@ def shifted(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[st
     return mixed.select(*base_cols, _HALO, *shifts).where(~F.col(_HALO)).drop(_HALO)
 
 
-def last_n_per_key(df: DataFrame, keys: Sequence[str], order: str, n: int,
-                   chunk_rows: int | None = None) -> DataFrame:
+def last_n_per_key(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
     """The ``n`` latest rows of every key (by ``order``), with ``_rank`` 1..n.
 
-    Only the key's latest chunks that together hold ``n`` rows are read into
-    a window: a per-(key, chunk) count (partial aggregation) picks them, a
-    semi join keeps their rows (the chunk list is small; adaptive execution
-    broadcasts it), and the window runs on those rows only. The history
-    itself is scanned, never shuffled whole.
+    The rank filter becomes a window group limit before the exchange: each
+    task sends at most ``n`` rows of a key, so a hot key is cut before it is
+    shuffled.
     """
-    cdf = with_chunks(df, keys, order, chunk_rows)
-    counts = cdf.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_c"))
-    newer = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
-                             .rowsBetween(Window.unboundedPreceding, -1))
-    needed = counts.withColumn("_before", F.coalesce(newer, F.lit(0))).where(F.col("_before") < n) \
-        .select(*keys, CHUNK)
-    recent = cdf.join(needed, [*keys, CHUNK], "left_semi")
-    wk = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    return recent.withColumn("_rank", F.row_number().over(wk)).where(F.col("_rank") <= n).drop(CHUNK)
+    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n)
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    """One row per key: the greatest ``order_cols`` (lexicographic), ties kept out.
+def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of every key in ``order``; one row per key and task crosses the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
-    An aggregate (``max_by`` of the whole row by a struct of the order
-    columns) with map-side partial aggregation, so a hot key is pre-reduced
-    in every task before the shuffle.
-    """
-    others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_row")
-    )
-    return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """One row per key: the greatest ``order_cols`` (lexicographic), ties kept out."""
+    return one_per_key(df, keys, [F.col(c).desc() for c in order_cols])

@@ -14,17 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerocast.contract import RAW_FEATURES, DataQualityError, assert_required_columns
+from aerocast.contract import FEATURE_COLUMNS, RAW_FEATURES, DataQualityError, require_observation_columns
 from aerocast.functions import try_number
 from aerocast.operators.ordered import shifted
 
 RULES = ("invalid_timestamp", "duplicate_timestamp", "out_of_order", "invalid_value", "negative_value")
-MESSAGES = {
-    "invalid_timestamp": "Timestamps must be valid, unique, and ordered.",
-    "duplicate_timestamp": "Timestamps must be valid, unique, and ordered.",
-    "out_of_order": "Timestamps are not in chronological order.",
-    "invalid_value": "Invalid or missing values in {column}.",
-    "negative_value": "Invalid or missing values in {column}.",
+REASONS = {
+    "invalid_timestamp": "{n} rows have a time that is absent or not a time",
+    "duplicate_timestamp": "{n} rows share their key and time; times must be unique per key",
+    "out_of_order": "{n} rows arrive after a later one; arrival must be chronological",
+    "invalid_value": "{column} is absent or not a number in {n} rows",
+    "negative_value": "{column} is negative in {n} rows",
 }
 
 
@@ -34,7 +34,7 @@ def value_columns(require_aqi: bool = True) -> list[str]:
 
 def coerce(df: DataFrame, *, ts: str = "timestamp", require_aqi: bool = True) -> DataFrame:
     """Timestamps parsed (naive = UTC), numbers coerced; bad values -> NULL."""
-    assert_required_columns(df.columns, require_aqi=require_aqi, ts_col=ts)
+    require_observation_columns(df.columns, require_aqi=require_aqi, ts_col=ts)
     t = df.schema[ts].dataType
     ts_col = F.col(ts) if isinstance(t, T.TimestampType) else F.try_to_timestamp(F.col(ts).cast("string"))
     return df.withColumns({ts: ts_col, **{c: try_number(c) for c in value_columns(require_aqi)}})
@@ -46,7 +46,7 @@ def flag_rows(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: s
 
     ``seq`` is the arrival order (a DataFrame has none of its own).
     """
-    assert_required_columns(df.columns, require_aqi=require_aqi, ts_col=ts)
+    require_observation_columns(df.columns, require_aqi=require_aqi, ts_col=ts)
     raw_cols = value_columns(require_aqi)
     raw = df.select(key, seq, ts, *raw_cols)
     c = coerce(raw, ts=ts, require_aqi=require_aqi)
@@ -99,55 +99,69 @@ def violations(df: DataFrame, **kw) -> DataFrame:
     return stacked.where(F.col("rule").isNotNull())
 
 
-def report(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: str = "seq",
-           require_aqi: bool = True, chunk_rows: int | None = None) -> DataFrame:
-    """Counts per key: rows and rows breaking each rule.
+def _faults(df: DataFrame, *, key: str, ts: str, seq: str, require_aqi: bool, chunk_rows: int | None,
+            by_column: bool) -> DataFrame:
+    """Per key: n_rows, one count per rule and, if asked, one per (column, value rule).
 
     No wide row is shuffled: the row-local rules are one partial aggregate
     over the scan; duplicates (an aggregate on ``(key, ts)``) and arrival
     order (a chunked lag over ``seq``) read only ``key, seq, ts``; the three
     per-key results are joined.
     """
-    assert_required_columns(df.columns, require_aqi=require_aqi, ts_col=ts)
+    require_observation_columns(df.columns, require_aqi=require_aqi, ts_col=ts)
     raw_cols = value_columns(require_aqi)
     c = coerce(df.select(key, seq, ts, *raw_cols), ts=ts, require_aqi=require_aqi)
-    bad = F.greatest(*[F.col(x).isNull() for x in raw_cols])
-    neg = F.coalesce(F.greatest(*[F.col(x) < 0 for x in raw_cols]), F.lit(False))
+    absent = {x: F.col(x).isNull() for x in raw_cols}
+    negative = {x: F.coalesce(F.col(x) < 0, F.lit(False)) for x in raw_cols}
+    count = lambda e: F.count(F.when(e, 1))
+    each = [count(flags[x]).alias(f"{rule}:{x}") for x in raw_cols
+            for rule, flags in (("invalid_value", absent), ("negative_value", negative))] if by_column else []
     local = c.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(F.col(ts).isNull(), 1)).alias("invalid_timestamp"),
-        F.count(F.when(bad, 1)).alias("invalid_value"),
-        F.count(F.when(neg, 1)).alias("negative_value"),
-    )
+        F.count(F.lit(1)).alias("n_rows"), count(F.col(ts).isNull()).alias("invalid_timestamp"),
+        count(F.greatest(*absent.values())).alias("invalid_value"),
+        count(F.greatest(*negative.values())).alias("negative_value"), *each)
     narrow = c.select(key, seq, ts)
     dups = (narrow.where(F.col(ts).isNotNull()).groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
             .where("_n > 1").groupBy(key).agg(F.sum("_n").alias("duplicate_timestamp")))
     order = (shifted(narrow, [key], seq, [ts], max_lag=1, chunk_rows=chunk_rows).groupBy(key)
-             .agg(F.count(F.when(F.col(ts) < F.col(f"{ts}__lag1"), 1)).alias("out_of_order")))
-    out = local.join(dups, key, "left").join(order, key, "left")
-    return out.select(key, "n_rows", *[F.coalesce(F.col(r), F.lit(0)).cast("long").alias(r) for r in RULES])
+             .agg(count(F.col(ts) < F.col(f"{ts}__lag1")).alias("out_of_order")))
+    for side in (dups, order):  # a null key is a key of its own
+        named = side.withColumnRenamed(key, "__key")
+        local = local.join(named, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    return local.fillna(0, ["duplicate_timestamp", "out_of_order"])
 
 
-def enforce(df: DataFrame, **kw) -> DataFrame:
-    """Raise the contract error when any rule fails; else the coerced rows.
+def report(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: str = "seq",
+           require_aqi: bool = True, chunk_rows: int | None = None) -> DataFrame:
+    """Counts per key: rows and rows breaking each rule."""
+    found = _faults(df, key=key, ts=ts, seq=seq, require_aqi=require_aqi, chunk_rows=chunk_rows, by_column=False)
+    return found.select(key, "n_rows", *[F.col(r).cast("long").alias(r) for r in RULES])
+
 
-    One aggregate job over the per-key report; rules are tested in the
-    contract's order.
+def enforce(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: str = "seq",
+            require_aqi: bool = True, chunk_rows: int | None = None) -> DataFrame:
+    """Raise the contract error when any rule fails; else ``df`` coerced.
+
+    One job. Time rules come first; then the value columns in the contract's
+    order, each with its absent and its negative values.
     """
-    rep = report(df, **kw)
-    totals = rep.agg(*[F.sum(r).alias(r) for r in RULES]).first()
-    for r in RULES:
-        if totals[r]:
-            column = ""
-            if r in ("invalid_value", "negative_value"):
-                f = flag_rows(df, **kw)
-                column = f.where(F.col(r)).select(F.col("bad_columns")[0]).first()[0]
-            raise DataQualityError(MESSAGES[r].format(column=column))
-    ts = kw.get("ts", "timestamp")
-    return coerce(df, ts=ts, require_aqi=kw.get("require_aqi", True))
-
-
-def missing_lags(rows: DataFrame, columns: Sequence[str] = ("aqi_lag1", "aqi_lag2", "aqi_lag3", "aqi_rolling_mean")) -> DataFrame:
+    found = _faults(df, key=key, ts=ts, seq=seq, require_aqi=require_aqi, chunk_rows=chunk_rows, by_column=True)
+    checks = [(r, r, "") for r in RULES[:3]] + [
+        (f"{r}:{x}", r, x) for x in value_columns(require_aqi) for r in ("invalid_value", "negative_value")]
+    totals = found.agg(*[F.sum(F.col(f"`{name}`")).alias(name) for name, _, _ in checks]).first()
+    for name, rule, column in checks:
+        if totals[name]:
+            raise DataQualityError(REASONS[rule].format(n=totals[name], column=column))
+    return coerce(df, ts=ts, require_aqi=require_aqi)
+
+
+def require_valid(history: DataFrame, *, key: str = "city", ts: str = "timestamp", require_aqi: bool = True) -> DataFrame:
+    """``enforce`` for stored history: a table has no arrival order, so the
+    rules are those of time, uniqueness and values, in one narrow job."""
+    return enforce(history.withColumn("__seq", F.col(ts)), key=key, ts=ts, seq="__seq", require_aqi=require_aqi).drop("__seq")
+
+
+def missing_lags(rows: DataFrame, columns: Sequence[str] = tuple(FEATURE_COLUMNS[-4:])) -> DataFrame:
     """Rows that cannot be served: any of ``columns`` is NULL (F4/F5)."""
     cond = None
     for c in columns:

@@ -2,7 +2,8 @@
 
 Plain Parquet has no unique index and no MERGE, so the same guarantees come
 from set operations: an anti join for idempotent appends, an aggregate for
-the uniqueness check and ``max_by`` for the newest row per key.
+the uniqueness check and a ranked window for the newest row per key. Rows with
+a NULL in their key have no identity and are never stored.
 """
 
 from __future__ import annotations
@@ -13,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_COLUMNS, STORE_KEY
-from aerocast.operators.ordered import latest_per_key
+from aerocast.operators.ordered import latest_per_key, one_per_key
+from aerocast.session import delete_path, path_exists
+
+KEEP_VERSIONS = 5
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    """One row per key, the smallest ``order_cols`` (partial aggregation)."""
-    others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*order_cols)).alias("_row"))
-    return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
+    """One row per key, the smallest ``order_cols``; NULL keys are left out."""
+    return one_per_key(df.dropna(subset=list(keys)), keys, [F.col(c).asc() for c in order_cols])
 
 
 def rows_to_insert(existing: DataFrame, batch: DataFrame, keys: Sequence[str] = STORE_KEY,
@@ -43,14 +45,12 @@ def append_once(spark: SparkSession, store_path: str, batch: DataFrame,
     rng = batch.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     if rng is None or rng["lo"] is None:
         return 0
-    try:
+    if path_exists(spark, store_path):
         existing = spark.read.parquet(store_path).where(
             (F.col(partition_by) >= F.to_date(F.lit(rng["lo"]))) & (F.col(partition_by) <= F.to_date(F.lit(rng["hi"])))
         ).where(F.col(ts).between(rng["lo"], rng["hi"]))
         new = rows_to_insert(existing, batch, keys, order_cols)
-    except Exception as ex:  # noqa: BLE001 - first write: no store yet
-        if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
-            raise
+    else:
         new = first_per_key(batch, keys, order_cols)
     new = new.withColumn(partition_by, F.to_date(ts)).cache()
     n = new.count()
@@ -107,12 +107,10 @@ def late_rows(batch: DataFrame, stored: DataFrame, key: str = "city", ts: str =
 
 def served_version(spark: SparkSession, root: str) -> int | None:
     """Current version of a served table (from its pointer), None if none."""
-    try:
-        row = spark.read.schema("version long").json(f"{root.rstrip('/')}/_pointer").first()
-    except Exception as ex:  # noqa: BLE001 - no pointer yet
-        if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
-            raise
+    pointer = f"{root.rstrip('/')}/_pointer"
+    if not path_exists(spark, pointer):
         return None
+    row = spark.read.schema("version long").json(pointer).first()
     return None if row is None else row["version"]
 
 
@@ -122,13 +120,14 @@ def read_served(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def refresh_served(spark: SparkSession, root: str, new_rows: DataFrame, key: str = "city",
-                   ts: str = "event_timestamp", created: str = "created_timestamp") -> int:
+                   ts: str = "event_timestamp", created: str = "created_timestamp", keep: int = KEEP_VERSIONS) -> int:
     """Incremental refresh of the served table (latest row per key).
 
     Plain Parquet has no MERGE: the refreshed snapshot (latest of current
     snapshot and new rows) is written as a new version folder, then the
     pointer is moved. Readers of the old version are not disturbed, and a
-    failure before the pointer moves leaves the old version served.
+    failure before the pointer moves leaves the old version served. The last
+    ``keep`` versions stay for readers that still hold them.
     """
     current = served_version(spark, root)
     prev = None if current is None else spark.read.parquet(f"{root.rstrip('/')}/v={current}")
@@ -136,4 +135,6 @@ def refresh_served(spark: SparkSession, root: str, new_rows: DataFrame, key: str
     materialize(prev, new_rows, key, ts, created).write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={nxt}")
     spark.createDataFrame([(nxt,)], "version long").coalesce(1).write.mode("overwrite").json(
         f"{root.rstrip('/')}/_pointer")
+    if nxt >= keep:
+        delete_path(spark, f"{root.rstrip('/')}/v={nxt - keep}")
     return nxt

@@ -5,28 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerocast.contract import RAW_FEATURES
+from aerocast.operators import features as ft
 from aerocast.operators import status as stt
-from aerocast.operators.store import split_supported
+from aerocast.operators.store import append_once, refresh_served
 from aerocast.sources.files import flatten_payloads, read_payloads
 from aerocast.streaming import ingest as ig
 
 
 def collect(spark: SparkSession, landing: str, stored: DataFrame, supported: DataFrame,
-            multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(status rows, refused rows) for the payloads landed in ``landing``.
+            multi_line: bool = True) -> DataFrame:
+    """One status row per payload landed in ``landing``; none vanishes.
 
-    Flatten -> supported-key guard -> ingest statuses against ``stored``
-    (city, event_timestamp, aqi, ...). Arrival order is the file's event time.
+    Flatten -> supported-key guard (``unsupported``) -> ingest statuses against
+    ``stored`` (city, event_timestamp, aqi, ...); payloads without a key, time
+    or component are ``invalid``. Arrival order is the file's event time.
     """
-    obs = flatten_payloads(read_payloads(spark, landing, multi_line))
-    ok, refused = split_supported(obs, supported)
-    batch = ok.withColumnRenamed("timestamp", "event_timestamp").withColumn(
-        "seq", F.unix_micros("event_timestamp"))
-    status = ig.ingest_batch(batch, ig.history_summary(stored), stored)
-    return status, refused
+    obs = (flatten_payloads(read_payloads(spark, landing, multi_line)).withColumnRenamed("timestamp", ig.TS)
+           .withColumn(ig.SEQ, F.unix_micros(ig.TS)))
+    known = supported.select(ig.KEY).distinct().withColumn("_known", F.lit(True))
+    marked = obs.join(known, ig.KEY, "left")
+    foreign = F.col(ig.KEY).isNotNull() & F.col("_known").isNull()
+    status = ig.ingest_batch(marked.where(~foreign).drop("_known"), ig.history_summary(stored), stored)
+    refused = marked.where(foreign).select(ig.KEY, ig.TS, ig.SEQ, "aqi", *RAW_FEATURES, F.lit("unsupported").alias("status"))
+    return status.unionByName(refused, allowMissingColumns=True)
+
+
+def run_collect(spark: SparkSession, landing: str, store: str, served: str, supported: DataFrame, created_at,
+                multi_line: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Collect into the store and refresh the served table.
+
+    Returns (status rows, history status per key, training readiness per key),
+    the latter two over the store after the run. A run over the same files
+    again stores nothing.
+    """
+    status = collect(spark, landing, spark.read.parquet(store), supported, multi_line).checkpoint()
+    new = ig.store_rows(status, created_at)
+    append_once(spark, store, new)
+    refresh_served(spark, served, new)
+    held = spark.read.parquet(store).withColumnRenamed(ig.TS, "timestamp")
+    ready = stt.training_readiness(held, ft.daily_features_from_obs(held))
+    return status, status_after(spark.read.parquet(store)), ready
 
 
 def status_after(stored: DataFrame) -> DataFrame:
     """History status per key (count, chronological, latest)."""
-    return stt.history_status(stored.withColumnRenamed("event_timestamp", "timestamp")
+    return stt.history_status(stored.withColumnRenamed(ig.TS, "timestamp")
                               .withColumn("seq", F.unix_micros("timestamp")))

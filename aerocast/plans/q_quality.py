@@ -212,14 +212,9 @@ FROM c GROUP BY city
 def q_complete_feature_rows(spark, sf_dir):
     prepare(spark)
     h = ft.hourly_feature_rows(events_observations(spark, sf_dir, "user"), complete_only=False)
-    serving = ft.complete_rows(h, include_targets=False)
-    training = ft.complete_rows(h, include_targets=True)
-    n = h.groupBy("city").agg(F.count(F.lit(1)).alias("n_rows"))
-    s = serving.groupBy("city").agg(F.count(F.lit(1)).alias("n_serving"))
-    t = training.groupBy("city").agg(F.count(F.lit(1)).alias("n_training"))
-    return (n.join(s, "city", "left").join(t, "city", "left")
-            .select("city", "n_rows", F.coalesce("n_serving", F.lit(0)).alias("n_serving"),
-                    F.coalesce("n_training", F.lit(0)).alias("n_training")))
+    counted = lambda targets: F.count(F.when(ft.is_complete(include_targets=targets), 1))
+    return h.groupBy("city").agg(F.count(F.lit(1)).alias("n_rows"), counted(False).alias("n_serving"),
+                                 counted(True).alias("n_training"))
 
 
 # --- U1, R2, R3, F6: one serving row per key from history + a live row -------

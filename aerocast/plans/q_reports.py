@@ -8,7 +8,7 @@ from aerocast.contract import FEATURE_COLUMNS, HORIZONS, RAW_FEATURES
 from aerocast.functions import iso_date, version_stamp
 from aerocast.operators import features as ft
 from aerocast.operators import status as stt
-from aerocast.plans.backfill import backfill_summary, prepare_backfill
+from aerocast.plans.backfill import apply_backfill, backfill_summary, prepare_backfill
 from aerocast.plans.registry import finish, query
 from aerocast.plans.sqlparts import (
     FEATURES, POLLUTANTS, daily_cte, dense_daily_features_cte, dense_daily_serving_cte, hourly_cte,
@@ -105,6 +105,25 @@ def q_backfill_payload(spark, sf_dir):
     return finish(prepare_backfill(obs, "2024-02-01 00:00:00"), ["aqi_rolling_mean"])
 
 
+# --- C1, K1: the store after the payload is applied twice ----------------------------
+@query("backfill_apply", f"""
+WITH {_BF_SQL}
+SELECT city, timestamp AS event_timestamp, TIMESTAMP '2024-02-01 00:00:00' AS created_timestamp, aqi,
+       {FEATURES.replace('aqi_rolling_mean', 'round(aqi_rolling_mean, 6) AS aqi_rolling_mean')}
+FROM bf
+""")
+def q_backfill_apply(spark, sf_dir):
+    prepare(spark)
+    # as read from text files: times and numbers are strings
+    obs = events_observations(spark, sf_dir, "type").drop("aqi").withColumns(
+        {"timestamp": F.date_format("timestamp", ISO_MICRO), **{c: F.col(c).cast("string") for c in RAW_FEATURES}})
+    store = scratch_path(spark, "backfill-store")
+    payload = prepare_backfill(obs, "2024-02-01 00:00:00")
+    for _ in range(2):
+        apply_backfill(spark, store, payload)
+    return finish(spark.read.parquet(store).drop("event_date"), ["aqi_rolling_mean"])
+
+
 # --- A4: backfill dry-run summary -------------------------------------------------------
 @query("backfill_summary", f"""
 WITH {_BF_SQL}
@@ -115,7 +134,7 @@ FROM bf GROUP BY city
 def q_backfill_summary(spark, sf_dir):
     prepare(spark)
     obs = events_observations(spark, sf_dir, "type").drop("aqi")
-    return backfill_summary(prepare_backfill(obs, "2024-02-01 00:00:00", validate=False))
+    return backfill_summary(prepare_backfill(obs, "2024-02-01 00:00:00", ))
 
 
 # --- A2: history status (re-sent copies make some keys non-chronological) -----------
@@ -263,7 +282,7 @@ def _long_features(spark, sf_dir):
 
 def _centred(spark, sf_dir):
     from aerocast.operators.attribution import centre
-    return centre(_long_features(spark, sf_dir))
+    return centre(_long_features(spark, sf_dir)).withColumn("centred", F.round("centred", 6))
 
 
 @query("unpivot_features", f"""
@@ -296,7 +315,7 @@ FROM centred GROUP BY feature
 def q_mean_abs_by_feature(spark, sf_dir):
     from aerocast.operators.attribution import mean_abs_report
     prepare(spark)
-    return mean_abs_report(_centred(spark, sf_dir), "centred").withColumnRenamed("mean_abs_shap", "mean_abs")
+    return finish(mean_abs_report(_centred(spark, sf_dir), "centred").withColumnRenamed("mean_abs_shap", "mean_abs"), ["mean_abs"])
 
 
 @query("importance_report_csv", f"""
@@ -314,6 +333,6 @@ def q_importance_report_csv(spark, sf_dir):
     path = scratch_path(spark, "importance-report")
     write_report_csv(rep, path)
     back = spark.read.option("header", True).csv(path)
-    return back.select("feature", F.col("mean_abs_shap").cast("double").alias("mean_abs_shap"),
-                       "model_version", "horizon")
+    return finish(back.select("feature", F.col("mean_abs_shap").cast("double").alias("mean_abs_shap"),
+                              "model_version", "horizon"), ["mean_abs_shap"])
 

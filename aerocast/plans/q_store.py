@@ -23,7 +23,7 @@ _P = ", ".join(RAW_FEATURES)
 WITH {sc.SQL},
 b AS (SELECT *, event_timestamp + CASE WHEN seq >= 1000000000 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END
                   AS created_timestamp FROM batch),
-first AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY city, event_timestamp ORDER BY created_timestamp) = 1)
+first AS (SELECT * FROM b WHERE city IS NOT NULL AND event_timestamp IS NOT NULL QUALIFY row_number() OVER (PARTITION BY city, event_timestamp ORDER BY created_timestamp) = 1)
 SELECT city, event_timestamp, created_timestamp, seq, aqi FROM first f
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.city = f.city AND s.event_timestamp = f.event_timestamp)
 """)
@@ -67,9 +67,9 @@ WITH {sc.SQL},
 st AS (SELECT city, count(*) AS n_stored, max(event_timestamp) AS last_ts FROM stored GROUP BY city),
 b1 AS (SELECT b.*, st.n_stored, st.last_ts,
               EXISTS (SELECT 1 FROM stored s WHERE s.city = b.city AND s.event_timestamp = b.event_timestamp) AS in_store,
-              row_number() OVER (PARTITION BY b.city, b.event_timestamp ORDER BY b.seq) AS twin
+              row_number() OVER (PARTITION BY b.city, b.event_timestamp, {sc.INVALID.replace('city', 'b.city')} ORDER BY b.seq) AS twin
        FROM batch b LEFT JOIN st ON b.city = st.city),
-b2 AS (SELECT *, CASE WHEN in_store THEN 'duplicate' WHEN coalesce(n_stored, 0) < 3 THEN 'no_history'
+b2 AS (SELECT *, CASE WHEN {sc.INVALID} THEN 'invalid' WHEN in_store THEN 'duplicate' WHEN coalesce(n_stored, 0) < 3 THEN 'no_history'
                       WHEN event_timestamp <= last_ts THEN 'late' WHEN twin > 1 THEN 'duplicate'
                       ELSE 'inserted' END AS status FROM b1),
 hist AS (SELECT city, event_timestamp, aqi FROM stored
@@ -99,9 +99,10 @@ def q_ingest_batch(spark, sf_dir):
 
 
 # --- R1, R7 as Structured Streaming: two landed files, foreachBatch ----------
-@query("stream_ingest", _INGEST_SQL)
-def q_stream_ingest(spark, sf_dir):
-    prepare(spark)
+def _streamed(spark, sf_dir):
+    """Two scheduled runs on one checkpoint, each picking up what landed since,
+    and a third that meets all files again through a new checkpoint; the paths
+    of status, store and served table."""
     root = scratch_path(spark, "stream-ingest")
     landing, store, status, state, served, ckpt = (
         f"{root}/{p}" for p in ("landing", "store", "status", "state", "served", "ckpt"))
@@ -112,19 +113,52 @@ def q_stream_ingest(spark, sf_dir):
         "city", "event_timestamp", F.col("event_timestamp").alias("created_timestamp"), "aqi", *FEATURE_COLUMNS)
     ig.seed_stream_state(seed, store, state, served)
     parts = sc.batch_parts(spark, sf_dir)
-    first = parts["fresh"].unionByName(parts["newcomers"])
+    first = parts["fresh"].unionByName(parts["newcomers"]).unionByName(parts["broken"])
     second = parts["twins"].unionByName(parts["replay"]).unionByName(parts["late"])
-    # two scheduled runs on one checkpoint: each picks up what landed since
     for part, rows in (("1", first), ("2", second)):
         rows.write.parquet(f"{landing}/part={part}")
         ig.run_ingest_stream(spark, f"{landing}/part=*", store, status, state, ckpt, first.schema,
-                             created_at="2024-02-01 00:00:00", served=served)
-    out = spark.read.parquet(status).select(*ig.STATUS_COLUMNS[:-1], "status")
+                             created_at="2024-02-01 00:00:00", served=served, run="hourly")
+    ig.run_ingest_stream(spark, f"{landing}/part=*", store, status, state, f"{root}/ckpt2", first.schema,
+                         created_at="2024-02-02 00:00:00", served=served, run="again")
+    return status, store, served
+
+
+@query("stream_ingest", _INGEST_SQL)
+def q_stream_ingest(spark, sf_dir):
+    prepare(spark)
+    status, _, _ = _streamed(spark, sf_dir)
+    out = spark.read.parquet(status).where("run = 'hourly'")
     out = out.select("city", "event_timestamp", "seq", "aqi", *RAW_FEATURES, "hour", "month", "day", "day_of_week",
                      "aqi_lag1", "aqi_lag2", "aqi_lag3", "aqi_rolling_mean", "status")
     return finish(out, ["aqi_rolling_mean"])
 
 
+# --- R5, R7, K1, K3: the stored and served tables after the stream, replay included ---
+_STREAMED_SQL = _INGEST_SQL.replace("SELECT b2.city, b2.event_timestamp, b2.seq", ", done AS (SELECT b2.city, b2.event_timestamp, b2.seq").rstrip() + f"""),
+held AS (SELECT city, event_timestamp, aqi FROM stored UNION ALL SELECT city, event_timestamp, aqi FROM done WHERE status = 'inserted')"""
+
+
+@query("stream_store", f"""{_STREAMED_SQL}
+SELECT city, count(*) AS n_rows, count(DISTINCT event_timestamp) AS n_keys, max(event_timestamp) AS last_ts FROM held GROUP BY city
+""")
+def q_stream_store(spark, sf_dir):
+    prepare(spark)
+    _, store, _ = _streamed(spark, sf_dir)
+    return finish(spark.read.parquet(store).groupBy("city").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_timestamp").alias("n_keys"), F.max("event_timestamp").alias("last_ts")))
+
+
+@query("stream_served", f"""{_STREAMED_SQL}
+SELECT city, event_timestamp, aqi FROM held
+QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_timestamp DESC) = 1
+""")
+def q_stream_served(spark, sf_dir):
+    prepare(spark)
+    _, _, served = _streamed(spark, sf_dir)
+    return finish(ig.VersionedState(spark, served).read().select("city", "event_timestamp", "aqi"))
+
+
 # --- W9: latest per key, equal event times resolved by created time ----------
 _REISSUE_SQL = f"""{obs_cte('user')},
 r AS (SELECT city, timestamp AS event_timestamp, timestamp AS created_timestamp, aqi FROM obs
@@ -267,13 +301,13 @@ def q_pit_join(spark, sf_dir):
 @query("collect_payloads", f"""
 WITH {sc.SQL},
 ok AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS city FROM customer WHERE c_mktsegment <> 'MACHINERY'),
-acc AS (SELECT * FROM batch WHERE city IN (SELECT city FROM ok)),
+acc AS (SELECT * FROM batch WHERE city IS NULL OR city IN (SELECT city FROM ok)),
 st AS (SELECT city, count(*) AS n_stored, max(event_timestamp) AS last_ts FROM stored GROUP BY city),
 b1 AS (SELECT b.*, st.n_stored, st.last_ts,
               EXISTS (SELECT 1 FROM stored s WHERE s.city = b.city AND s.event_timestamp = b.event_timestamp) AS in_store,
-              row_number() OVER (PARTITION BY b.city, b.event_timestamp) AS twin
+              row_number() OVER (PARTITION BY b.city, b.event_timestamp, {sc.INVALID.replace('city', 'b.city')}) AS twin
        FROM acc b LEFT JOIN st ON b.city = st.city),
-b2 AS (SELECT *, CASE WHEN in_store THEN 'duplicate' WHEN coalesce(n_stored, 0) < 3 THEN 'no_history'
+b2 AS (SELECT *, CASE WHEN {sc.INVALID} THEN 'invalid' WHEN in_store THEN 'duplicate' WHEN coalesce(n_stored, 0) < 3 THEN 'no_history'
                       WHEN event_timestamp <= last_ts THEN 'late' WHEN twin > 1 THEN 'duplicate'
                       ELSE 'inserted' END AS status FROM b1),
 hist AS (SELECT city, event_timestamp, aqi FROM stored
@@ -291,6 +325,10 @@ FROM b2 LEFT JOIN lg ON lg.is_new AND b2.status = 'inserted' AND lg.city = b2.ci
 UNION ALL
 SELECT city, event_timestamp, aqi, NULL, NULL, NULL, NULL, 'unsupported' FROM batch
 WHERE city NOT IN (SELECT city FROM ok)
+UNION ALL
+SELECT city, event_timestamp, NULL, NULL, NULL, NULL, NULL,
+       CASE WHEN city IN (SELECT city FROM ok) THEN 'invalid' ELSE 'unsupported' END
+FROM batch WHERE city IS NOT NULL AND seq % 11 = 0
 """)
 def q_collect_payloads(spark, sf_dir):
     from aerocast.plans.collect import collect
@@ -300,15 +338,12 @@ def q_collect_payloads(spark, sf_dir):
     comp = F.struct(
         F.col("carbon_monoxide").alias("co"), F.col("nitrogen_dioxide").alias("no2"), F.col("ozone").alias("o3"),
         F.col("sulphur_dioxide").alias("so2"), F.col("pm2_5").alias("pm2_5"), F.col("pm10").alias("pm10"))
-    b.select(
-        F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"), "city",
-        F.struct(F.array(F.struct(comp.alias("components"))).alias("list")).alias("air_pollution"),
-    ).write.json(path)
+    when = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp")
+    b.select(when, "city", F.struct(F.array(F.struct(comp.alias("components"))).alias("list")).alias("air_pollution")).write.json(path)
+    # payloads without components
+    b.where("city IS NOT NULL AND seq % 11 = 0").select(when, "city").write.mode("append").json(path)
     ok = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "MACHINERY").select(
         F.col("c_custkey").cast("string").alias("city"))
-    status, refused = collect(spark, path, sc.stored(spark, sf_dir), ok, multi_line=False)
+    status = collect(spark, path, sc.stored(spark, sf_dir), ok, multi_line=False)
     cols = ["city", "event_timestamp", "aqi", "aqi_lag1", "aqi_lag2", "aqi_lag3", "aqi_rolling_mean", "status"]
-    out = status.select(*cols).unionByName(
-        refused.select("city", F.col("timestamp").alias("event_timestamp"), "aqi",
-                       *[F.lit(None).cast("double").alias(c) for c in cols[3:7]], F.lit("unsupported").alias("status")))
-    return finish(out, ["aqi_rolling_mean"])
+    return finish(status.select(*cols), ["aqi_rolling_mean"])

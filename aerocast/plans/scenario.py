@@ -4,8 +4,9 @@ From the observation adapter (one key per user): rows before ``CUT`` are
 stored; the arriving batch holds the later rows (``fresh``), exact copies of
 fresh readings above 200 re-sent later (``twins``), already stored rows of
 the last stored day (``replay``), the same rows one second earlier (``late``)
-and copies of fresh readings below 10 under new keys without history
-(``newcomers``). ``seq`` offsets keep the arrival order unique.
+copies of fresh readings below 10 under new keys without history
+(``newcomers``), and copies of fresh readings without a time, without a key,
+with a negative pollutant or without PM2.5 and index (``broken``). ``seq`` offsets keep the arrival order unique.
 """
 
 from __future__ import annotations
@@ -49,9 +50,22 @@ def batch_parts(spark, sf_dir) -> dict[str, DataFrame]:
                       .withColumn("seq", F.col("seq") + 2_000_000_000),
         "newcomers": fresh.where(F.col("pm2_5") < 10).withColumn("city", F.concat(F.lit("new-"), F.col("city")))
                           .withColumn("seq", F.col("seq") + 3_000_000_000),
+        "broken": _broken(fresh),
     }
 
 
+def _broken(fresh: DataFrame) -> DataFrame:
+    kind = F.col("seq") % 7
+    null = F.lit(None)
+    return fresh.where(kind < 4).select(
+        F.when(kind != 1, F.col("city")).alias("city"),
+        F.when(kind == 0, null.cast("timestamp")).when(kind > 1, F.col("event_timestamp") + F.expr("INTERVAL 2 SECOND"))
+        .otherwise(F.col("event_timestamp")).alias("event_timestamp"),
+        (F.col("seq") + 4_000_000_000).alias("seq"), F.when(kind != 3, F.col("aqi")).alias("aqi"),
+        *[F.when(kind == 2, F.lit(-5.0)).otherwise(F.col(c)).alias(c) if c == "pm10"
+          else F.when(kind != 3, F.col(c)).alias(c) if c == "pm2_5" else F.col(c) for c in RAW_FEATURES])
+
+
 def batch(spark, sf_dir) -> DataFrame:
     parts = list(batch_parts(spark, sf_dir).values())
     out = parts[0]
@@ -72,4 +86,13 @@ batch AS (
   UNION ALL SELECT city, event_timestamp - INTERVAL 1 SECOND, seq + 2000000000, aqi, {_P} FROM o
             WHERE event_timestamp >= TIMESTAMP '{REPLAY_FROM}' AND event_timestamp < TIMESTAMP '{CUT}'
   UNION ALL SELECT 'new-' || city, event_timestamp, seq + 3000000000, aqi, {_P} FROM o
-            WHERE event_timestamp >= TIMESTAMP '{CUT}' AND pm2_5 < 10)"""
+            WHERE event_timestamp >= TIMESTAMP '{CUT}' AND pm2_5 < 10
+  UNION ALL SELECT CASE WHEN seq % 7 <> 1 THEN city END,
+                   CASE seq % 7 WHEN 0 THEN NULL WHEN 1 THEN event_timestamp ELSE event_timestamp + INTERVAL 2 SECOND END,
+                   seq + 4000000000, CASE WHEN seq % 7 <> 3 THEN aqi END,
+                   CASE WHEN seq % 7 = 2 THEN -5 ELSE pm10 END, CASE WHEN seq % 7 <> 3 THEN pm2_5 END,
+                   {', '.join(RAW_FEATURES[2:])} FROM o
+            WHERE event_timestamp >= TIMESTAMP '{CUT}' AND seq % 7 < 4)"""
+#: Rows of ``batch`` that the contract refuses.
+INVALID = "(city IS NULL OR event_timestamp IS NULL OR " + " OR ".join(
+    f"{c} IS NULL OR {c} < 0" for c in ("aqi", *RAW_FEATURES)) + ")"

@@ -55,8 +55,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and written tables.
 
-    Taken from the session (``spark.checkpoint.dir``). Only when it is unset,
-    as in local tests, a folder of our own is created and registered.
+    Taken from the session (``spark.checkpoint.dir``). Only when it is unset
+    and the master is local, as in tests, a folder of our own is created and
+    registered; on a cluster executors couldn't share it, so it is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +65,8 @@ def shared_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="aerocast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -74,6 +77,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/aerocast/{name}-{uuid.uuid4().hex}"
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _fs_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in whatever store its scheme names."""
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)

@@ -53,7 +53,7 @@ def read_csv_history(spark: SparkSession, path: str, city: str | None = None,
     raw = spark.read.option("header", True).csv(path)
     missing = sorted(set(columns) - set(raw.columns))
     if missing:
-        raise DataQualityError(f"Missing required columns: {missing}")
+        raise DataQualityError(f"the file lacks {', '.join(missing)}")
     df = raw.select(
         F.col("city"), to_utc_instant("timestamp").alias("timestamp"),
         *[try_number(c).alias(c) for c in RAW_FEATURES])
@@ -69,10 +69,12 @@ def flatten_payloads(payloads: DataFrame, source: str = "payload") -> DataFrame:
     """One observation row per payload: first reading of the pollution list,
     renamed components, PM2.5-derived AQI, weather fields (absent -> NULL).
 
-    Payloads without components are returned apart by ``payload_rejects``.
+    A payload without components gives a row without pollutants, which every
+    gate refuses by name; none vanishes. ``payload_rejects`` lists the payloads
+    that lack some component.
     """
     comp = F.get(F.col("air_pollution.list"), 0).getField("components")
-    return payloads.where(comp.isNotNull()).select(
+    return payloads.select(
         F.col("city"),
         to_utc_instant("timestamp").alias("timestamp"),
         *[comp.getField(src).alias(dst) for dst, src in COMPONENT_MAP.items()],
@@ -86,4 +88,7 @@ def flatten_payloads(payloads: DataFrame, source: str = "payload") -> DataFrame:
 
 def payload_rejects(payloads: DataFrame) -> DataFrame:
     comp = F.get(F.col("air_pollution.list"), 0).getField("components")
-    return payloads.where(comp.isNull())
+    lacking = comp.isNull()
+    for name in COMPONENT_MAP.values():
+        lacking = lacking | comp.getField(name).isNull()
+    return payloads.where(lacking)

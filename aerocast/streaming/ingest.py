@@ -1,24 +1,28 @@
 """Live ingest as a set operation per micro-batch.
 
-Status of each arriving row, tested in this order:
-
-1. ``duplicate``  - its ``(key, ts)`` is already stored;
-2. ``no_history`` - the key has fewer than 3 stored rows (fail closed);
-3. ``late``       - not newer than the key's last stored time;
-4. ``duplicate``  - an in-batch twin of an earlier-arriving row (by ``seq``;
+Status of each arriving row, tested in this order; every row gets one:
+
+1. ``invalid``    - no key, no time, or an index or pollutant that is absent,
+   not finite or negative; such a row is never stored and hides no other;
+2. ``duplicate``  - its ``(key, ts)`` is already stored;
+3. ``no_history`` - the key has fewer than 3 stored rows (fail closed);
+4. ``late``       - not newer than the key's last stored time;
+5. ``duplicate``  - an in-batch twin of an earlier-arriving row (by ``seq``;
    exact copies with equal ``seq`` keep one winner);
-5. ``inserted``   - otherwise; its lags come from the key's last 3 stored rows
+6. ``inserted``   - otherwise; its lags come from the key's last 3 stored rows
    followed by the batch's inserted rows in event-time order (each new row is
    history for the next).
 
 Per key the job keeps a small summary (row count, last time, last 3 rows)
 instead of re-reading the history; only rows that could be stored (``ts <=
-last time``) are checked against the store, over the batch's time range.
+last time``) are checked against the store, over the batch's days.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,17 +30,28 @@ from aerocast.contract import FEATURE_COLUMNS, MIN_HISTORY_ROWS, RAW_FEATURES
 from aerocast.functions import calendar_columns
 from aerocast.operators.features import rolling_prev3
 from aerocast.operators.ordered import last_n_per_key, shifted
-from aerocast.session import shared_root
+from aerocast.session import delete_path, path_exists, shared_root
 
 KEY, TS, SEQ, DATE = "city", "event_timestamp", "seq", "event_date"
 STATUS_COLUMNS = ["city", "event_timestamp", "seq", "aqi", *FEATURE_COLUMNS, "status"]
 
 
-def history_summary(stored: DataFrame, *, n_last: int = MIN_HISTORY_ROWS,
-                    chunk_rows: int | None = None) -> DataFrame:
+KEEP_VERSIONS = 5
+
+
+def is_invalid() -> Column:
+    """Rows that the contract refuses whatever is stored."""
+    bad = F.col(KEY).isNull() | F.col(TS).isNull()
+    for c in ("aqi", *RAW_FEATURES):
+        v = F.col(c).cast("double")
+        bad = bad | v.isNull() | F.isnan(v) | (v < 0) | (v == float("inf"))
+    return bad
+
+
+def history_summary(stored: DataFrame, *, n_last: int = MIN_HISTORY_ROWS) -> DataFrame:
     """Per key: stored row count, last event time, last ``n_last`` (ts, aqi)."""
     counts = stored.groupBy(KEY).agg(F.count(F.lit(1)).alias("n_stored"), F.max(TS).alias("last_ts"))
-    last = last_n_per_key(stored.select(KEY, TS, "aqi"), [KEY], TS, n_last, chunk_rows)
+    last = last_n_per_key(stored.select(KEY, TS, "aqi"), [KEY], TS, n_last)
     arr = last.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct(TS, "aqi"))).alias("last_rows"))
     return counts.join(arr, KEY, "left")
 
@@ -60,7 +75,7 @@ def advance_summary(summary: DataFrame, inserted: DataFrame, *, n_last: int = MI
 
 
 def batch_status(batch: DataFrame, summary: DataFrame, stored: DataFrame) -> DataFrame:
-    """Batch rows with their key's summary and ``status`` (rules 1-5).
+    """Batch rows with their key's summary and ``status`` (rules 1-6).
 
     Only rows not newer than their key's last time probe ``stored``; when
     the store has ``event_date``, the date joins too, so dynamic partition
@@ -69,8 +84,8 @@ def batch_status(batch: DataFrame, summary: DataFrame, stored: DataFrame) -> Dat
     s = summary.select(KEY, "n_stored", "last_ts", "last_rows")
     # a row id taken at the scan breaks ties between copies with equal seq
     b = batch.select(KEY, TS, SEQ, "aqi", *RAW_FEATURES).withColumn("_rid", F.monotonically_increasing_id()) \
-        .join(s, KEY, "left")
-    cand = b.where(F.col(TS) <= F.col("last_ts")).select(KEY, TS).distinct()
+        .withColumn("_bad", is_invalid()).join(s, KEY, "left")
+    cand = b.where(~F.col("_bad") & (F.col(TS) <= F.col("last_ts"))).select(KEY, TS).distinct()
     if DATE in stored.columns:
         # the date in the join key lets dynamic partition pruning read only
         # the store partitions of the candidates' days
@@ -79,10 +94,11 @@ def batch_status(batch: DataFrame, summary: DataFrame, stored: DataFrame) -> Dat
     else:
         probe = [KEY, TS]
     hit = cand.join(stored.select(*probe), probe, "left_semi").select(KEY, TS).withColumn("_stored", F.lit(True))
-    firsts = b.groupBy(KEY, TS).agg(F.min(F.struct(SEQ, "_rid")).alias("_first"))
-    b = b.join(hit, [KEY, TS], "left").join(firsts, [KEY, TS])
+    firsts = b.where(~F.col("_bad")).groupBy(KEY, TS).agg(F.min(F.struct(SEQ, "_rid")).alias("_first"))
+    b = b.join(hit, [KEY, TS], "left").join(firsts, [KEY, TS], "left")
     status = (
-        F.when(F.col("_stored"), "duplicate")
+        F.when(F.col("_bad"), "invalid")
+        .when(F.col("_stored"), "duplicate")
         .when(F.coalesce(F.col("n_stored"), F.lit(0)) < MIN_HISTORY_ROWS, "no_history")
         .when(F.col(TS) <= F.col("last_ts"), "late")
         .when(F.struct(SEQ, "_rid") != F.col("_first"), "duplicate")
@@ -92,8 +108,7 @@ def batch_status(batch: DataFrame, summary: DataFrame, stored: DataFrame) -> Dat
 
 
 def ingest_batch(batch: DataFrame, summary: DataFrame, stored: DataFrame,
-                 created_at=None, chunk_rows: int | None = None,
-                 summary_is_table: bool = False) -> DataFrame:
+                 chunk_rows: int | None = None, summary_is_table: bool = False) -> DataFrame:
     """Status rows for ``batch`` (key, event_timestamp, seq, aqi, pollutants).
 
     Output: ``STATUS_COLUMNS``; features are NULL unless inserted.
@@ -131,17 +146,65 @@ def store_rows(status_rows: DataFrame, created_at) -> DataFrame:
         KEY, TS, F.lit(created_at).cast("timestamp").alias("created_timestamp"), "aqi", *FEATURE_COLUMNS)
 
 
+class VersionedState:
+    """A small table rewritten once per micro-batch, as ``version=N`` folders.
+
+    ``_log`` has one row (version, run, batch) per finished version. A batch
+    that is run again starts from the version before its own and replaces its
+    own; another run, or another batch, starts from the newest. The last
+    KEEP_VERSIONS folders stay.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _log(self) -> list:
+        log = f"{self.root}/_log"
+        if not path_exists(self.spark, log):
+            return []
+        return self.spark.read.schema("version long, run string, batch long").parquet(log).orderBy("version").collect()
+
+    def target(self, run: str, batch: int) -> tuple[int, int]:
+        """(version to start from, version to write) of a batch."""
+        rows = self._log()
+        own = [r.version for r in rows if (r.run, r.batch) == (run, batch)]
+        newest = own[-1] if own else rows[-1].version + 1 if rows else 0
+        return newest - 1, newest
+
+    def read(self, version: int | None = None) -> DataFrame:
+        version = self._log()[-1].version if version is None else version
+        return self.spark.read.parquet(f"{self.root}/version={version}")
+
+    def write(self, df: DataFrame, version: int, run: str, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/version={version}")
+        if version not in [r.version for r in self._log()]:
+            (self.spark.createDataFrame([(version, run, batch)], "version long, run string, batch long")
+             .coalesce(1).write.mode("append").parquet(f"{self.root}/_log"))
+        if version >= KEEP_VERSIONS:
+            delete_path(self.spark, f"{self.root}/version={version - KEEP_VERSIONS}")
+
+
+def append_new(spark: SparkSession, store: str, rows: DataFrame) -> None:
+    """Append the rows whose (key, ts) the store doesn't hold; the probe reads
+    only the days of ``rows``."""
+    probe = [KEY, TS, DATE]
+    rows = rows.withColumn(DATE, F.to_date(TS))
+    held = rows.select(*probe).join(spark.read.parquet(store).select(*probe), probe, "left_semi")
+    rows.join(held, probe, "left_anti").write.mode("append").partitionBy(DATE).parquet(store)
+
+
 def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out: str, state: str,
                       checkpoint: str, schema: T.StructType, created_at, max_files_per_trigger: int | None = None,
-                      served: str | None = None):
+                      served: str | None = None, run: str | None = None):
     """Structured Streaming job: landed files -> statuses, store, summary,
     served table.
 
-    Each micro-batch reads the summary written by the previous batch and the
-    store rows of earlier batches only, so a re-run of a batch after a
-    failure gives the same statuses. Store appends skip keys the batch wrote
-    already; status, summary and served-table writes replace the batch's own
-    partition. The store is partitioned by event day.
+    A run is named by its checkpoint (or ``run``). Statuses come from all rows
+    that other batches and other runs stored, and from the summary before this
+    batch, so a batch that is run again after a failure gives the same
+    statuses, and files that reach the job again through a new checkpoint are
+    ``duplicate``. Store appends skip every (key, ts) the store holds, whoever
+    wrote it. The store is partitioned by event day; status by run and batch.
 
     Runs as ``availableNow``: everything landed since the last run is one
     micro-batch by default (a scheduled run, as the hourly collector), or
@@ -150,25 +213,23 @@ def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out:
     """
     from aerocast.operators.store import materialize
 
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    run = run or hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    summaries, views = VersionedState(spark, state), VersionedState(spark, served) if served else None
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        summary = spark.read.parquet(state).where(F.col("batch_id") == F.lit(batch_id - 1)).drop("batch_id")
-        earlier = spark.read.parquet(store).where(F.col("batch_id") < F.lit(batch_id))
-        st = ingest_batch(df, summary, earlier, summary_is_table=True).withColumn(
-            "batch_id", F.lit(batch_id)).persist()
+        own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+        before, after = summaries.target(run, batch_id)
+        summary = summaries.read(before)
+        st = ingest_batch(df, summary, spark.read.parquet(store).where(~own), summary_is_table=True).withColumns(
+            {"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")}).persist()
         new = store_rows(st, created_at)
-        already = spark.read.parquet(store).where(F.col("batch_id") == F.lit(batch_id)).select(KEY, TS)
-        (new.join(already, [KEY, TS], "left_anti")
-         .withColumns({"batch_id": F.lit(batch_id), DATE: F.to_date(TS)})
-         .write.mode("append").partitionBy(DATE).parquet(store))
-        st.write.mode("overwrite").partitionBy("batch_id").parquet(status_out)
-        nxt = advance_summary(summary, new.select(KEY, TS, "aqi"))
-        nxt.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").parquet(state)
-        if served is not None:
-            prev = spark.read.parquet(served).where(F.col("batch_id") == F.lit(batch_id - 1)).drop("batch_id")
-            (materialize(prev, new).withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").partitionBy("batch_id").parquet(served))
+        append_new(spark, store, new.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")}))
+        (st.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run", "batch_id").parquet(status_out))
+        if views is not None:
+            first, nxt = views.target(run, batch_id)
+            views.write(materialize(views.read(first), new), nxt, run, batch_id)
+        summaries.write(advance_summary(summary, new.select(KEY, TS, "aqi")), after, run, batch_id)
         st.unpersist()
 
     reader = spark.readStream.schema(schema)
@@ -181,13 +242,14 @@ def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out:
 
 
 def seed_stream_state(stored: DataFrame, store: str, state: str, served: str | None = None) -> None:
-    """Write the initial store, its summary and served table (batch -1)."""
+    """Write the initial store, its summary and served table."""
     from aerocast.operators.store import latest_rows
 
-    (stored.withColumns({"batch_id": F.lit(-1), DATE: F.to_date(TS)})
+    spark = stored.sparkSession
+    (stored.withColumns({"run": F.lit("seed"), "batch_id": F.lit(-1).cast("long"), DATE: F.to_date(TS)})
      .write.mode("overwrite").partitionBy(DATE).parquet(store))
     # summary and served table come from the written store (read once each)
-    written = stored.sparkSession.read.parquet(store).drop("batch_id", DATE)
-    history_summary(written).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(state)
+    written = spark.read.parquet(store).drop("run", "batch_id", DATE)
+    VersionedState(spark, state).write(history_summary(written), 0, "seed", -1)
     if served is not None:
-        latest_rows(written).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy("batch_id").parquet(served)
+        VersionedState(spark, served).write(latest_rows(written), 0, "seed", -1)

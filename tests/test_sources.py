@@ -35,6 +35,8 @@ def test_payload_documents_flatten_guard_and_reject(spark):
     raw = read_payloads(spark, d, multi_line=True)
     flat = flatten_payloads(raw)
     assert payload_rejects(raw).count() == 1
+    assert flat.count() == 3 and flat.where("pm2_5 IS NULL AND aqi IS NULL").count() == 1  # none vanishes
+    flat = flat.where("pm2_5 IS NOT NULL")
     rows = {r.city: r for r in flat.collect()}
     assert rows["Lahore"].pm2_5 == 25.44 and rows["Lahore"].carbon_monoxide == 437.01
     assert rows["Lahore"].wind_speed == 4.39 and rows["Lahore"].aqi == 79.1  # 49 * 13.34 / 23.3 + 51 = 79.054

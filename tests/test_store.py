@@ -25,7 +25,8 @@ def test_ingest_statuses_all_hit(spark):
     st = sc.stored(spark, SF_SMALL)
     out = ig.ingest_batch(sc.batch(spark, SF_SMALL), ig.history_summary(st), st)
     got = {r.status for r in out.select("status").distinct().collect()}
-    assert got == {"inserted", "duplicate", "late", "no_history"}
+    assert got == {"inserted", "duplicate", "late", "no_history", "invalid"}
+    assert out.count() == sc.batch(spark, SF_SMALL).count()
     ins = out.where("status = 'inserted'")
     assert ins.where("aqi_lag1 IS NULL OR aqi_rolling_mean IS NULL").count() == 0
 
@@ -75,21 +76,27 @@ def test_stream_served_table_and_rerun(spark):
     assert so.key_violations(st).count() == 0
     n_inserted = spark.read.parquet(status).where("status = 'inserted'").count()
     assert st.count() == seed.count() + n_inserted
-    sv = spark.read.parquet(served)
-    top = sv.agg(F.max("batch_id")).first()[0]
-    assert top == 0  # one scheduled run: one micro-batch
-    last = sv.where(F.col("batch_id") == top).select("city", "event_timestamp")
-    expect = so.latest_rows(st.drop("batch_id", "event_date")).select("city", "event_timestamp")
+    sv = ig.VersionedState(spark, served)
+    assert [(r.version, r.batch) for r in sv._log()] == [(0, -1), (1, 0)]  # one scheduled run: one micro-batch
+    last = sv.read().select("city", "event_timestamp")
+    expect = so.latest_rows(st.drop("run", "batch_id", "event_date")).select("city", "event_timestamp")
     assert last.exceptAll(expect).count() == 0 and expect.exceptAll(last).count() == 0
-    # a replay of batch 0 (fresh checkpoint) reports the same statuses and
-    # adds nothing to the store
-    n_store = spark.read.parquet(store).count()
+    assert spark.read.parquet(status).count() == b.count()  # a status for every row
+    n_store = st.count()
+    # batch 0 run again under its own name reports the same statuses
     ig.run_ingest_stream(spark, f"{landing}/part=*", store, f"{root}/status2", state, f"{root}/ckpt2", b.schema,
-                         created_at="2024-02-01 00:00:00")
+                         created_at="2024-02-01 00:00:00", run=sv._log()[-1].run)
     s1, s2 = spark.read.parquet(status), spark.read.parquet(f"{root}/status2")
     assert s1.exceptAll(s2).count() == 0 and s2.exceptAll(s1).count() == 0
-    assert spark.read.parquet(store).count() == n_store
-    assert so.key_violations(spark.read.parquet(store)).count() == 0
+    # the same files through a new checkpoint are duplicates of what is stored
+    ig.run_ingest_stream(spark, f"{landing}/part=*", store, f"{root}/status3", state, f"{root}/ckpt3", b.schema,
+                         created_at="2024-02-03 00:00:00", served=served)
+    s3 = spark.read.parquet(f"{root}/status3")
+    assert s3.count() == b.count() and s3.where("status = 'inserted'").count() == 0
+    end = spark.read.parquet(store)
+    assert end.count() == n_store and so.key_violations(end).count() == 0
+    again = sv.read().select("city", "event_timestamp")
+    assert again.exceptAll(expect).count() == 0 and expect.exceptAll(again).count() == 0
 
 
 def test_store_probe_prunes_partitions(spark):
@@ -125,3 +132,52 @@ def test_refresh_served_versions(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     # the old version stays readable
     assert spark.read.parquet(f"{root}/v=0").count() == early.select("city").distinct().count()
+
+
+def test_null_keys_are_never_stored(spark):
+    path = scratch_path(spark, "store-nulls")
+    rows = sc.stored(spark, SF_SMALL).limit(20).withColumn("created_timestamp", F.col("event_timestamp"))
+    bad = rows.limit(5).withColumn("city", F.lit(None).cast("string"))
+    for _ in range(2):
+        so.append_once(spark, path, rows.unionByName(bad))
+    assert spark.read.parquet(path).count() == 20
+
+
+def test_served_versions_are_retired(spark):
+    root = scratch_path(spark, "served-kept")
+    rows = sc.stored(spark, SF_SMALL).withColumn("created_timestamp", F.col("event_timestamp")).limit(30)
+    for _ in range(4):
+        last = so.refresh_served(spark, root, rows, keep=2)
+    from aerocast.session import path_exists
+    assert [path_exists(spark, f"{root}/v={v}") for v in range(last + 1)] == [False, False, True, True]
+
+
+def test_collect_stores_once(spark):
+    """Payloads of every kind get a status; a second run stores nothing."""
+    from aerocast.plans.collect import run_collect
+    from aerocast.contract import FEATURE_COLUMNS, RAW_FEATURES
+    from aerocast.operators import features as ft
+
+    root = scratch_path(spark, "collect")
+    seed = ft.hourly_feature_rows(sc.stored(spark, SF_SMALL).withColumnRenamed("event_timestamp", "timestamp"),
+                                  include_targets=False, complete_only=False).withColumnRenamed("timestamp", "event_timestamp")
+    seed = seed.select("city", "event_timestamp", F.col("event_timestamp").alias("created_timestamp"), "aqi", *FEATURE_COLUMNS)
+    so.append_once(spark, f"{root}/store", seed)
+    b = sc.batch(spark, SF_SMALL)
+    names = dict(zip(("pm10", "pm2_5", "co", "no2", "so2", "o3"), RAW_FEATURES))
+    comp = F.struct(*[F.col(c).alias(n) for n, c in names.items()])
+    when = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp")
+    b.select(when, "city", F.struct(F.array(F.struct(comp.alias("components"))).alias("list")).alias("air_pollution")).write.json(f"{root}/in")
+    b.limit(3).select(when, "city").write.mode("append").json(f"{root}/in")
+    keys = seed.select("city").distinct()
+    status, history, ready = run_collect(spark, f"{root}/in", f"{root}/store", f"{root}/served", keys, "2024-02-01 00:00:00", multi_line=False)
+    counts = {r.status: r["count"] for r in status.groupBy("status").count().collect()}
+    assert sum(counts.values()) == b.count() + 3 and counts["invalid"] >= 3 and counts["unsupported"] > 0 and counts["inserted"] > 0
+    n = spark.read.parquet(f"{root}/store").count()
+    assert n == seed.count() + counts["inserted"]
+    assert history.agg(F.sum("n_rows")).first()[0] == n and ready.count() == keys.count()
+    served = so.read_served(spark, f"{root}/served")
+    assert served.count() == status.where("status = 'inserted'").select("city").distinct().count()
+    run_collect(spark, f"{root}/in", f"{root}/store", f"{root}/served", keys, "2024-02-02 00:00:00", multi_line=False)
+    end = spark.read.parquet(f"{root}/store")
+    assert end.count() == n and so.key_violations(end).count() == 0
