@@ -7,18 +7,20 @@ squared tables need only 2 * BANDS * HALF minhashes. Documents with equal sets
 are one node from the start (its smallest id). At similarity 0.8 a pair misses
 every table with probability 2 * (1 - 0.8**HALF)**BANDS = 2e-4.
 
-Links are confirmed on full sets, made anew from the texts. Not all pairs of a
-table's bucket are tried: in each of STAR_ROUNDS rounds every bucket compares
-its members with one centre (the least member first, then one chosen by a hash
-that differs by round and table) unless they are in its component already, and
-components are joined. Members of a family of copies share many tables, so each
-meets many centres at the cost of one comparison per bucket. What is left then,
-pairs of one bucket in different components, is searched whole: sketches of
-SKETCH further minhashes, 8 bits each, are held against each other in blocks
-inside a task, and the pairs that agree in MIN_AGREE of them are confirmed on
-full sets (a pair at 0.8 falls below with probability 3e-5). A pair is listed
-by the first table only that has it. Buckets above WIDE members are first
-divided by a third sub-signature, each member under every one of them.
+Links are confirmed on full sets, made anew from the texts, in two steps.
+First every bucket compares its members with its least one, and components are
+joined: most copies of a family are found at one comparison per bucket. Then the
+members of buckets that still hold several components are dealt, with their
+texts, by each of the BANDS sub-signatures of the first collection (a pair at
+0.8 shares none with probability 1e-4), and the pairs of a group that lie in
+different components are searched whole inside its task: sketches of SKETCH
+further minhashes, 8 bits each, are held against each other in blocks, pairs
+that agree in MIN_AGREE of them (at 0.8, all but 3e-5 do) are compared on full
+sets, and a link joins two components for the rest of the search. So a group
+gives at most as many links as it has members, and no list of its pairs is
+made. A pair is looked at in the first group only that has it. Groups above
+WIDE members are divided by a sub-signature of the second collection, each
+member under every one of them.
 
 Edge cases: a text with fewer than four words is one shingle of all its words;
 null texts and texts without words have an empty set and link with nothing;
@@ -43,9 +45,8 @@ SHINGLE = 4
 SHARE = (80, 100)  # 100 * intersection >= 80 * union
 BANDS, HALF = 9, 2
 HASHES = 2 * BANDS * HALF
-STAR_ROUNDS = 4
 SKETCH, MIN_AGREE = 256, 179
-WIDE = 2000
+WIDE = 10_000
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 _salt = ta.mix(np.arange(1, 2 * (HASHES + SKETCH) + 1, dtype=np.uint64)).reshape(2, -1)
@@ -141,12 +142,6 @@ def keys_of(sub: np.ndarray) -> np.ndarray:
     return ta.mix(pairs.reshape(len(sub), -1) + np.arange(BANDS * BANDS, dtype=np.uint64) * np.uint64(ta.R))
 
 
-def table_of(key: np.ndarray, sub: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The two sub-signatures that made each key."""
-    at = (keys_of(sub) == key[:, None]).argmax(1)
-    return at // BANDS, at % BANDS
-
-
 def table_keys(nodes: DataFrame) -> DataFrame:
     """(key, doc_id): BANDS squared keys of each node, from pairs of sub-signatures."""
     def run(batches):
@@ -197,85 +192,96 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def mixed(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, doc_id, comp, size) of the buckets whose members are in several components."""
+    """(doc_id, comp) of the members of buckets with several components."""
     named = groups.filter("size > 2").join(labels, "doc_id")
     several = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
-    return named.join(several, "key").select("key", "doc_id", "comp", "size")
-
+    return named.join(several, "key").select("doc_id", "comp").distinct()
 
-def star_pairs(members: DataFrame, nth: int) -> DataFrame:
-    """Each member with its bucket's centre of this round, if their components differ."""
-    order = F.xxhash64("key", "doc_id", F.lit(nth))
-    centre = members.groupBy("key").agg(F.min(order).alias("o"))
-    centres = members.join(centre, "key").filter(order == F.col("o")).select("key", F.col("doc_id").alias("a"), F.col("comp").alias("ca"))
-    return (members.join(centres, "key").filter("comp != ca")
-            .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct())
 
-
-def left_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """All pairs (a, b) of one bucket in different components whose sketches
-    agree in MIN_AGREE places or more, each listed once."""
-    def sketch(batches):
+def search_groups(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(part, band, third, doc_id): groups of members that share sub-signature
+    ``band`` of the first collection, wide ones divided by ``third`` of the second."""
+    def sub(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                d, h = shingle_sets(*ta.unpack(part.column(1)))
-                sub = sub_signatures(minhashes(d, h))
-                yield pa.RecordBatch.from_arrays(  # all of these have shingles
-                    [part.column(0), pa.array([x.tobytes() for x in sub], pa.binary()), pa.array([x.tobytes() for x in sketches(d, h)], pa.binary())],
-                    names=["doc_id", "sub", "sketch"])
+            x = sub_signatures(np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint32).reshape(-1, HASHES))
+            parts = ta.mix(x[:, :BANDS] + np.arange(BANDS, dtype=np.uint64) * np.uint64(ta.R))
+            n = len(x)
+            yield pa.RecordBatch.from_arrays(
+                [signed(parts.ravel()), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), n)),
+                 b.column(0).take(pa.array(np.repeat(np.arange(n), BANDS))), b.column(1).take(pa.array(np.repeat(np.arange(n), BANDS))),
+                 ta.binary_array(np.repeat(x[:, BANDS:], BANDS, axis=0), np.arange(n * BANDS + 1) * 8 * BANDS)],
+                names=["part", "band", "doc_id", "comp", "second"])
 
     def divide(batches):
-        """Members of wide buckets under each further sub-signature (``third``)."""
         for b in batches:
-            sub = np.frombuffer(b"".join(b.column(4).to_pylist()), np.uint64).reshape(-1, 2 * BANDS)
-            key, wide = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy() > WIDE
-            times = np.where(wide, 2 * BANDS, 1)
-            row = np.repeat(np.arange(len(key)), times)
-            third = np.where(wide[row], np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times), -1)
-            finer = ta.mix(key[row] + ta.mix(sub[row, third] + third.astype(np.uint64)))
-            # dividing by a sub-signature of the table itself would divide nothing
-            i, j = table_of(key, sub)
-            keep = (third < 0) | ((third != i[row]) & (third != j[row] + BANDS))
-            row, third, finer = row[keep], third[keep], finer[keep]
-            take = lambda c: b.column(c).take(pa.array(row))
+            part, size = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
+            second = np.frombuffer(b"".join(b.column(4).to_pylist()), np.uint64).reshape(-1, BANDS)
+            times = np.where(size > WIDE, BANDS, 1)
+            row = np.repeat(np.arange(len(part)), times)
+            third = np.where(size[row] > WIDE, np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times), -1)
+            finer = ta.mix(part[row] + ta.mix(second[row, third] + third.astype(np.uint64)))
             yield pa.RecordBatch.from_arrays(
-                [signed(np.where(third < 0, key[row], finer)), pa.array(third.astype(np.int32)), take(0), take(2), take(3), take(4), take(5)],
-                names=["part", "third", "key", "doc_id", "comp", "sub", "sketch"])
-
-    def compare(table: pa.Table) -> pa.Table:
-        comp = table.column("comp").to_numpy()
-        order = np.argsort(comp, kind="stable")  # members of one component lie together
-        table, comp = table.take(pa.array(order)), comp[order]
-        ids, third = table.column("doc_id").to_numpy(), int(table.column("third")[0].as_py())
-        sub = np.frombuffer(b"".join(table.column("sub").to_pylist()), np.uint64).reshape(-1, 2 * BANDS)
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-        i0, j0 = (int(x[0]) for x in table_of(table.column("key").to_numpy()[:1].view(np.uint64), sub[:1]))
-        a, b, step = [ids[:0]], [ids[:0]], 256
-        for i in range(0, len(ids), step):
-            for j in range(i, len(ids), step):
-                if comp[i] == comp[min(j + step, len(ids)) - 1]:
+                [signed(np.where(third < 0, part[row], finer)), b.column(2).take(pa.array(row)), pa.array(third.astype(np.int32)), b.column(3).take(pa.array(row))],
+                names=["part", "band", "third", "doc_id"])
+
+    known = members.join(nodes.dropDuplicates(["doc_id"]), "doc_id").select("doc_id", "comp", "sig")
+    spread = written(known.mapInArrow(sub, "part bigint, band int, doc_id bigint, comp bigint, second binary"), "spread")
+    several = (spread.groupBy("part").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"))
+               .filter("x != y").select("part", "members"))
+    return (spread.join(several, "part").select("part", "members", "band", "doc_id", "second")
+            .mapInArrow(divide, "part bigint, band int, third int, doc_id bigint"))
+
+
+def linked_in_group(table: pa.Table) -> pa.Table:
+    """Links between the components of one group, one for each two that it joins."""
+    comp = table.column("comp").to_numpy()
+    order = np.argsort(comp, kind="stable")  # members of one component lie together
+    table, comp = table.take(pa.array(order)), comp[order]
+    ids, n = table.column("doc_id").to_numpy(), table.num_rows
+    band, third = int(table.column("band")[0].as_py()), int(table.column("third")[0].as_py())
+    sub, sketch, sets = np.empty((n, 2 * BANDS), np.uint64), np.empty((n, SKETCH), np.uint8), []
+    for at in range(0, n, 256):
+        d, h = shingle_sets(*ta.unpack(table.column("z").slice(at, 256)))
+        sub[at:at + 256], sketch[at:at + 256] = sub_signatures(minhashes(d, h)), sketches(d, h)
+        sets += np.split(h, np.flatnonzero(np.diff(d)) + 1)
+    _, root = np.unique(comp, return_inverse=True)
+    root = root.tolist()
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    home = list(root)  # a member's component, an entry of root after the next line
+    root = list(range(max(home) + 1))
+    a, b, step = [], [], 256
+    for i in range(0, n, step):
+        for j in range(i, n, step):
+            if comp[i] == comp[min(j + step, n) - 1]:
+                continue
+            agree = np.zeros((len(ids[i:i + step]), len(ids[j:j + step])), np.uint16)
+            for k in range(SKETCH):
+                agree += sketch[i:i + step, None, k] == sketch[None, j:j + step, k]
+            x, y = np.nonzero((agree >= MIN_AGREE) & (comp[i:i + step, None] != comp[None, j:j + step]))
+            likely = np.argsort(-agree[x, y].astype(np.int64), kind="stable")
+            x, y = x[likely] + i, y[likely] + j
+            keep = x < y
+            equal = sub[x] == sub[y]
+            keep &= equal[:, :BANDS].argmax(1) == band
+            if third >= 0:
+                keep &= equal[:, BANDS:].argmax(1) == third
+            for p, q in zip(x[keep].tolist(), y[keep].tolist(), strict=True):
+                u, v = top(home[p]), top(home[q])
+                if u == v:
                     continue
-                agree = np.zeros((len(ids[i:i + step]), len(ids[j:j + step])), np.uint16)
-                for k in range(SKETCH):
-                    agree += sketch[i:i + step, None, k] == sketch[None, j:j + step, k]
-                x, y = np.nonzero((agree >= MIN_AGREE) & (comp[i:i + step, None] != comp[None, j:j + step]))
-                x, y = x[i + x < j + y] + i, y[i + x < j + y] + j
-                equal = sub[x] == sub[y]
-                first = (equal[:, :BANDS].argmax(1) == i0) & (equal[:, BANDS:].argmax(1) == j0)
-                if third >= 0:
-                    equal[:, [i0, BANDS + j0]] = False
-                    first &= equal.argmax(1) == third
-                a.append(ids[x[first]])
-                b.append(ids[y[first]])
-        a, b = np.concatenate(a), np.concatenate(b)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    wanted = members.select("doc_id").distinct()
-    known = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "z").mapInArrow(sketch, "doc_id bigint, sub binary, sketch binary")
-    parts = (members.join(known, "doc_id").select("key", "size", "doc_id", "comp", "sub", "sketch")
-             .mapInArrow(divide, "part bigint, third int, key bigint, doc_id bigint, comp bigint, sub binary, sketch binary"))
-    return parts.groupBy("part").applyInArrow(compare, "a bigint, b bigint").distinct()
+                small, large = sorted((sets[p], sets[q]), key=len)
+                at = np.searchsorted(large, small)
+                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+                if SHARE[1] * both >= SHARE[0] * (len(small) + len(large) - both):
+                    root[max(u, v)] = min(u, v)
+                    a.append(ids[p])
+                    b.append(ids[q])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -292,10 +298,10 @@ def near_components(docs: DataFrame) -> DataFrame:
     texts = written(_packed(docs).join(labels.select("doc_id"), "doc_id", "left_semi"), "texts")
     pairs = groups.filter("centre != doc_id").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
     labels = joined(labels, confirmed(pairs, texts))
-    for nth in range(1, STAR_ROUNDS):
-        labels = joined(labels, confirmed(star_pairs(mixed(groups, labels), nth), texts))
     members = written(mixed(groups, labels), "mixed")
-    labels = joined(labels, confirmed(left_pairs(members, texts), texts))
+    held = members.join(texts, "doc_id").select("doc_id", "comp", "z")
+    searched = search_groups(members, nodes).join(held, "doc_id").groupBy("part").applyInArrow(linked_in_group, "a bigint, b bigint")
+    labels = joined(labels, searched.distinct())
     same = base.filter("n_shingles > 0 and doc_id is not null").join(sets, ["s1", "s2", "n_shingles"]).select("doc_id", "node").distinct()
     links = (same.filter("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
              .unionByName(labels.filter("doc_id != comp").select(F.col("doc_id").alias("a"), F.col("comp").alias("b"))))

@@ -71,7 +71,6 @@ def chain(n=60, seed=5):
 @pytest.mark.parametrize("wide", [2000, 5])
 def test_drifting_copies_are_one_component(spark, monkeypatch, wide):
     monkeypatch.setattr(op3, "WIDE", wide)
-    monkeypatch.setattr(op3, "STAR_ROUNDS", 1)
     pairs = chain()
     assert rows(op3.near_components(table(spark, pairs))) == brute_near(pairs)
 
