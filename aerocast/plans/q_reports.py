@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_COLUMNS, HORIZONS, RAW_FEATURES
@@ -16,9 +18,9 @@ from aerocast.plans.sqlparts import (
 )
 from aerocast.session import prepare, scratch_path
 from aerocast.sources.files import flatten_payloads, read_csv_history, read_payloads
-from aerocast.sources.history import city_history, history_page
+from aerocast.sources.history import city_history, history_page, page_after
 from aerocast.sources.observations import events_observations
-from aerocast.streaming.windows import run_daily_mean_stream
+from aerocast.streaming.windows import late_after_close, run_daily_mean_stream
 
 ISO_MICRO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -89,6 +91,17 @@ def q_history_page(spark, sf_dir):
     return finish(history_page(obs, 500, 250))
 
 
+@query("history_page_after", f"""
+WITH {obs_cte('type')}
+SELECT city, timestamp, aqi, {POLLUTANTS} FROM obs
+WHERE city > 'click' OR (city = 'click' AND timestamp > TIMESTAMP '2024-01-20 00:00:00') ORDER BY city, timestamp LIMIT 250
+""")
+def q_history_page_after(spark, sf_dir):
+    prepare(spark)
+    obs = events_observations(spark, sf_dir, "type").select("city", "timestamp", "aqi", *RAW_FEATURES)
+    return finish(page_after(obs, ("click", dt.datetime(2024, 1, 20, tzinfo=dt.timezone.utc)), 250))
+
+
 # --- C1, J2, P3: backfill payload (all rows, first three per key without lags) -----
 _BF_SQL = f"""{obs_cte('type')}, {hourly_cte('obs', name='bf', targets=False, complete=False)}"""
 
@@ -227,7 +240,27 @@ def q_stream_daily_mean(spark, sf_dir):
     obs = events_observations(spark, sf_dir, "user").select("city", "timestamp", "aqi", *RAW_FEATURES)
     obs.write.parquet(f"{root}/landing")
     run_daily_mean_stream(spark, f"{root}/landing", obs.schema, f"{root}/out", f"{root}/ckpt")
-    return finish(spark.read.parquet(f"{root}/out"), ["aqi", *RAW_FEATURES])
+    return finish(spark.read.parquet(f"{root}/out").drop("n_rows"), ["aqi", *RAW_FEATURES])
+
+
+@query("stream_late_rows", f"""
+WITH {obs_cte('user')},
+late AS (SELECT * FROM obs WHERE timestamp < (SELECT max(timestamp) FROM obs) - INTERVAL 10 DAY AND pm2_5 > 50),
+n AS (SELECT city, date_trunc('day', timestamp) AS timestamp, count(*) AS n_rows FROM obs GROUP BY 1, 2),
+l AS (SELECT city, date_trunc('day', timestamp) AS timestamp, count(*) AS n_late FROM late GROUP BY 1, 2)
+SELECT l.city, l.timestamp, n.n_rows + l.n_late AS n_landed, n.n_rows, l.n_late FROM l JOIN n ON l.city = n.city AND l.timestamp = n.timestamp
+""")
+def q_stream_late_rows(spark, sf_dir):
+    prepare(spark)
+    root = scratch_path(spark, "stream-late")
+    obs = events_observations(spark, sf_dir, "user").select("city", "timestamp", "aqi", *RAW_FEATURES)
+    last = obs.agg(F.max("timestamp")).first()[0]
+    late = obs.where((F.col("timestamp") < F.lit(last) - F.expr("INTERVAL 10 DAY")) & (F.col("pm2_5") > 50))
+    for part, rows in ((1, obs), (2, late)):  # re-sent after their days were closed
+        rows.write.parquet(f"{root}/landing/part={part}")
+        run_daily_mean_stream(spark, f"{root}/landing/part=*", obs.schema, f"{root}/out", f"{root}/ckpt")
+    landed = spark.read.parquet(f"{root}/landing").drop("part")
+    return finish(late_after_close(landed, spark.read.parquet(f"{root}/out")).select("city", "timestamp", "n_landed", "n_rows", "n_late"))
 
 
 # --- W8: chronological 80/20 split -----------------------------------------------------------

@@ -14,12 +14,13 @@ def daily_mean_stream(stream: DataFrame, *, key: str = "city", ts: str = "timest
     """Closed UTC days per key; a day is emitted once the watermark passes it.
 
     The watermark needs ``TimestampType`` (``timestamp_ntz`` is refused), so
-    event times are cast first.
+    event times are cast first. ``n_rows`` is the number of rows a day was
+    closed with; rows that come later are listed by ``late_after_close``.
     """
     s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
     return s.groupBy(F.col(key), F.window(ts, "1 day").alias("_w")).agg(
-        *[F.avg(c).alias(c) for c in ["aqi", *RAW_FEATURES]]
-    ).select(key, F.col("_w.start").alias(ts), "aqi", *RAW_FEATURES)
+        *[F.avg(c).alias(c) for c in ["aqi", *RAW_FEATURES]], F.count(F.lit(1)).alias("n_rows")
+    ).select(key, F.col("_w.start").alias(ts), "aqi", *RAW_FEATURES, "n_rows")
 
 
 def run_daily_mean_stream(spark: SparkSession, landing: str, schema: T.StructType, out: str,
@@ -29,3 +30,14 @@ def run_daily_mean_stream(spark: SparkSession, landing: str, schema: T.StructTyp
          .option("path", out).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def late_after_close(landed: DataFrame, closed: DataFrame, *, key: str = "city", ts: str = "timestamp") -> DataFrame:
+    """Per key and closed day with rows that came past the watermark: rows
+    landed, rows in the emitted mean, and their difference. The stream drops
+    such rows unseen; this lists them from the landed files, so a day can be
+    computed anew."""
+    day = F.date_trunc("day", F.col(ts).cast("timestamp"))
+    seen = landed.groupBy(F.col(key), day.alias(ts)).agg(F.count(F.lit(1)).alias("n_landed"))
+    return (seen.join(closed.select(key, F.col(ts).cast("timestamp").alias(ts), "n_rows"), [key, ts])
+            .withColumn("n_late", F.col("n_landed") - F.col("n_rows")).where("n_late > 0"))
