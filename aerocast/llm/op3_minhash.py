@@ -317,6 +317,19 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
 
-@query("op3_minhash_near_dedup")
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) BETWEEN 1 AND 3 THEN [array_to_string(ws, ' ')]
+             ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS sh FROM w),
+x AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (max(a.n) + max(b.n) - count(*))),
+c AS (SELECT doc_id AS node, doc_id AS reach FROM documents UNION SELECT c.node, l.b FROM c JOIN l ON l.a = c.reach)
+SELECT s.doc_id, len(sh) AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept
+FROM s JOIN (SELECT node, min(reach) AS component_id FROM c GROUP BY node) m ON s.doc_id = m.node
+"""
+
+
+@query("op3_minhash_near_dedup", SQL)
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(documents(spark, sf_dir))

@@ -78,6 +78,27 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
                     (F.col("base") + F.col("nth") - 1).alias("slot"), "grown_shard"))
 
 
-@query("op4_sharding")
+SQL = r"""
+WITH RECURSIVE t0 AS (SELECT range AS i, range AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM t0 WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM t0 WHERE k = 8),
+x AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+y AS (SELECT doc_id, len(h) // 2 + 8 AS size,
+        xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+            lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1]))) AS text_crc32 FROM x, tab),
+j AS (SELECT doc_id, n, (doc_id::HUGEINT + 18446744073709551616) % 18446744073709551616 AS k, -1::BIGINT AS b, 0::BIGINT AS j
+      FROM documents, (VALUES (24), (25)) s(n)
+  UNION ALL
+  SELECT doc_id, n, k2, j, floor((j + 1) * (2147483648.0::DOUBLE / ((k2 >> 33) + 1)::DOUBLE))::BIGINT
+  FROM (SELECT doc_id, n, j, (k * 2862933555777941757 + 1) % 18446744073709551616 AS k2 FROM j WHERE j < n)),
+s AS (SELECT doc_id, max(b) FILTER (n = 24) AS shard, max(b) FILTER (n = 25) AS grown_shard FROM j GROUP BY doc_id)
+SELECT y.doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY substr(md5(y.doc_id::VARCHAR), 1, 3), y.doc_id) - 1 AS slot,
+       grown_shard::INTEGER AS grown_shard
+FROM y JOIN s ON y.doc_id = s.doc_id
+"""
+
+
+@query("op4_sharding", SQL)
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir))

@@ -68,7 +68,8 @@ def classes(lines: DataFrame, run: int) -> DataFrame:
 def drop_repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     """doc_id, n_lines, n_removed, n_spans and kept_sha256 of every row of ``docs``."""
     rows = _rows(docs)
-    lines = rows.filter("text is not null").select(*ROW, F.posexplode(F.split("text", "\n")).alias("pos", "line")).select(*ROW, "pos", *hashes("line"))
+    # shorter texts can't hold a run
+    lines = rows.filter(F.size(F.split("text", "\n")) >= run).select(*ROW, F.posexplode(F.split("text", "\n")).alias("pos", "line")).select(*ROW, "pos", *hashes("line"))
     found = classes(lines, run)
     place = F.struct(*ROW, "pos")
     earliest = found.groupBy("h1", "h2").agg(F.min(place).alias("first"))
@@ -82,7 +83,10 @@ def drop_repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
         (s["n"] + (x["gone"] & ~s["in"]).cast("int")).alias("n"), x["gone"].alias("in")), lambda s: s["n"])
     kept = F.transform(F.filter(F.arrays_zip(text_lines.alias("line"), F.col("flags")), lambda x: ~x["flags"]["gone"]), lambda x: x["line"])
     some = F.col("flags").isNotNull()
-    return (rows.join(flags, ROW, "left").select(
+    # the texts lie by these three keys already; nth, almost always 1, is compared without shuffling them again
+    flags = flags.select(*[F.col(c).alias(f"_{c}") for c in ROW], "flags")
+    same = (F.col("none") == F.col("_none")) & (F.col("id") == F.col("_id")) & (F.col("th") == F.col("_th"))
+    return (rows.join(flags, same & (F.col("nth") <= F.col("_nth")) & (F.col("nth") >= F.col("_nth")), "left").select(
         F.when(~F.col("none"), F.col("id")).alias("doc_id"),
         F.coalesce(F.size(F.when(F.col("text").isNotNull(), text_lines)), F.lit(0)).cast("long").alias("n_lines"),
         F.when(some, F.size(F.filter("flags", lambda x: x["gone"]))).otherwise(0).cast("long").alias("n_removed"),

@@ -175,6 +175,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     return by_bucket(packed).cogroup(by_bucket(told)).applyInArrow(removal(n_shards), RESULT)
 
 
-@query("op9_substring_dedup")
+SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM w),
+r AS (SELECT doc_id, pos, string_agg(word, ' ') OVER s AS run, count(*) OVER s AS n FROM p
+      WINDOW s AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+f AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY run) AS first FROM r WHERE n = 50),
+g AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM f WHERE first < doc_id),
+k AS (SELECT p.doc_id, count(*) AS n_words, count(g.pos) AS n_removed,
+             sha256(coalesce(string_agg(word, ' ' ORDER BY p.pos) FILTER (g.pos IS NULL), '')) AS kept_sha256
+      FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.pos = g.pos GROUP BY p.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+
+@query("op9_substring_dedup", SQL)
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(common.documents(spark, sf_dir))

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 
-SLICE_BYTES = 2 << 20  # bytes of text handled at once inside a task
+SLICE_BYTES = 1 << 19  # bytes of text handled at once inside a task
 R = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 R_INV = pow(R, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
@@ -40,7 +40,7 @@ def powers(base: int, n: int) -> np.ndarray:
     if len(have) < n:
         size = max(n, 1 << 16)
         have = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64))])
-        if size <= 2 * SLICE_BYTES:
+        if size <= 4 * SLICE_BYTES:
             _powers[base] = have
     return have[:n]
 
