@@ -43,7 +43,11 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+# the model queries train on daily rows, which no chunk size touches
+MODELS = {"train_forest", "register_models", "registry_latest", "forecast_long", "shap_local", "shap_global"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - MODELS))
 def test_query_matches_oracle_with_small_chunks(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
