@@ -307,10 +307,13 @@ centred AS (SELECT l.city, l.timestamp, l.feature, round(l.feature_value - m.m,
             FROM longf l JOIN means m ON l.feature = m.feature)"""
 
 
+def _daily_rows(spark, sf_dir):
+    return ft.daily_feature_rows(ft.daily_mean(events_observations(spark, sf_dir, "user")), include_targets=False)
+
+
 def _long_features(spark, sf_dir):
     from aerocast.operators.attribution import to_long
-    rows = ft.daily_feature_rows(ft.daily_mean(events_observations(spark, sf_dir, "user")), include_targets=False)
-    return to_long(rows, ["city", "timestamp"])
+    return to_long(_daily_rows(spark, sf_dir), ["city", "timestamp"])
 
 
 def _centred(spark, sf_dir):
@@ -334,9 +337,12 @@ SELECT city, timestamp, feature, centred,
 FROM centred
 """)
 def q_rank_by_abs(spark, sf_dir):
-    from aerocast.operators.attribution import rank_by_abs
+    from aerocast.operators.attribution import rank_in_row
     prepare(spark)
-    return finish(rank_by_abs(_centred(spark, sf_dir), ["city", "timestamp"], "centred"))
+    rows = _daily_rows(spark, sf_dir)
+    means = rows.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in FEATURE_COLUMNS]).first()  # 14 numbers
+    off = rows.withColumns({c: F.round(F.col(c) - F.lit(means[c]), 6) for c in FEATURE_COLUMNS})
+    return finish(rank_in_row(off, ["city", "timestamp"], "centred"))
 
 
 @query("mean_abs_by_feature", f"""

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aerocast.contract import FEATURE_COLUMNS, RAW_FEATURES
+from aerocast.contract import FEATURE_COLUMNS, MIN_HISTORY_ROWS, RAW_FEATURES
 from aerocast.operators import features as ft
 from aerocast.operators import store as so
 from aerocast.operators.joins import asof_join
+from aerocast.operators.ordered import last_n_per_key
 from aerocast.plans import scenario as sc
 from aerocast.plans.registry import finish, query
 from aerocast.plans.sqlparts import FEATURES, hourly_cte, obs_cte
@@ -207,8 +208,9 @@ ent AS (SELECT CAST(c_custkey AS VARCHAR) AS city FROM customer)"""
 
 
 def _served(spark, sf_dir):
-    bf = ft.hourly_feature_rows(events_observations(spark, sf_dir, "user"), include_targets=False,
-                                complete_only=False)
+    # the newest vector reads the key's last four rows: its own and three before it
+    tail = last_n_per_key(events_observations(spark, sf_dir, "user"), ["city"], "timestamp", 1 + MIN_HISTORY_ROWS)
+    bf = ft.hourly_feature_rows(tail, include_targets=False, complete_only=False)
     rows = bf.withColumnRenamed("timestamp", "event_timestamp").withColumn(
         "created_timestamp", F.col("event_timestamp"))
     return so.latest_rows(rows)

@@ -31,3 +31,17 @@ def test_scans_read_only_needed_columns(spark):
     pl = _plan(QUERIES["daily_features"](spark, SF_SMALL))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", pl)
     assert schemas and all("event_type" not in s and "event_id" not in s for s in schemas)
+
+
+def test_latest_per_key_cuts_before_the_shuffle(spark):
+    pl = _plan(QUERIES["latest_per_key"](spark, SF_SMALL))
+    assert "SortAggregate" not in pl and "WindowGroupLimit" in pl
+
+
+def test_ranks_inside_the_row_shuffle_nothing(spark):
+    from aerocast.contract import FEATURE_COLUMNS
+    from aerocast.operators.attribution import rank_in_row
+    wide = spark.createDataFrame([(1, *[float(i) for i in range(len(FEATURE_COLUMNS))])], ["id", *FEATURE_COLUMNS])
+    df = rank_in_row(wide, ["id"], "v")
+    assert "Exchange" not in _plan(df)
+    assert [r.feature for r in df.orderBy("rank").collect()] == FEATURE_COLUMNS[::-1]
