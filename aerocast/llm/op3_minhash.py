@@ -22,6 +22,11 @@ made. A pair is looked at in the first group only that has it. Groups above
 WIDE members are divided by a sub-signature of the second collection, each
 member under every one of them.
 
+No task holds a group: its members are dealt to blocks of about BLOCK, a
+component above that to blocks of its own, and a task searches two blocks that
+hold different components (or one that holds several). So the members of a
+large component meet foreign ones only.
+
 Edge cases: a text with fewer than four words is one shingle of all its words;
 null texts and texts without words have an empty set and link with nothing;
 rows with one id are versions of one document (links of any of them count, each
@@ -33,7 +38,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocast.llm import textarrays as ta
@@ -47,6 +52,7 @@ BANDS, HALF = 9, 2
 HASHES = 2 * BANDS * HALF
 SKETCH, MIN_AGREE = 256, 179
 WIDE = 10_000
+BLOCK = 2048
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 _salt = ta.mix(np.arange(1, 2 * (HASHES + SKETCH) + 1, dtype=np.uint64)).reshape(2, -1)
@@ -199,7 +205,7 @@ def mixed(groups: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def search_groups(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(part, band, third, doc_id): groups of members that share sub-signature
+    """(part, band, third, doc_id, comp): groups of members that share sub-signature
     ``band`` of the first collection, wide ones divided by ``third`` of the second."""
     def sub(batches):
         for b in batches:
@@ -221,23 +227,55 @@ def search_groups(members: DataFrame, nodes: DataFrame) -> DataFrame:
             third = np.where(size[row] > WIDE, np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times), -1)
             finer = ta.mix(part[row] + ta.mix(second[row, third] + third.astype(np.uint64)))
             yield pa.RecordBatch.from_arrays(
-                [signed(np.where(third < 0, part[row], finer)), b.column(2).take(pa.array(row)), pa.array(third.astype(np.int32)), b.column(3).take(pa.array(row))],
-                names=["part", "band", "third", "doc_id"])
+                [signed(np.where(third < 0, part[row], finer)), b.column(2).take(pa.array(row)), pa.array(third.astype(np.int32)), b.column(3).take(pa.array(row)), b.column(5).take(pa.array(row))],
+                names=["part", "band", "third", "doc_id", "comp"])
 
     known = members.join(nodes.dropDuplicates(["doc_id"]), "doc_id").select("doc_id", "comp", "sig")
     spread = written(known.mapInArrow(sub, "part bigint, band int, doc_id bigint, comp bigint, second binary"), "spread")
     several = (spread.groupBy("part").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"))
                .filter("x != y").select("part", "members"))
-    return (spread.join(several, "part").select("part", "members", "band", "doc_id", "second")
-            .mapInArrow(divide, "part bigint, band int, third int, doc_id bigint"))
-
-
-def linked_in_group(table: pa.Table) -> pa.Table:
-    """Links between the components of one group, one for each two that it joins."""
-    comp = table.column("comp").to_numpy()
-    order = np.argsort(comp, kind="stable")  # members of one component lie together
-    table, comp = table.take(pa.array(order)), comp[order]
-    ids, n = table.column("doc_id").to_numpy(), table.num_rows
+    return (spread.join(several, "part").select("part", "members", "band", "doc_id", "second", "comp")
+            .mapInArrow(divide, "part bigint, band int, third int, doc_id bigint, comp bigint"))
+
+
+def block_pairs(groups: DataFrame, most: int) -> DataFrame:
+    """The members of ``groups`` once for each task (part, x, y) that needs them; ``side``
+    is 0 in a block held against itself, else 1 in block x and 2 in block y."""
+    sizes = groups.groupBy("part", "comp").agg(F.count("*").alias("n")).withColumn("large", F.col("n") > most)
+    parts = (sizes.groupBy("part").agg(F.count("*").alias("comps"), F.ceil(F.sum(F.when(~F.col("large"), F.col("n"))) / most).alias("shared"))
+             .filter("comps > 1").drop("comps"))
+    # a block is of one large component or shared by small ones
+    block = lambda number: F.struct("large", F.when(F.col("large"), F.col("comp")).otherwise(0).alias("whose"), number.cast("long").alias("number"))
+    dealt = sizes.join(parts, "part").withColumn("blocks", F.when(F.col("large"), F.ceil(F.col("n") / most)).otherwise(F.col("shared")))
+    blocks = (dealt.filter("large").select("part", "large", "comp", "blocks")
+              .unionByName(parts.filter("shared > 0").select("part", F.lit(False).alias("large"), F.lit(0).cast("long").alias("comp"), F.col("shared").alias("blocks")))
+              .withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select("part", block(F.col("number")).alias("x")))
+    pairs = (blocks.join(blocks.withColumnRenamed("x", "y"), "part")
+             .filter("x < y and not (x.large and y.large and x.whose = y.whose) or x = y and not x.large"))
+    ends = (pairs.withColumn("block", F.explode(F.array_distinct(F.array("x", "y"))))
+            .withColumn("side", F.when(F.col("x") == F.col("y"), 0).when(F.col("block") == F.col("x"), 1).otherwise(2)))
+    number = F.pmod(F.when(F.col("large"), F.xxhash64("doc_id")).otherwise(F.xxhash64("comp")), F.col("blocks"))
+    return (groups.join(dealt.select("part", "comp", "large", "blocks"), ["part", "comp"])
+            .select("part", "band", "third", "doc_id", "comp", block(number).alias("block"))
+            .join(ends, ["part", "block"]).drop("block"))
+
+
+def linked_in_blocks(table: pa.Table) -> pa.Table:
+    """Links between the components of two blocks or one, one for each two that it joins."""
+    none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    comp, side = table.column("comp").to_numpy(), table.column("side").to_numpy()
+    order = np.lexsort((comp, side))  # members of one component lie together
+    table, comp, side = table.take(pa.array(order)), comp[order], side[order]
+    ids, n, step = table.column("doc_id").to_numpy(), table.num_rows, 256
+    if side[0]:
+        half = int((side == 1).sum())
+        tiles = [(i, min(i + step, half), j, min(j + step, n)) for i in range(0, half, step) for j in range(half, n, step)]
+    else:
+        tiles = [(i, min(i + step, n), j, min(j + step, n)) for i in range(0, n, step) for j in range(i, n, step)]
+    tiles = [t for t in tiles if not comp[t[0]] == comp[t[1] - 1] == comp[t[2]] == comp[t[3] - 1]]
+    if not tiles:
+        return none
     band, third = int(table.column("band")[0].as_py()), int(table.column("third")[0].as_py())
     sub, sketch, sets = np.empty((n, 2 * BANDS), np.uint64), np.empty((n, SKETCH), np.uint8), []
     for at in range(0, n, 256):
@@ -254,33 +292,30 @@ def linked_in_group(table: pa.Table) -> pa.Table:
 
     home = list(root)  # a member's component, an entry of root after the next line
     root = list(range(max(home) + 1))
-    a, b, step = [], [], 256
-    for i in range(0, n, step):
-        for j in range(i, n, step):
-            if comp[i] == comp[min(j + step, n) - 1]:
+    a, b = [], []
+    for i, i_end, j, j_end in tiles:
+        agree = np.zeros((i_end - i, j_end - j), np.uint16)
+        for k in range(SKETCH):
+            agree += sketch[i:i_end, None, k] == sketch[None, j:j_end, k]
+        x, y = np.nonzero((agree >= MIN_AGREE) & (comp[i:i_end, None] != comp[None, j:j_end]))
+        likely = np.argsort(-agree[x, y].astype(np.int64), kind="stable")
+        x, y = x[likely] + i, y[likely] + j
+        keep = x < y
+        equal = sub[x] == sub[y]
+        keep &= equal[:, :BANDS].argmax(1) == band
+        if third >= 0:
+            keep &= equal[:, BANDS:].argmax(1) == third
+        for p, q in zip(x[keep].tolist(), y[keep].tolist(), strict=True):
+            u, v = top(home[p]), top(home[q])
+            if u == v:
                 continue
-            agree = np.zeros((len(ids[i:i + step]), len(ids[j:j + step])), np.uint16)
-            for k in range(SKETCH):
-                agree += sketch[i:i + step, None, k] == sketch[None, j:j + step, k]
-            x, y = np.nonzero((agree >= MIN_AGREE) & (comp[i:i + step, None] != comp[None, j:j + step]))
-            likely = np.argsort(-agree[x, y].astype(np.int64), kind="stable")
-            x, y = x[likely] + i, y[likely] + j
-            keep = x < y
-            equal = sub[x] == sub[y]
-            keep &= equal[:, :BANDS].argmax(1) == band
-            if third >= 0:
-                keep &= equal[:, BANDS:].argmax(1) == third
-            for p, q in zip(x[keep].tolist(), y[keep].tolist(), strict=True):
-                u, v = top(home[p]), top(home[q])
-                if u == v:
-                    continue
-                small, large = sorted((sets[p], sets[q]), key=len)
-                at = np.searchsorted(large, small)
-                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                if SHARE[1] * both >= SHARE[0] * (len(small) + len(large) - both):
-                    root[max(u, v)] = min(u, v)
-                    a.append(ids[p])
-                    b.append(ids[q])
+            small, large = sorted((sets[p], sets[q]), key=len)
+            at = np.searchsorted(large, small)
+            both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+            if SHARE[1] * both >= SHARE[0] * (len(small) + len(large) - both):
+                root[max(u, v)] = min(u, v)
+                a.append(ids[p])
+                b.append(ids[q])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
@@ -291,16 +326,17 @@ def near_components(docs: DataFrame) -> DataFrame:
             .groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node")))
     nodes = written(base.filter("n_shingles > 0").join(sets.select(F.col("node").alias("doc_id"), "s1", "s2", "n_shingles"), ["doc_id", "s1", "s2", "n_shingles"])
                     .dropDuplicates(["doc_id", "s1", "s2"]).select("doc_id", "sig"), "nodes")
-    bucket = Window.partitionBy("key")
-    groups = written(table_keys(nodes).withColumn("size", F.count("*").over(bucket)).withColumn("centre", F.min("doc_id").over(bucket))
-                     .filter("size > 1"), "buckets")
+    keys = table_keys(nodes)
+    buckets = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("centre")).filter("size > 1")
+    groups = written(keys.join(buckets, "key"), "buckets")
     labels = written(groups.select("doc_id").distinct().withColumn("comp", F.col("doc_id")), "labels")
     texts = written(_packed(docs).join(labels.select("doc_id"), "doc_id", "left_semi"), "texts")
     pairs = groups.filter("centre != doc_id").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
     labels = joined(labels, confirmed(pairs, texts))
     members = written(mixed(groups, labels), "mixed")
-    held = members.join(texts, "doc_id").select("doc_id", "comp", "z")
-    searched = search_groups(members, nodes).join(held, "doc_id").groupBy("part").applyInArrow(linked_in_group, "a bigint, b bigint")
+    dealt = block_pairs(written(search_groups(members, nodes), "groups"), BLOCK)
+    searched = (dealt.join(texts.select("doc_id", "z"), "doc_id").groupBy("part", "x", "y")
+                .applyInArrow(linked_in_blocks, "a bigint, b bigint"))
     labels = joined(labels, searched.distinct())
     same = base.filter("n_shingles > 0 and doc_id is not null").join(sets, ["s1", "s2", "n_shingles"]).select("doc_id", "node").distinct()
     links = (same.filter("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))

@@ -75,6 +75,39 @@ def test_drifting_copies_are_one_component(spark, monkeypatch, wide):
     assert rows(op3.near_components(table(spark, pairs))) == brute_near(pairs)
 
 
+def family(n=60, seed=6):
+    """A component of near copies, and texts of other components that are near one of its members only or none."""
+    rng = random.Random(seed)
+    base = [f"f{i}" for i in range(100)]
+    out = [" ".join([*base, *(f"g{rng.randrange(99)}" for _ in range(3))]) for _ in range(n)]
+    return list(enumerate(out + [" ".join([*base[:80], *(f"h{rng.randrange(9999)}" for _ in range(22))]) for _ in range(6)]))
+
+
+@pytest.mark.parametrize("pairs", [chain(), family()], ids=["chain", "family"])
+def test_small_blocks_find_the_same(spark, monkeypatch, pairs):
+    monkeypatch.setattr(op3, "BLOCK", 4)
+    assert rows(op3.near_components(table(spark, pairs))) == brute_near(pairs)
+
+
+def test_no_task_holds_a_group(spark):
+    # part 1: a component of 400 and two of 1; part 2: one component alone; part 3: singletons
+    members = [(1, i, 0) for i in range(400)] + [(1, 400, 400), (1, 401, 401)] + [(2, 500 + i, 500) for i in range(50)] + [(3, 1000 + i, 1000 + i) for i in range(90)]
+    groups = spark.createDataFrame([(p, 0, -1, d, c) for p, d, c in members], "part long, band int, third int, doc_id long, comp long")
+    tasks, met = {}, set()
+    for r in op3.block_pairs(groups, 20).collect():
+        tasks.setdefault((r.part, r.x, r.y), []).append((r.doc_id, r.comp, r.side))
+    for key, held in tasks.items():
+        assert len(held) <= 80
+        for d, c, s in held:
+            for e, f, t in held:
+                if d < e and c != f and (s == 0 or s != t):
+                    assert (key[0], d, e) not in met  # once only
+                    met.add((key[0], d, e))
+    want = {(p, d, e) for p, d, c in members for q, e, f in members if p == q and d < e and c != f}
+    assert met == want
+    assert sum(len(held) for (p, _, _), held in tasks.items() if p == 1) < 2 * 400  # the large component meets foreign ones only
+
+
 def test_drop_near_copies_keeps_columns(spark):
     docs = odd_columns(table(spark, edge_pairs()))
     kept = op3.drop_near_copies(docs)
