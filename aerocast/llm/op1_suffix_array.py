@@ -19,11 +19,13 @@ on to the next. The same is done with the reversed bytes before the anchor.
 Both arrays with their longest common prefixes give exact classes: two strings
 with i bytes before the anchor are equal if the suffixes share LENGTH - i bytes
 and the reversed bytes share i. Neighbours are compared across the batches in
-which a range arrives; equal leading bytes never lie in two ranges. 3. Bits for
+which a range arrives; equal leading bytes never lie in two ranges, and among them
+the runs of one anchor lie together. 3. Bits for
 each start of a run go back to the buckets, which remove what they cover.
 
-Anchors found in more than HOT buckets don't share one range: each of their
-strings is sent by its hash, dealt by that, and compared there.
+Anchors with more than HOT runs, each bucket's distinct ones added up, don't share
+one range: each of their strings is sent by its hash, dealt by that, and compared
+there. So no more than HOT runs are ever compared at once.
 
 Edge cases: null and short texts lose nothing; repeated rows are documents of
 their own, so equal ones lose everything; null ids are allowed; other columns
@@ -46,12 +48,12 @@ from aerocast.llm.registry import query
 LENGTH = 200
 GRAM = 64
 SPREAD = LENGTH - GRAM + 1  # starts of grams in a string; bits of a run
-HOT = 4096
+HOT = 20_000                # runs of an anchor that one task compares, about 1 KB each
 SAMPLE = 16                 # one document in so many gives anchors for the splitters
-CHUNK_ROWS = 16_000         # suffixes compared at once, more if equal leading bytes fill more
+CHUNK_ROWS = 16_000         # suffixes compared at once, more if the runs of one anchor fill more
 BITS = -(-SPREAD // 8)
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-RUN = "part int, k1 bigint, k2 bigint, bucket int, rep int, before int, many boolean, content binary"
+RUN = "part int, k1 bigint, k2 bigint, k3 bigint, bucket int, rep int, before int, many boolean, content binary"
 
 
 def leading(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -106,6 +108,11 @@ class Bucket:
             np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, k) for i, k in enumerate(kinds))
         self.grams, self.which, self.count = np.unique(self.gram, return_inverse=True, return_counts=True)
 
+    def runs(self) -> np.ndarray:
+        """How many distinct runs each gram has."""
+        _, first = np.unique(self.content, return_index=True)
+        return np.bincount(self.which[first], minlength=len(self.grams))
+
     def representatives(self, chosen: np.ndarray):
         """Of the chosen runs: their numbers, one run for each content, each run's content and how often that occurs."""
         run = np.flatnonzero(chosen[self.which])
@@ -126,19 +133,22 @@ def gram_questions(n_shards: int):
     def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         b = Bucket(table)
         payload = ((b.grams & np.uint64((1 << 31) - 1)) << np.uint64(1)) | (b.count > 1).astype(np.uint64)
-        return common.ask(key[0].as_py(), b.grams, payload.astype(np.uint32), n_shards)
+        number = key[0].as_py()
+        runs = common.ask(number, b.grams, np.minimum(b.runs(), (1 << 16) - 1).astype(np.uint16), n_shards)
+        return common.ask(number, b.grams, payload.astype(np.uint32), n_shards).append_column("n", runs.column("q"))
     return ask
 
 
 def gram_answers(hot_above: int):
-    """Bits for grams that occur twice and bits for those that occur in many buckets."""
+    """Bits for grams that occur twice and bits for those that have many runs."""
     def answer(table: pa.Table) -> pa.Table:
         buf, offsets = ta.raw(table.column("q"))
         asked = buf.view(np.uint32)
         distinct, inverse, count = np.unique(asked >> np.uint32(1), return_inverse=True, return_counts=True)
         twice = (count + np.bincount(inverse, asked & np.uint32(1), len(distinct))) > 1
+        runs = np.bincount(inverse, ta.raw(table.column("n"))[0].view(np.uint16), len(distinct))
         cuts = offsets[1:-1] // 4
-        hot = common.reply(table, np.split((count > hot_above)[inverse], cuts))
+        hot = common.reply(table, np.split((runs > hot_above)[inverse], cuts))
         return common.reply(table, np.split(twice[inverse], cuts)).append_column("hot", hot.column("a"))
     return answer
 
@@ -159,12 +169,12 @@ def suffix_rows(n_shards: int, splitters: np.ndarray):
         cuts = np.concatenate([[0], np.cumsum(size)])
         data = b.buf[np.repeat(b.low[rep] - cuts[:-1], size) + np.arange(cuts[-1])]
         number = key[0].as_py()
-        normal = pa.table({"part": np.searchsorted(splitters, k1, side="right").astype(np.int32), "k1": k1, "k2": k2,
+        normal = pa.table({"part": np.searchsorted(splitters, k1, side="right").astype(np.int32), "k1": k1, "k2": k2, "k3": b.gram[rep].view(np.int64),
                            "bucket": np.full(len(rep), number, np.int32), "rep": np.arange(len(rep), dtype=np.int32),
                            "before": (b.anchor[rep] - b.low[rep]).astype(np.int32), "many": pa.array(count > 1), "content": ta.binary_array(data, cuts)})
         _, distinct, first, _, count = b.windows(hot)
         n = len(distinct)
-        strings = pa.table({"part": (distinct % np.uint64(len(splitters) + 1)).astype(np.int32), "k1": distinct.view(np.int64), "k2": leading(b.buf, first),
+        strings = pa.table({"part": (distinct % np.uint64(len(splitters) + 1)).astype(np.int32), "k1": distinct.view(np.int64), "k2": leading(b.buf, first), "k3": np.zeros(n, np.int64),
                             "bucket": np.full(n, number, np.int32), "rep": np.arange(n, dtype=np.int32), "before": np.full(n, -1, np.int32),
                             "many": pa.array(count > 1), "content": ta.binary_array(np.zeros(0, np.uint8), np.zeros(n + 1, np.int64))})
         return pa.concat_tables([normal, strings])
@@ -250,12 +260,14 @@ def compare(group: np.ndarray, before: np.ndarray, many: np.ndarray, data: np.nd
 
 def compared(batches):
     """Answers (bucket, numbers of runs, bits) of one range, which arrives sorted
-    by leading bytes; whole groups of equal ones are compared together."""
+    by leading bytes and anchor; whole groups of equal ones are compared together."""
     held = None
 
+    def edges(t: pa.Table) -> np.ndarray:
+        return np.any([np.diff(t.column(k).to_numpy()) != 0 for k in ("k1", "k2", "k3")], axis=0)
+
     def answer(t: pa.Table):
-        k1, k2 = t.column("k1").to_numpy(), t.column("k2").to_numpy()
-        group = np.cumsum((np.diff(k1, prepend=k1[:1]) != 0) | (np.diff(k2, prepend=k2[:1]) != 0))
+        group = np.cumsum(np.concatenate([[False], edges(t)]))
         before, many = t.column("before").to_numpy(), t.column("many").to_numpy()
         bits = np.zeros((t.num_rows, SPREAD), bool)
         for strings in (False, True):
@@ -284,8 +296,7 @@ def compared(batches):
         held = t if held is None else pa.concat_tables([held, t])
         if held.num_rows < CHUNK_ROWS:
             continue
-        k1, k2 = held.column("k1").to_numpy(), held.column("k2").to_numpy()
-        edge = np.flatnonzero((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])) + 1
+        edge = np.flatnonzero(edges(held)) + 1
         done = 0
         while done < held.num_rows:  # up to the last edge; its group may go on in the next batch
             to = edge[(edge > done) & (edge <= done + CHUNK_ROWS)]
@@ -366,10 +377,10 @@ def remove_repeats(docs: DataFrame, hot_above: int = HOT) -> DataFrame:
     splitters = splitters_of(docs, width)
     packed = common.packed_buckets(docs, common.bucket_count(docs))
     by_bucket = lambda df: df.groupBy("bucket")
-    told = (by_bucket(packed).applyInArrow(gram_questions(n_shards), common.ASK)
+    told = (by_bucket(packed).applyInArrow(gram_questions(n_shards), common.ASK + ", n binary")
             .groupBy("shard").applyInArrow(gram_answers(hot_above), common.ANSWER + ", hot binary"))
     runs = by_bucket(packed).cogroup(by_bucket(told)).applyInArrow(suffix_rows(n_shards, splitters), RUN)
-    found = (runs.repartitionById(len(splitters) + 1, F.col("part")).sortWithinPartitions("k1", "k2")
+    found = (runs.repartitionById(len(splitters) + 1, F.col("part")).sortWithinPartitions("k1", "k2", "k3")
              .mapInArrow(compared, "bucket int, strings boolean, reps binary, bits binary"))
     null = lambda kind: F.lit(None).cast(kind)
     both = (told.select("bucket", F.lit(1).alias("step"), "shard", "a", "hot", null("boolean").alias("strings"), null("binary").alias("reps"), null("binary").alias("bits"))

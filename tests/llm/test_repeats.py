@@ -80,6 +80,45 @@ def test_bytes_overlaps(spark, buckets, monkeypatch, hot_above):
     assert rows(op1.remove_repeats(table(spark, pairs), hot_above)) == brute_bytes(pairs)
 
 
+def frequent_line(n=40, seed=11):
+    """A short line in every text, between words of its own; a few texts share more."""
+    rng = random.Random(seed)
+    own = lambda: " ".join(str(rng.randrange(10**6)) for _ in range(60))
+    line = "All rights reserved; this line is in a great many of the documents, whatever they say otherwise, and it is shorter than the strings that count as repeats but long enough.\n"
+    out = [f"{own()}\n{line}{own()}" for _ in range(n)]
+    return list(enumerate(out + [out[0][200:], out[1][:700] + own()]))
+
+
+def test_hot_counts_runs_not_buckets():
+    texts = [t.encode() for _, t in frequent_line()]
+    docs = op1.pa.table({"doc_id": op1.pa.array(range(len(texts)), op1.pa.int64()), "z": op1.ta.pack(texts)})
+    key = (op1.pa.scalar(0),)
+    asked = op1.gram_questions(1)(key, docs)
+    for limit, most in ((10, 10), (10**6, 10**6)):
+        told = op1.gram_answers(limit)(asked)
+        sent = op1.suffix_rows(1, np.zeros(0, np.int64))(key, docs, told).to_pylist()
+        assert max(Counter(r["k3"] for r in sent if r["before"] >= 0).values()) <= most
+        assert any(r["before"] < 0 for r in sent) == (limit == 10)
+
+
+def test_leading_bytes_tie_across_anchors():
+    same = b"the same sixteen"
+    def rows_of(anchors):
+        data = [same + bytes([97 + a]) * 184 for a in anchors]
+        return op1.pa.table({"k1": [1] * len(data), "k2": [2] * len(data), "k3": anchors, "bucket": op1.pa.array([0] * len(data), op1.pa.int32()),
+                             "rep": op1.pa.array(range(len(data)), op1.pa.int32()), "before": op1.pa.array([0] * len(data), op1.pa.int32()),
+                             "many": [False] * len(data), "content": op1.pa.array(data, op1.pa.binary())})
+    t = rows_of([0] * 9000 + [1] * 9000 + [2])
+    out = list(op1.compared(t.to_batches(max_chunksize=5000)))
+    assert len(out) > 1  # anchors that tie in their leading bytes are compared apart
+    assert sorted(i for b in out for r in b.column(2).to_pylist() for i in np.frombuffer(r, np.int32)) == list(range(18000))
+
+
+def test_frequent_line(spark, buckets):
+    for limit in (10, op1.HOT):
+        assert rows(op1.remove_repeats(table(spark, frequent_line()), limit)) == brute_bytes(frequent_line())
+
+
 def test_bytes_table(spark, buckets):
     pairs = [(r.doc_id, r.text) for r in small(spark).collect()]
     want = brute_bytes(pairs)
