@@ -47,6 +47,7 @@ from aerocast.llm.components import components
 from aerocast.llm.registry import query
 
 SHINGLE = 4
+VERSION = "xxhash64(cast(doc_id as bigint), text) version"  # rows of one id with different texts are nodes of their own
 SHARE = (80, 100)  # 100 * intersection >= 80 * union
 BANDS, HALF = 9, 2
 HASHES = 2 * BANDS * HALF
@@ -109,7 +110,7 @@ def signed(x: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, s1, s2 (128-bit digest of the set), sig (minhashes, null for empty sets), z (packed text)."""
+    """doc_id, version (hash of id and text), n_shingles, s1, s2 (128-bit digest of the set), sig (minhashes, null for empty sets), z (packed text)."""
     def run(batches):
         for b in batches:
             buf, offsets = ta.raw(b.column(1))
@@ -127,11 +128,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                 for i, row in zip(full, minhashes(d, h), strict=True):
                     sig[i] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.array(count.astype(np.int64)), signed(digest[0]), signed(digest[1]),
-                     pa.array(sig.tolist(), pa.binary())], names=["doc_id", "n_shingles", "s1", "s2", "sig"])
+                    [b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), pa.array(count.astype(np.int64)), signed(digest[0]), signed(digest[1]),
+                     pa.array(sig.tolist(), pa.binary())], names=["doc_id", "version", "n_shingles", "s1", "s2", "sig"])
 
-    return (docs.selectExpr("cast(doc_id as bigint) doc_id", "text")
-            .mapInArrow(run, "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, sig binary"))
+    return (docs.selectExpr("cast(doc_id as bigint) doc_id", "text", VERSION)
+            .mapInArrow(run, "doc_id bigint, version bigint, n_shingles bigint, s1 bigint, s2 bigint, sig binary"))
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -139,7 +140,7 @@ def _packed(docs: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), ta.pack([(t or "").encode() for t in b.column(1).to_pylist()])], names=["doc_id", "z"])
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").filter("doc_id is not null").mapInArrow(run, "doc_id bigint, z binary")
+    return docs.filter("doc_id is not null").selectExpr(VERSION, "text").withColumnRenamed("version", "doc_id").mapInArrow(run, "doc_id bigint, z binary")
 
 
 def keys_of(sub: np.ndarray) -> np.ndarray:
@@ -230,7 +231,7 @@ def search_groups(members: DataFrame, nodes: DataFrame) -> DataFrame:
                 [signed(np.where(third < 0, part[row], finer)), b.column(2).take(pa.array(row)), pa.array(third.astype(np.int32)), b.column(3).take(pa.array(row)), b.column(5).take(pa.array(row))],
                 names=["part", "band", "third", "doc_id", "comp"])
 
-    known = members.join(nodes.dropDuplicates(["doc_id"]), "doc_id").select("doc_id", "comp", "sig")
+    known = members.join(nodes, "doc_id").select("doc_id", "comp", "sig")
     spread = written(known.mapInArrow(sub, "part bigint, band int, doc_id bigint, comp bigint, second binary"), "spread")
     several = (spread.groupBy("part").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"))
                .filter("x != y").select("part", "members"))
@@ -325,7 +326,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     sets = (base.filter("n_shingles > 0 and doc_id is not null")
             .groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node")))
     nodes = written(base.filter("n_shingles > 0").join(sets.select(F.col("node").alias("doc_id"), "s1", "s2", "n_shingles"), ["doc_id", "s1", "s2", "n_shingles"])
-                    .dropDuplicates(["doc_id", "s1", "s2"]).select("doc_id", "sig"), "nodes")
+                    .dropDuplicates(["doc_id", "s1", "s2"]).select(F.col("version").alias("doc_id"), F.col("doc_id").alias("id"), "sig"), "nodes")
     keys = table_keys(nodes)
     buckets = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("centre")).filter("size > 1")
     groups = written(keys.join(buckets, "key"), "buckets")
@@ -340,7 +341,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     labels = joined(labels, searched.distinct())
     same = base.filter("n_shingles > 0 and doc_id is not null").join(sets, ["s1", "s2", "n_shingles"]).select("doc_id", "node").distinct()
     links = (same.filter("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-             .unionByName(labels.filter("doc_id != comp").select(F.col("doc_id").alias("a"), F.col("comp").alias("b"))))
+             .unionByName(labels.filter("doc_id != comp").join(nodes.select("doc_id", F.col("id").alias("a")), "doc_id")
+                          .join(nodes.select(F.col("doc_id").alias("comp"), F.col("id").alias("b")), "comp").select("a", "b")))
     whole = components(links, "a", "b").withColumnRenamed("node", "doc_id")
     return (base.select("doc_id", "n_shingles").join(whole, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

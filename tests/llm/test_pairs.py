@@ -89,6 +89,17 @@ def test_small_blocks_find_the_same(spark, monkeypatch, pairs):
     assert rows(op3.near_components(table(spark, pairs))) == brute_near(pairs)
 
 
+def test_versions_of_an_id_link_each(spark):
+    pairs = chain(20)
+    several = [*pairs, (pairs[0][0], pairs[30][1]), (pairs[0][0], None), (pairs[0][0], " "), (pairs[5][0], pairs[40][1]), (pairs[7][0], None), (pairs[9][0], None)]
+    assert rows(op3.near_components(table(spark, several))) == brute_near(several)
+
+
+def test_packed_keeps_versions_apart(spark):
+    packed = op3._packed(table(spark, [(1, "a b c d"), (1, None), (1, "x y z w"), (None, "e")]))
+    assert len({r.doc_id for r in packed.collect()}) == 3
+
+
 def test_no_task_holds_a_group(spark):
     # part 1: a component of 400 and two of 1; part 2: one component alone; part 3: singletons
     members = [(1, i, 0) for i in range(400)] + [(1, 400, 400), (1, 401, 401)] + [(2, 500 + i, 500) for i in range(50)] + [(3, 1000 + i, 1000 + i) for i in range(90)]
