@@ -1,8 +1,10 @@
 """Array views of text columns inside Arrow tasks: bytes, words and rolling
 hashes, each over many documents at once.
 
-Hashes are polynomials modulo 2^64 over mixed 64-bit byte codes. A prefix sum
-``c`` of ``code[i] * R**i`` gives the hash of any stretch ``[a, b)`` as
+Hashes are pairs of polynomials modulo two primes near 2^31 over mixed byte
+codes, 62 bits together (modulo a power of two, words of a Thue-Morse pattern
+would have equal hashes whatever the codes). A prefix sum ``c`` of
+``code[i] * R**i`` gives the hash of any stretch ``[a, b)`` as
 ``(c[b] - c[a]) * R**-a``: equal stretches have equal hashes wherever they
 stand, at a constant number of array operations for any length.
 """
@@ -17,8 +19,7 @@ import pyarrow.compute as pc
 import zstandard
 
 SLICE_BYTES = 1 << 19  # bytes of text handled at once inside a task
-R = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
-R_INV = pow(R, -1, 1 << 64)
+R = 0x9E3779B97F4A7C15  # odd multiplier that spreads bits
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -31,35 +32,73 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(R))
-_powers = {R: np.ones(1, np.uint64), R_INV: np.ones(1, np.uint64)}
+BLOCK = 1 << 15
+LOW, BITS = np.uint64((1 << 31) - 1), np.uint64(31)
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2^64, kept between calls up to a few slices."""
-    have = _powers[base]
-    if len(have) < n:
-        size = max(n, 1 << 16)
-        have = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64))])
-        if size <= 4 * SLICE_BYTES:
-            _powers[base] = have
-    return have[:n]
+class Field:
+    """Arithmetic modulo the prime 2^31 - tail on arrays of uint64 below 2^63."""
+
+    def __init__(self, tail: int, base: int):
+        self.p, self.tail = (1 << 31) - tail, np.uint64(tail)
+        self.base, self.inverse = base, pow(base, -1, self.p)
+        self.kept: dict[int, np.ndarray] = {}
+
+    def fold(self, x: np.ndarray) -> np.ndarray:
+        """The same residues, below 2^31 + 2^11."""
+        for _ in range(2):
+            high = x >> BITS
+            high *= self.tail
+            high += x & LOW
+            x = high
+        return x
+
+    def exact(self, x: np.ndarray) -> np.ndarray:
+        """The least residue of folded values."""
+        return np.where(x >= np.uint64(self.p), x - np.uint64(self.p), x)
+
+    def powers(self, base: int, n: int) -> np.ndarray:
+        """base**0 .. base**(n-1), kept between calls up to a few slices."""
+        have = self.kept.get(base, np.ones(1, np.uint64))
+        if len(have) < n:
+            size = max(n, 1 << 16)
+            while len(have) < size:
+                step = np.uint64(pow(base, len(have), self.p))
+                have = np.concatenate([have, self.exact(self.fold(have[:size - len(have)] * step))])
+            if size <= 4 * SLICE_BYTES:
+                self.kept[base] = have
+        return have[:n]
+
+
+FIELDS = (Field(1, 0x3C6EF372), Field(19, 0x5BE0CD19))
 
 
 class Prefix:
     """Hashes of any stretch of a sequence of 64-bit codes."""
 
     def __init__(self, codes: np.ndarray):
-        self.c = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(codes * powers(R, len(codes)), out=self.c[1:])
-        self.inv = powers(R_INV, len(codes) + 1)
+        self.c, self.inv = [], []
+        for field, residues in zip(FIELDS, (codes & LOW, codes >> np.uint64(33)), strict=True):
+            c, power = np.zeros(len(codes) + 1, np.uint64), field.powers(field.base, len(codes))
+            for lo in range(0, len(codes), BLOCK):  # blocks stay in the processor's cache
+                hi = min(lo + BLOCK, len(codes))
+                np.cumsum(field.fold(residues[lo:hi] * power[lo:hi]), out=c[lo + 1:hi + 1])
+                c[lo + 1:hi + 1] += c[lo]
+            self.c.append(c)
+            self.inv.append(field.powers(field.inverse, len(codes) + 1))
+
+    def _joined(self, high, low, inverse) -> np.ndarray:
+        a, b = (f.exact(f.fold(f.fold(c[high] - c[low]) * i[inverse]))
+                for f, c, i in zip(FIELDS, self.c, self.inv, strict=True))
+        return mix((a << BITS) | b)
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.c[end] - self.c[start]) * self.inv[start] + (end - start).astype(np.uint64))
+        return mix(self._joined(end, start, start) + (end - start).astype(np.uint64))
 
     def rolling(self, k: int) -> np.ndarray:
         """The hash of every window of k codes."""
-        n = len(self.c) - k
-        return mix((self.c[k:] - self.c[:n]) * self.inv[:n]) if n > 0 else np.zeros(0, np.uint64)
+        n = len(self.c[0]) - k
+        return self._joined(slice(k, None), slice(n), slice(n)) if n > 0 else np.zeros(0, np.uint64)
 
 
 def raw(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +143,7 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):
 
 
 def word_codes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit code for each word; equal words have equal codes."""
+    """A code of 62 bits, spread over 64, for each word; equal words have equal codes."""
     return Prefix(CODE[buf]).spans(start, end)
 
 
