@@ -147,6 +147,28 @@ def word_codes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return Prefix(CODE[buf]).spans(start, end)
 
 
+def word_blocks(buf: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE,
+                most: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Start, end, document index and code of the words, in blocks of about
+    ``most`` bytes; blocks end at a separator or at a document's end, so long
+    documents are cut as well."""
+    lo, n = 0, len(buf)
+    while lo < n:
+        hi = min(lo + most, n)
+        edge = int(offsets[np.searchsorted(offsets, hi)])
+        while hi < edge:
+            at = np.flatnonzero(space[buf[hi:min(hi + (1 << 14), edge)]])
+            if len(at):
+                hi += int(at[0])
+                break
+            hi = min(hi + (1 << 14), edge)
+        d = int(np.searchsorted(offsets, lo, side="right")) - 1
+        rel = np.clip(offsets[d:int(np.searchsorted(offsets, hi)) + 1], lo, hi) - lo
+        start, end, doc = word_spans(buf[lo:hi], rel, space)
+        yield start + lo, end + lo, doc + d, word_codes(buf[lo:hi], start, end)
+        lo = hi
+
+
 def binary_array(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
     """Binary values ``data[cuts[i]:cuts[i + 1]]`` without copying them one by one."""
     data = np.ascontiguousarray(data).view(np.uint8)
