@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from aerocast.llm import common
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 ASK = "step int, shard int, chunk bigint, hashes binary, numbers binary"
 TOLD = "chunk bigint, step int, shard int, totals binary, first binary"
 
