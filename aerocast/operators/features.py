@@ -144,7 +144,7 @@ def daily_features_from_obs(obs: DataFrame, *, key: str = "city", ts: str = "tim
 
 
 def latest_vector(features: DataFrame, *, key: str = "city", ts: str = "timestamp") -> DataFrame:
-    """The newest complete feature row of every key (aggregate, no sort)."""
+    """The newest complete feature row of every key (a ranked window cut before the shuffle)."""
     return latest_per_key(features, [key], [ts])
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_TTL_DAYS
-from aerocast.operators.ordered import CHUNK, latest_per_key, with_chunks
+from aerocast.operators.ordered import CHUNK, latest_per_key, resolve_chunk_rows, with_chunks
 
 
 def asof_join(entities: DataFrame, features: DataFrame, *, key: str = "city",
@@ -28,6 +28,8 @@ def asof_join(entities: DataFrame, features: DataFrame, *, key: str = "city",
     Unmatched rows (no earlier feature row, or older than the TTL) keep NULLs.
     """
     values = list(values)
+    # bounds the union without running the ranked window below
+    rows = entities.select(key).count() + features.select(key).count()
     feats = features.select(key, feature_ts, *([created] if created else []), *values)
     if created:
         feats = latest_per_key(feats, [key, feature_ts], [created])
@@ -41,7 +43,9 @@ def asof_join(entities: DataFrame, features: DataFrame, *, key: str = "city",
         F.lit(None).alias("_ent"), payload.alias("_feat"))
     left = left.withColumn("_feat", F.lit(None).cast(right.schema["_feat"].dataType))
     right = right.withColumn("_ent", F.lit(None).cast(left.schema["_ent"].dataType))
-    both = with_chunks(left.unionByName(right), ["_k"], "_t", chunk_rows)
+    both = with_chunks(left.unionByName(right), ["_k"], "_t", chunk_rows, rows)
+    if rows <= resolve_chunk_rows(entities, chunk_rows):
+        return _matched(both, ent_cols, feature_ts, values, ttl_seconds)
 
     # carry-in: the newest feature row of all earlier chunks of the key
     per_chunk = both.groupBy("_k", CHUNK).agg(
@@ -55,9 +59,15 @@ def asof_join(entities: DataFrame, features: DataFrame, *, key: str = "city",
         "_k", F.col("_feat._fts").alias("_t"), F.lit(0).alias("_side"),
         F.lit(None).cast(left.schema["_ent"].dataType).alias("_ent"), "_feat", CHUNK)
 
+    return _matched(both.unionByName(carry_rows), ent_cols, feature_ts, values, ttl_seconds)
+
+
+def _matched(both: DataFrame, ent_cols: Sequence[str], feature_ts: str, values: Sequence[str],
+             ttl_seconds: float | None) -> DataFrame:
+    """Entity rows with the newest feature row before them in their chunk, if it is young enough."""
     w = (Window.partitionBy("_k", CHUNK).orderBy("_t", "_side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = both.unionByName(carry_rows).select(
+    filled = both.select(
         "_side", "_t", "_ent", F.last("_feat", ignorenulls=True).over(w).alias("_m"))
     out = filled.where(F.col("_side") == 1)
     ok = F.col("_m").isNotNull()

@@ -1,12 +1,14 @@
 """Positional windows over one key without putting a whole key in one task.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to
-one task; with one key holding a third of the data that task is the job. Here
-each key's time line is cut into chunks of about ``chunk_rows`` rows (small
-keys are one chunk; large keys are cut at approximate quantiles, and further by
-equal width where a segment is still too deep), windows run per
-``(key, chunk)``, and the few rows that need neighbours from another chunk get
-them from a small per-chunk summary:
+one task; with one key holding a third of the data that task is the job. So a
+table is counted first. Up to ``chunk_rows`` rows no key can be larger, and the
+plain window is the plan. Above that, the narrow columns (keys, order value) are
+range partitioned once into parts of about ``chunk_rows`` rows; where a part
+ends inside a key, its last row is a cut of that key's time line. Windows then
+run per ``(key, chunk)``, the chunk being the number of cuts before a row, and
+the few rows that need neighbours from another chunk get them from a small
+per-chunk summary:
 
 * lags: the last ``max_lag`` rows of every chunk, ordered per key, give each
   chunk the ``max_lag`` rows that precede it (its halo);
@@ -14,7 +16,8 @@ them from a small per-chunk summary:
 * as-of carry: the latest row of every chunk, carried forward per key.
 
 The summaries hold a handful of rows per chunk, so their per-key windows stay
-small however skewed the keys are. Results equal the plain per-key window.
+small however skewed the keys are. The wide rows are shuffled once, by (key,
+chunk). Results equal the plain per-key window.
 """
 
 from __future__ import annotations
@@ -25,13 +28,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerocast.session import scratch_path
 
 CHUNK = "_chunk"
 DEFAULT_CHUNK_ROWS = 1_000_000
 # Session setting for the chunk size, used when a call passes none.
 CHUNK_ROWS_CONF = "aerocast.chunkRows"
 
-_RN, _CNT, _ORD, _HALO = "__ck_rn", "__ck_cnt", "__ck_ord", "__ck_halo"
+_RN, _CNT, _ORD, _HALO, _CUTS = "__ck_rn", "__ck_cnt", "__ck_ord", "__ck_halo", "__ck_cuts"
 
 
 def _order_number(df: DataFrame, order: str) -> Column:
@@ -51,59 +55,66 @@ def resolve_chunk_rows(df: DataFrame, chunk_rows: int | None) -> int:
     return int(value) if value else DEFAULT_CHUNK_ROWS
 
 
-COARSE = 32
-SEGMENTS = COARSE * COARSE
-_SUB_BITS = 32
+def part_count(df: DataFrame, keys: Sequence[str], order: str, chunk_rows: int | None = None,
+               rows: int | None = None) -> int:
+    """Parts of ``chunk_rows`` rows; ``rows`` saves the count where a bound is known."""
+    if rows is None:
+        rows = df.select(*keys, order).count()
+    return max(1, -(-rows // resolve_chunk_rows(df, chunk_rows)))
 
 
-def with_chunks(df: DataFrame, keys: Sequence[str], order: str,
-                chunk_rows: int | None = None) -> DataFrame:
+def range_cuts(df: DataFrame, keys: Sequence[str], order: str, parts: int) -> DataFrame:
+    """(keys, cuts): for each key that a boundary of ``parts`` equal ranges of
+    (keys, order) falls into, the sorted order values at those boundaries.
+
+    Spark samples the boundaries; only the key and order columns are shuffled,
+    and one row per part is left. The table (at most one value per part) is
+    written once, so every reader sees the same cuts.
+    """
+    spark = df.sparkSession
+    narrow = df.select(*keys, _order_number(df, order).alias(_ORD)).where(F.col(_ORD).isNotNull())
+    edges = (narrow.repartitionByRange(parts, *keys, _ORD).groupBy(F.spark_partition_id().alias("part"))
+             .agg(F.min(F.struct(*keys, _ORD)).alias("lo"), F.max(F.struct(*keys, _ORD)).alias("hi")))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"hi.{k}").eqNullSafe(F.col(f"next.{k}"))
+    cuts = (edges.withColumn("next", F.lead("lo").over(Window.orderBy("part"))).where(F.col("next").isNotNull() & same)
+            .groupBy(*[F.col(f"hi.{k}").alias(k) for k in keys]).agg(F.sort_array(F.collect_set(f"hi.{_ORD}")).alias(_CUTS)))
+    path = scratch_path(spark, "cuts")
+    cuts.write.parquet(path)
+    return spark.read.schema(cuts.schema).parquet(path)
+
+
+def cuts_before(cuts: Column, value: Column, most: int) -> Column:
+    """How many of at most ``most`` sorted ``cuts`` lie before ``value``: binary search by falling steps."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, most.bit_length())))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(cuts)) & (F.try_element_at(cuts, at + step) < value), at + step).otherwise(at))
+
+
+def with_chunks(df: DataFrame, keys: Sequence[str], order: str, chunk_rows: int | None = None,
+                rows: int | None = None) -> DataFrame:
     """Add ``_chunk``: slices of about ``chunk_rows`` rows per key, in order.
 
-    Keys with at most ``chunk_rows`` rows are one chunk (0). Larger keys are
-    cut at SEGMENTS - 1 approximate quantiles of the order value, so rows that
-    come in bursts still fall into segments of equal depth; a segment that
-    holds more than ``chunk_rows`` rows is cut further by equal width.
-    ``_chunk`` = segment * 2^32 + sub, increasing with the order value inside
-    a key. A row finds its segment among every COARSE-th quantile first and
-    then among COARSE of them. Rows of equal order value stay together.
-
-    Only large keys get a row in the side table, at most ``total rows /
-    chunk_rows``; adaptive execution measures it and broadcasts it if it is
-    below the session's threshold. Counts and quantile sketches are partial
-    (map-side) aggregates over the key and order columns only. NULL keys are a
-    key like any other.
+    Tables of at most ``chunk_rows`` rows get chunk 0 everywhere and nothing is
+    joined. Otherwise a row's chunk is the number of its key's cuts before it
+    (see ``range_cuts``); keys without a cut, the small ones, are chunk 0. The
+    cut keys are at most one per part; adaptive execution broadcasts them where
+    their measured size allows. Rows of equal order value stay together. NULL
+    keys are a key like any other.
     """
-    chunk_rows = resolve_chunk_rows(df, chunk_rows)
-    num = _order_number(df, order)
-    qs = [i / SEGMENTS for i in range(1, SEGMENTS)]
+    parts = part_count(df, keys, order, chunk_rows, rows)
+    if parts == 1:
+        return df.withColumn(CHUNK, F.lit(0).cast("long"))
+    cuts = range_cuts(df, keys, order, parts)
     names = [f"__ck_key{i}" for i in range(len(keys))]
-    same = None
+    same = F.lit(True)
     for k, n in zip(keys, names):
-        c = df[k].eqNullSafe(F.col(n))
-        same = c if same is None else same & c
-    named = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], num.alias(_ORD))
-    side = (named.groupBy(*names)
-            .agg(F.count(F.lit(1)).alias("__ck_n"), F.min(_ORD).alias("__ck_lo"), F.max(_ORD).alias("__ck_hi"),
-                 F.percentile_approx(_ORD, qs, 4 * SEGMENTS).alias("__ck_q"))
-            .where(F.col("__ck_n") > chunk_rows)
-            .select(*names, "__ck_n",
-                    F.concat(F.array("__ck_lo"), F.col("__ck_q"), F.array("__ck_hi")).alias("__ck_b"),
-                    F.transform(F.sequence(F.lit(1), F.lit(COARSE - 1)),
-                                lambda i: F.element_at("__ck_q", (i * COARSE).cast("int"))).alias("__ck_c")))
-    joined = df.join(side, same, "left").withColumn(_ORD, num)
-    # number of inner quantiles strictly below the value (0 .. SEGMENTS - 1)
-    block = F.size(F.filter("__ck_c", lambda b: b < F.col(_ORD)))
-    inside = F.filter(F.slice("__ck_b", block * COARSE + 2, F.lit(COARSE - 1)), lambda b: b < F.col(_ORD))
-    seg = block * COARSE + F.size(inside)
-    lo = F.element_at("__ck_b", seg + 1)
-    hi = F.element_at("__ck_b", seg + 2)
-    per_seg = F.greatest(F.col("__ck_n") / SEGMENTS, F.lit(1.0))
-    width = F.greatest(F.lit(1.0), F.ceil((hi - lo + 1).cast("double") * chunk_rows / per_seg).cast("double"))
-    sub = F.floor((F.col(_ORD) - lo).cast("double") / width).cast("long")
-    chunk = F.when(F.col("__ck_n").isNull(), F.lit(0).cast("long")).otherwise(
-        seg.cast("long") * (1 << _SUB_BITS) + F.greatest(sub, F.lit(0)))
-    return joined.withColumn(CHUNK, chunk).drop(*names, "__ck_b", "__ck_c", "__ck_n", _ORD)
+        same = same & df[k].eqNullSafe(F.col(n))
+    side = cuts.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], _CUTS)
+    joined = df.join(side, same, "left").withColumn(_ORD, _order_number(df, order))
+    chunk = F.when(F.col(_CUTS).isNull() | F.col(_ORD).isNull(), 0).otherwise(cuts_before(F.col(_CUTS), F.col(_ORD), parts))
+    return joined.withColumn(CHUNK, chunk.cast("long")).drop(*names, _CUTS, _ORD)
 
 
 def _shift_name(col: str, kind: str, j: int) -> str:
@@ -111,26 +122,36 @@ def _shift_name(col: str, kind: str, j: int) -> str:
 
 
 def shifted(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str],
-            max_lag: int = 3, max_lead: int = 0, chunk_rows: int | None = None) -> DataFrame:
+            max_lag: int = 3, max_lead: int = 0, chunk_rows: int | None = None,
+            rows: int | None = None) -> DataFrame:
     """Add ``<col>__lag<j>`` (j=1..max_lag) and ``<col>__lead<j>`` per key.
 
     Same values as ``lag(col, j)`` / ``lead(col, j)`` over
     ``Window.partitionBy(*keys).orderBy(order)``; ``order`` must be unique
     within a key.
 
-    Plan: (1) chunks from partial aggregates over (key, order); (2) on a narrow
-    projection (key, chunk, order, columns) the first ``max_lead`` and last
-    ``max_lag`` rows of every chunk, windowed per key (a few rows per chunk),
-    give each chunk its halo: the rows just before and just after it;
-    (3) the full rows and the halo rows go through ONE window per
-    ``(key, chunk)``, and the halo rows are dropped. The wide rows are
-    shuffled once.
+    Plan: a table of one part gets one window per key. Else (1) chunks by
+    range cuts of (key, order); (2) on a narrow projection (key, chunk, order,
+    columns) the first ``max_lead`` and last ``max_lag`` rows of every chunk,
+    windowed per key (a few rows per chunk), give each chunk its halo: the rows
+    just before and just after it; (3) the full rows and the halo rows go
+    through ONE window per ``(key, chunk)``, and the halo rows are dropped. The
+    wide rows are shuffled once.
     """
     K, L = max_lag, max_lead
     base_cols = df.columns
-    cdf = with_chunks(df, keys, order, chunk_rows)
-    part = [*keys, CHUNK]
     carried = [order, *columns]
+
+    def shifts(w):
+        return [*[F.lag(c, j).over(w).alias(_shift_name(c, "lag", j)) for c in columns for j in range(1, K + 1)],
+                *[F.lead(c, j).over(w).alias(_shift_name(c, "lead", j)) for c in columns for j in range(1, L + 1)]]
+
+    if rows is None:
+        rows = df.select(*keys, order).count()
+    if part_count(df, keys, order, chunk_rows, rows) == 1:
+        return df.select(*base_cols, *shifts(Window.partitionBy(*keys).orderBy(order)))
+    cdf = with_chunks(df, keys, order, chunk_rows, rows)
+    part = [*keys, CHUNK]
     w = Window.partitionBy(*part).orderBy(order)
     ranked = cdf.select(*part, *carried).withColumn(_RN, F.row_number().over(w)).withColumn(
         _CNT, F.count(F.lit(1)).over(Window.partitionBy(*part)))
@@ -158,11 +179,7 @@ def shifted(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[st
         mixed = mixed.unionByName(
             h.select(*part, *[F.col(f"_r.{c}").alias(c) for c in carried], F.lit(True).alias(_HALO)),
             allowMissingColumns=True)
-    shifts = []
-    for c in columns:
-        shifts += [F.lag(c, j).over(w).alias(_shift_name(c, "lag", j)) for j in range(1, K + 1)]
-        shifts += [F.lead(c, j).over(w).alias(_shift_name(c, "lead", j)) for j in range(1, L + 1)]
-    return mixed.select(*base_cols, _HALO, *shifts).where(~F.col(_HALO)).drop(_HALO)
+    return mixed.select(*base_cols, _HALO, *shifts(w)).where(~F.col(_HALO)).drop(_HALO)
 
 
 def last_n_per_key(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:

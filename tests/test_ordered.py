@@ -153,3 +153,51 @@ def test_bursts_inside_segments_and_null_keys_are_cut(spark):
         (F.floor(F.col("id") / 500) * 10_000_000 + F.col("id") % 500).cast("long").alias("t"))
     sizes = [r["count"] for r in with_chunks(df, ["city"], "t", chunk_rows=100).groupBy(CHUNK).count().collect()]
     assert sum(sizes) == 40_000 and max(sizes) <= 400
+
+
+def _chunk_sizes(spark, df, chunk_rows):
+    from aerocast.operators.ordered import CHUNK, with_chunks
+    return [r["count"] for r in with_chunks(df, ["city"], "t", chunk_rows=chunk_rows).groupBy("city", CHUNK).count().collect()]
+
+
+def test_one_key_in_bursts_is_balanced(spark):
+    """320,000 rows of one key: 64 bursts whose rows stand ever closer."""
+    df = spark.range(320_000).select(
+        F.lit("hot").alias("city"),
+        (F.floor(F.col("id") / 5000) * 1_000_000_000_000 + (F.col("id") % 5000) * (F.floor(F.col("id") / 5000) + 1)).cast("long").alias("t"))
+    sizes = _chunk_sizes(spark, df, 5000)
+    assert sum(sizes) == 320_000 and len(sizes) > 40 and max(sizes) <= 2 * 5000
+
+
+def test_a_million_small_keys_stay_whole(spark):
+    """10^6 keys of two rows: only the keys at the parts' ends can be cut, and no part is deep."""
+    df = spark.range(2_000_000).select((F.col("id") % 1_000_000).cast("string").alias("city"), F.col("id").alias("t"))
+    from aerocast.operators.ordered import CHUNK, range_cuts, with_chunks
+    cut = range_cuts(df, ["city"], "t", 20)
+    assert cut.count() <= 19
+    per = with_chunks(df, ["city"], "t", chunk_rows=100_000).groupBy("city").agg(F.countDistinct(CHUNK).alias("n"), F.count("*").alias("rows"))
+    worst = per.agg(F.max("rows"), F.count(F.when(F.col("n") > 1, 1)), F.count("*")).first()
+    assert worst[0] == 2 and worst[1] <= 19 and worst[2] == 1_000_000
+
+
+def test_hot_key_and_small_keys_together(spark):
+    """A third of the rows on one key: equal to the plain window, no chunk above twice the target."""
+    hot = spark.range(20_000).select(F.lit("hot").alias("city"), (F.col("id") * F.col("id")).alias("t"), F.col("id").cast("double").alias("v"))
+    rest = spark.range(40_000).select((F.col("id") % 7000).cast("string").alias("city"), F.col("id").alias("t"), F.col("id").cast("double").alias("v"))
+    nulls = spark.range(900).select(F.lit(None).cast("string").alias("city"), F.col("id").alias("t"), F.col("id").cast("double").alias("v"))
+    df = hot.unionByName(rest).unionByName(nulls)
+    sizes = _chunk_sizes(spark, df, 1000)
+    assert sum(sizes) == 60_900 and max(sizes) <= 2000
+    w = Window.partitionBy("city").orderBy("t")
+    plain = df.select("*", F.lag("v", 1).over(w).alias("v__lag1"), F.lag("v", 2).over(w).alias("v__lag2"), F.lead("v", 1).over(w).alias("v__lead1"))
+    got = shifted(df, ["city"], "t", ["v"], max_lag=2, max_lead=1, chunk_rows=1000).select(*plain.columns)
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+
+
+def test_binary_search_over_cuts(spark):
+    from aerocast.operators.ordered import cuts_before
+    cuts = [3, 7, 7_000, 7_001, 90_000]
+    for most in (5, 8, 300):
+        df = spark.createDataFrame([(x,) for x in (-1, 3, 4, 7, 8, 7001, 7002, 90_000, 90_001)], "x bigint").withColumn("c", F.array(*map(F.lit, cuts)).cast("array<bigint>"))
+        got = {r.x: r.n for r in df.withColumn("n", cuts_before(F.col("c"), F.col("x"), most)).collect()}
+        assert got == {x: sum(c < x for c in cuts) for x in got}

@@ -45,3 +45,21 @@ def test_ranks_inside_the_row_shuffle_nothing(spark):
     df = rank_in_row(wide, ["id"], "v")
     assert "Exchange" not in _plan(df)
     assert [r.feature for r in df.orderBy("rank").collect()] == FEATURE_COLUMNS[::-1]
+
+
+def test_small_tables_need_no_chunks(spark):
+    for name in ("hourly_features", "pit_join"):
+        pl = _plan(QUERIES[name](spark, SF_SMALL))
+        assert "percentile" not in pl and "Join" not in pl, name
+    assert len(re.findall(r"Exchange hashpartitioning", _plan(QUERIES["hourly_features"](spark, SF_SMALL)))) == 1
+
+
+def test_large_tables_shuffle_the_wide_rows_once(spark):
+    """Above the chunk size: one small side of cuts, no sketch, no aggregate over all keys."""
+    from aerocast.operators.ordered import CHUNK_ROWS_CONF
+    spark.conf.set(CHUNK_ROWS_CONF, "100")
+    try:
+        pl = _plan(QUERIES["hourly_features"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset(CHUNK_ROWS_CONF)
+    assert "percentile" not in pl and "__ck_cuts" in pl and "Aggregate" not in pl
