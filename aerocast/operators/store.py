@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_COLUMNS, STORE_KEY
 from aerocast.operators.ordered import latest_per_key, one_per_key
-from aerocast.session import delete_path, path_exists
+from aerocast.session import path_exists, shared_root
 
-KEEP_VERSIONS = 5
+SERVED_BUCKETS = 64  # of the served table; more where a bucket of keys outgrows a task
+BUCKET = "bucket"
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -105,36 +106,35 @@ def late_rows(batch: DataFrame, stored: DataFrame, key: str = "city", ts: str =
     return batch.join(last, key).where(F.col(ts) <= F.col("last_stored"))
 
 
-def served_version(spark: SparkSession, root: str) -> int | None:
-    """Current version of a served table (from its pointer), None if none."""
-    pointer = f"{root.rstrip('/')}/_pointer"
-    if not path_exists(spark, pointer):
-        return None
-    row = spark.read.schema("version long").json(pointer).first()
-    return None if row is None else row["version"]
+def served_bucket(key: str, buckets: int = SERVED_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def read_served(spark: SparkSession, root: str) -> DataFrame | None:
-    v = served_version(spark, root)
-    return None if v is None else spark.read.parquet(f"{root.rstrip('/')}/v={v}")
+    """The served table (latest row per key); None if there is none yet."""
+    return spark.read.parquet(root).drop(BUCKET) if path_exists(spark, f"{root.rstrip('/')}/_SUCCESS") else None
 
 
 def refresh_served(spark: SparkSession, root: str, new_rows: DataFrame, key: str = "city",
-                   ts: str = "event_timestamp", created: str = "created_timestamp", keep: int = KEEP_VERSIONS) -> int:
-    """Incremental refresh of the served table (latest row per key).
-
-    Plain Parquet has no MERGE: the refreshed snapshot (latest of current
-    snapshot and new rows) is written as a new version folder, then the
-    pointer is moved. Readers of the old version are not disturbed, and a
-    failure before the pointer moves leaves the old version served. The last
-    ``keep`` versions stay for readers that still hold them.
+                   ts: str = "event_timestamp", created: str = "created_timestamp") -> int:
+    """Incremental refresh of the served table; returns the buckets rewritten.
+
+    The table is partitioned by a hash bucket of the key. Only the buckets that
+    hold a key of ``new_rows`` are read, merged (latest of the bucket and the
+    new rows) and swapped by a dynamic partition overwrite; the others are not
+    touched. A refresh that is run again gives the same rows.
     """
-    current = served_version(spark, root)
-    prev = None if current is None else spark.read.parquet(f"{root.rstrip('/')}/v={current}")
-    nxt = 0 if current is None else current + 1
-    materialize(prev, new_rows, key, ts, created).write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={nxt}")
-    spark.createDataFrame([(nxt,)], "version long").coalesce(1).write.mode("overwrite").json(
-        f"{root.rstrip('/')}/_pointer")
-    if nxt >= keep:
-        delete_path(spark, f"{root.rstrip('/')}/v={nxt - keep}")
-    return nxt
+    fresh = latest_rows(new_rows, key, ts, created).withColumn(BUCKET, served_bucket(key))
+    shared_root(spark)
+    fresh = fresh.checkpoint()  # read twice below
+    changed = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # SERVED_BUCKETS numbers at most
+    if not changed:
+        return 0
+    there = read_served(spark, root) is not None
+    if there:
+        held = spark.read.parquet(root).where(F.col(BUCKET).isin(changed))
+        # the merged buckets are complete before the old ones are swapped out
+        fresh = materialize(held.select(*fresh.columns), fresh, key, ts, created).checkpoint()
+    (fresh.repartition(len(changed), BUCKET).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if there else "static").partitionBy(BUCKET).parquet(root))
+    return len(changed)

@@ -105,22 +105,21 @@ def _streamed(spark, sf_dir):
     and a third that meets all files again through a new checkpoint; the paths
     of status, store and served table."""
     root = scratch_path(spark, "stream-ingest")
-    landing, store, status, state, served, ckpt = (
-        f"{root}/{p}" for p in ("landing", "store", "status", "state", "served", "ckpt"))
+    landing, store, status, served, ckpt = (f"{root}/{p}" for p in ("landing", "store", "status", "served", "ckpt"))
     stored = sc.stored(spark, sf_dir)
     seed = ft.hourly_feature_rows(stored.withColumnRenamed("event_timestamp", "timestamp"),
                                   include_targets=False, complete_only=False)
     seed = seed.withColumnRenamed("timestamp", "event_timestamp").select(
         "city", "event_timestamp", F.col("event_timestamp").alias("created_timestamp"), "aqi", *FEATURE_COLUMNS)
-    ig.seed_stream_state(seed, store, state, served)
+    ig.seed_store(seed, store, served)
     parts = sc.batch_parts(spark, sf_dir)
     first = parts["fresh"].unionByName(parts["newcomers"]).unionByName(parts["broken"])
     second = parts["twins"].unionByName(parts["replay"]).unionByName(parts["late"])
     for part, rows in (("1", first), ("2", second)):
         rows.write.parquet(f"{landing}/part={part}")
-        ig.run_ingest_stream(spark, f"{landing}/part=*", store, status, state, ckpt, first.schema,
+        ig.run_ingest_stream(spark, f"{landing}/part=*", store, status, ckpt, first.schema,
                              created_at="2024-02-01 00:00:00", served=served, run="hourly")
-    ig.run_ingest_stream(spark, f"{landing}/part=*", store, status, state, f"{root}/ckpt2", first.schema,
+    ig.run_ingest_stream(spark, f"{landing}/part=*", store, status, f"{root}/ckpt2", first.schema,
                          created_at="2024-02-02 00:00:00", served=served, run="again")
     return status, store, served
 
@@ -157,7 +156,7 @@ QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_timestamp DESC) = 1
 def q_stream_served(spark, sf_dir):
     prepare(spark)
     _, _, served = _streamed(spark, sf_dir)
-    return finish(ig.VersionedState(spark, served).read().select("city", "event_timestamp", "aqi"))
+    return finish(so.read_served(spark, served).select("city", "event_timestamp", "aqi"))
 
 
 # --- W9: latest per key, equal event times resolved by created time ----------

@@ -13,32 +13,33 @@ Status of each arriving row, tested in this order; every row gets one:
    followed by the batch's inserted rows in event-time order (each new row is
    history for the next).
 
-Per key the job keeps a small summary (row count, last time, last 3 rows)
-instead of re-reading the history; only rows that could be stored (``ts <=
-last time``) are checked against the store, over the batch's days.
+Per key the rules need a small summary (stored rows, last time, last 3 rows)
+instead of the history; only rows that could be stored (``ts <= last time``) are
+checked against the store, over the batch's days. The streaming job keeps that
+summary in Spark's state store, one value per key.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState
 
 from aerocast.contract import FEATURE_COLUMNS, MIN_HISTORY_ROWS, RAW_FEATURES
 from aerocast.functions import calendar_columns
 from aerocast.operators.features import rolling_prev3
 from aerocast.operators.ordered import last_n_per_key, shifted
-from aerocast.session import delete_path, path_exists, shared_root
+from aerocast.session import path_exists, shared_root
 
 KEY, TS, SEQ, DATE = "city", "event_timestamp", "seq", "event_date"
 STATUS_COLUMNS = ["city", "event_timestamp", "seq", "aqi", *FEATURE_COLUMNS, "status"]
 
 
-KEEP_VERSIONS = 5
-
-
 def is_invalid() -> Column:
     """Rows that the contract refuses whatever is stored."""
     bad = F.col(KEY).isNull() | F.col(TS).isNull()
@@ -56,24 +57,6 @@ def history_summary(stored: DataFrame, *, n_last: int = MIN_HISTORY_ROWS) -> Dat
     return counts.join(arr, KEY, "left")
 
 
-def advance_summary(summary: DataFrame, inserted: DataFrame, *, n_last: int = MIN_HISTORY_ROWS) -> DataFrame:
-    """Summary after appending ``inserted`` (key, event_timestamp, aqi)."""
-    counts = inserted.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.max(TS).alias("_max"))
-    # at most n_last rows per key reach the array (a hot key is cut first)
-    top = last_n_per_key(inserted.select(KEY, TS, "aqi"), [KEY], TS, n_last)
-    rows = top.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct(TS, "aqi")), False).alias("_new"))
-    add = counts.join(rows, KEY, "left")
-    j = summary.join(add, KEY, "full_outer")
-    merged = F.concat(F.coalesce(F.col("last_rows"), F.array()),
-                      F.coalesce(F.slice(F.col("_new"), 1, n_last), F.array()))
-    return j.select(
-        KEY,
-        (F.coalesce("n_stored", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("n_stored"),
-        F.greatest("last_ts", "_max").alias("last_ts"),
-        F.slice(F.sort_array(merged, False), 1, n_last).alias("_top"),
-    ).select(KEY, "n_stored", "last_ts", F.sort_array("_top").alias("last_rows"))
-
-
 def batch_status(batch: DataFrame, summary: DataFrame, stored: DataFrame) -> DataFrame:
     """Batch rows with their key's summary and ``status`` (rules 1-6).
 
@@ -82,7 +65,7 @@ def batch_status(batch: DataFrame, summary: DataFrame, stored: DataFrame) -> Dat
     pruning reads only the candidates' days.
     """
     s = summary.select(KEY, "n_stored", "last_ts", "last_rows")
-    # a row id taken at the scan breaks ties between copies with equal seq
+    # ties between copies with equal seq: the least index, then a row id taken at the scan
     b = batch.select(KEY, TS, SEQ, "aqi", *RAW_FEATURES).withColumn("_rid", F.monotonically_increasing_id()) \
         .withColumn("_bad", is_invalid()).join(s, KEY, "left")
     cand = b.where(~F.col("_bad") & (F.col(TS) <= F.col("last_ts"))).select(KEY, TS).distinct()
@@ -94,14 +77,14 @@ def batch_status(batch: DataFrame, summary: DataFrame, stored: DataFrame) -> Dat
     else:
         probe = [KEY, TS]
     hit = cand.join(stored.select(*probe), probe, "left_semi").select(KEY, TS).withColumn("_stored", F.lit(True))
-    firsts = b.where(~F.col("_bad")).groupBy(KEY, TS).agg(F.min(F.struct(SEQ, "_rid")).alias("_first"))
+    firsts = b.where(~F.col("_bad")).groupBy(KEY, TS).agg(F.min(F.struct(SEQ, "aqi", "_rid")).alias("_first"))
     b = b.join(hit, [KEY, TS], "left").join(firsts, [KEY, TS], "left")
     status = (
         F.when(F.col("_bad"), "invalid")
         .when(F.col("_stored"), "duplicate")
         .when(F.coalesce(F.col("n_stored"), F.lit(0)) < MIN_HISTORY_ROWS, "no_history")
         .when(F.col(TS) <= F.col("last_ts"), "late")
-        .when(F.struct(SEQ, "_rid") != F.col("_first"), "duplicate")
+        .when(F.struct(SEQ, "aqi", "_rid") != F.col("_first"), "duplicate")
         .otherwise("inserted")
     )
     return b.withColumn("status", status)
@@ -146,42 +129,63 @@ def store_rows(status_rows: DataFrame, created_at) -> DataFrame:
         KEY, TS, F.lit(created_at).cast("timestamp").alias("created_timestamp"), "aqi", *FEATURE_COLUMNS)
 
 
-class VersionedState:
-    """A small table rewritten once per micro-batch, as ``version=N`` folders.
+_TIMES, _VALUES = ("t1", "t2", "t3"), ("v1", "v2", "v3")  # oldest to newest, the last ``k`` of them count
+STATE = "n long, k int, " + ", ".join([*(f"{t} long" for t in _TIMES), *(f"{v} double" for v in _VALUES)])
+FED = f"{KEY} string, n long, us long, seq long, aqi double"
 
-    ``_log`` has one row (version, run, batch) per finished version. A batch
-    that is run again starts from the version before its own and replaces its
-    own; another run, or another batch, starts from the newest. The last
-    KEEP_VERSIONS folders stay.
-    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+def newest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The newest rows of each key in an Arrow batch, one per time (least seq,
+    then least index): all that a key's state can need of it."""
+    for rows in batches:
+        best = rows.sort_values([KEY, "us", "seq", "aqi"]).drop_duplicates([KEY, "us"])
+        yield best.groupby(KEY, sort=False).tail(MIN_HISTORY_ROWS)
+
 
-    def _log(self) -> list:
-        log = f"{self.root}/_log"
-        if not path_exists(self.spark, log):
-            return []
-        return self.spark.read.schema("version long, run string, batch long").parquet(log).orderBy("version").collect()
+def advance_key(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The summary of a key before the batch; its state moves on past the rows
+    that the rules insert. Rows with ``n`` seed a key that has no state yet."""
+    rows = pd.concat(list(batches))
+    if state.exists:
+        n, k, *flat = state.get
+        times, values = list(flat[3 - k:3]), list(flat[6 - k:6])
+    else:
+        seed = rows[rows["n"] > 0].sort_values("us")
+        n, times, values = int(seed["n"].max()) if len(seed) else 0, seed["us"].tolist(), seed["aqi"].tolist()
+    before = _flat(n, times, values)
+    yield pd.DataFrame([(key[0], *before)], columns=[KEY, "n", "k", *_TIMES, *_VALUES])
+    if n >= MIN_HISTORY_ROWS:  # fail closed: nothing is inserted without history
+        new = rows[(rows["n"] == 0) & (rows["us"] > times[-1])]
+        new = new.sort_values(["us", "seq", "aqi"]).drop_duplicates("us").tail(MIN_HISTORY_ROWS)
+        times, values = (times + new["us"].tolist())[-3:], (values + new["aqi"].tolist())[-3:]
+    state.update(_flat(n, times, values))
+
+
+def _flat(n: int, times: list, values: list) -> tuple:
+    pad = 3 - len(times)
+    return (n, len(times), *[0] * pad, *map(int, times), *[0.0] * pad, *map(float, values))
 
-    def target(self, run: str, batch: int) -> tuple[int, int]:
-        """(version to start from, version to write) of a batch."""
-        rows = self._log()
-        own = [r.version for r in rows if (r.run, r.batch) == (run, batch)]
-        newest = own[-1] if own else rows[-1].version + 1 if rows else 0
-        return newest - 1, newest
 
-    def read(self, version: int | None = None) -> DataFrame:
-        version = self._log()[-1].version if version is None else version
-        return self.spark.read.parquet(f"{self.root}/version={version}")
+def keyed_summaries(rows: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Per key of the micro-batch, its summary before it, from the state store.
 
-    def write(self, df: DataFrame, version: int, run: str, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/version={version}")
-        if version not in [r.version for r in self._log()]:
-            (self.spark.createDataFrame([(version, run, batch)], "version long, run string, batch long")
-             .coalesce(1).write.mode("append").parquet(f"{self.root}/_log"))
-        if version >= KEEP_VERSIONS:
-            delete_path(self.spark, f"{self.root}/version={version - KEEP_VERSIONS}")
+    ``rows`` and ``seeds`` are streams. A key's rows are cut to three per Arrow
+    batch before they are shuffled, so a hot key stays small."""
+    fed = (rows.where(~is_invalid())
+           .select(KEY, F.lit(0).cast("long").alias("n"), F.unix_micros(TS).alias("us"), F.col(SEQ).cast("long").alias("seq"),
+                   F.col("aqi").cast("double").alias("aqi")).mapInPandas(newest_rows, FED))
+    return (fed.unionByName(seeds).groupBy(KEY)
+            .applyInPandasWithState(advance_key, f"{KEY} string, {STATE}", STATE, "append", "NoTimeout")
+            .select(KEY, F.col("n").alias("n_stored"), F.when(F.col("k") > 0, F.timestamp_micros("t3")).alias("last_ts"),
+                    F.slice(F.array(*[F.struct(F.timestamp_micros(t).alias(TS), F.col(v).alias("aqi")) for t, v in zip(_TIMES, _VALUES)]),
+                            4 - F.col("k"), F.col("k")).alias("last_rows")))
+
+
+def seed_rows(stored: DataFrame) -> DataFrame:
+    """What the state of a new run starts from: up to three rows per key, with its row count."""
+    s = history_summary(stored)
+    return s.select(KEY, F.col("n_stored").alias("n"), F.explode("last_rows").alias("r")).select(
+        KEY, "n", F.unix_micros(f"r.{TS}").alias("us"), F.lit(0).cast("long").alias("seq"), F.col("r.aqi").cast("double").alias("aqi"))
 
 
 def append_new(spark: SparkSession, store: str, rows: DataFrame) -> None:
@@ -193,63 +197,69 @@ def append_new(spark: SparkSession, store: str, rows: DataFrame) -> None:
     rows.join(held, probe, "left_anti").write.mode("append").partitionBy(DATE).parquet(store)
 
 
-def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out: str, state: str,
-                      checkpoint: str, schema: T.StructType, created_at, max_files_per_trigger: int | None = None,
+def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out: str, checkpoint: str,
+                      schema: T.StructType, created_at, max_files_per_trigger: int | None = None,
                       served: str | None = None, run: str | None = None):
-    """Structured Streaming job: landed files -> statuses, store, summary,
-    served table.
-
-    A run is named by its checkpoint (or ``run``). Statuses come from all rows
-    that other batches and other runs stored, and from the summary before this
-    batch, so a batch that is run again after a failure gives the same
-    statuses, and files that reach the job again through a new checkpoint are
-    ``duplicate``. Store appends skip every (key, ts) the store holds, whoever
-    wrote it. The store is partitioned by event day; status by run and batch.
+    """Structured Streaming job: landed files -> statuses, store, served table.
+
+    A run is named by its checkpoint (or ``run``). Each key's summary lives in
+    the state store under the checkpoint; a new checkpoint is seeded once from
+    the rows that other runs stored. A batch that is run again after a failure
+    starts from the state before it and from all rows that other batches and
+    runs stored, so it gives the same statuses; files that reach the job again
+    through a new checkpoint are ``duplicate``. Store appends skip every (key,
+    ts) the store holds, whoever wrote it. The store is partitioned by event
+    day; status by run and batch; the served table by key bucket. One run
+    writes a store at a time: a run that another one followed has stale state.
 
     Runs as ``availableNow``: everything landed since the last run is one
     micro-batch by default (a scheduled run, as the hourly collector), or
     ``max_files_per_trigger`` files per batch. Files carry no time order, so
     a row that reaches a key after a newer row of it was stored is ``late``.
     """
-    from aerocast.operators.store import materialize
+    from aerocast.operators.store import refresh_served
 
     run = run or hashlib.md5(checkpoint.encode()).hexdigest()[:12]
-    summaries, views = VersionedState(spark, state), VersionedState(spark, served) if served else None
+    seeds = f"{checkpoint.rstrip('/')}-seed"
+    if not path_exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
+        others = spark.read.parquet(store).where(F.col("run") != run)
+        seed_rows(others).write.mode("overwrite").parquet(seeds)
+    shared_root(spark)
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
-        before, after = summaries.target(run, batch_id)
-        summary = summaries.read(before)
-        st = ingest_batch(df, summary, spark.read.parquet(store).where(~own), summary_is_table=True).withColumns(
+        both = df.checkpoint()  # the stateful plan runs once per batch
+        rows = both.where("row is not null").select("row.*")
+        summary = both.where("state is not null").select("state.*")
+        st = ingest_batch(rows, summary, spark.read.parquet(store).where(~own), summary_is_table=True).withColumns(
             {"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")}).persist()
         new = store_rows(st, created_at)
         append_new(spark, store, new.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")}))
         (st.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run", "batch_id").parquet(status_out))
-        if views is not None:
-            first, nxt = views.target(run, batch_id)
-            views.write(materialize(views.read(first), new), nxt, run, batch_id)
-        summaries.write(advance_summary(summary, new.select(KEY, TS, "aqi")), after, run, batch_id)
+        if served is not None:
+            refresh_served(spark, served, new)
         st.unpersist()
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    q = (reader.parquet(landing).writeStream.foreachBatch(per_batch)
+    rows = reader.parquet(landing)
+    states = keyed_summaries(rows, spark.readStream.schema(FED).parquet(seeds))
+    as_row, as_state = F.struct(*rows.columns).alias("row"), F.struct(*states.columns).alias("state")
+    both = rows.select(as_row).unionByName(states.select(as_state), allowMissingColumns=True)
+    q = (both.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
-def seed_stream_state(stored: DataFrame, store: str, state: str, served: str | None = None) -> None:
-    """Write the initial store, its summary and served table."""
-    from aerocast.operators.store import latest_rows
+def seed_store(stored: DataFrame, store: str, served: str | None = None) -> None:
+    """Write the initial store and its served table."""
+    from aerocast.operators.store import refresh_served
 
     spark = stored.sparkSession
     (stored.withColumns({"run": F.lit("seed"), "batch_id": F.lit(-1).cast("long"), DATE: F.to_date(TS)})
      .write.mode("overwrite").partitionBy(DATE).parquet(store))
-    # summary and served table come from the written store (read once each)
-    written = spark.read.parquet(store).drop("run", "batch_id", DATE)
-    VersionedState(spark, state).write(history_summary(written), 0, "seed", -1)
     if served is not None:
-        VersionedState(spark, served).write(latest_rows(written), 0, "seed", -1)
+        refresh_served(spark, served, spark.read.parquet(store).drop("run", "batch_id", DATE))
