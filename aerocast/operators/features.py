@@ -23,6 +23,7 @@ from aerocast.contract import (
 )
 from aerocast.functions import calendar_columns, floor_day
 from aerocast.operators.ordered import latest_per_key, shifted
+from aerocast.operators.quality import REASONS, stop_at
 
 
 def rolling_prev3(l1, l2, l3):
@@ -32,15 +33,25 @@ def rolling_prev3(l1, l2, l3):
 
 def hourly_feature_rows(obs: DataFrame, *, key: str = "city", ts: str = "timestamp",
                         include_targets: bool = True, complete_only: bool = True,
-                        chunk_rows: int | None = None) -> DataFrame:
+                        chunk_rows: int | None = None, guard: str | None = None, rows: int | None = None) -> DataFrame:
     """Positional features per key, ordered by ``ts`` (unique per key).
 
     Output: key, ts, aqi, the 14 features (contract order) and, if asked, the
     3 lead targets. ``complete_only`` drops rows with any missing value.
+    ``guard`` names the arrival order: the job then stops at two rows of one
+    key and time, or at a row that arrived before an older one. Both stand
+    side by side in the window that makes the lags, so nothing more is read.
     """
     leads = len(TARGET_COLUMNS) if include_targets else 0
     base = obs.select(key, ts, "aqi", *RAW_FEATURES)
-    sh = shifted(base, [key], ts, ["aqi"], max_lag=3, max_lead=leads, chunk_rows=chunk_rows)
+    carried = ["aqi"]
+    if guard:
+        base = obs.select(key, ts, "aqi", *RAW_FEATURES, F.col(ts).alias("__at"), F.col(guard).alias("__seq"))
+        carried += ["__at", "__seq"]
+    sh = shifted(base, [key], ts, carried, max_lag=3, max_lead=leads, chunk_rows=chunk_rows, rows=rows)
+    if guard:
+        sh = sh.where(stop_at(F.when(F.col("__at__lag1") == F.col("__at"), F.lit(REASONS["duplicate_timestamp"].format(n="some")))
+                              .when(F.col("__seq__lag1") > F.col("__seq"), F.lit(REASONS["out_of_order"].format(n="some")))))
     cols = [
         F.col(key), F.col(ts), F.col("aqi"), *[F.col(c) for c in RAW_FEATURES],
         *calendar_columns(ts),
@@ -99,7 +110,10 @@ def gap_fill(daily: DataFrame, *, key: str = "city", ts: str = "timestamp") -> D
     cal = span.select(
         key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias(ts)
     )
-    return cal.join(daily, [key, ts], "left")
+    # a null key is a key like any other
+    right = daily.withColumnsRenamed({key: "__key", ts: "__day"})
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col(ts) == F.col("__day"))
+    return cal.join(right, same, "left").select(*daily.columns)
 
 
 def daily_feature_rows(daily: DataFrame, *, key: str = "city", ts: str = "timestamp",

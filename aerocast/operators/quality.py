@@ -1,16 +1,20 @@
 """Contract checks on observation batches (V1-V6), as rows or as a gate.
 
-The checks run as one DataFrame plan: per-row flags from column expressions,
-duplicates by an aggregate on ``(key, ts)`` joined back, arrival order by a
-chunked positional lag over ``seq``. ``report`` counts flags per key;
-``enforce`` raises the contract error when any flag is set.
+Per-row flags are column expressions, duplicates an aggregate on ``(key, ts)``,
+arrival order a chunked positional lag over ``seq``. ``report`` counts flags per
+key. The gate comes in three forms, all with the same rules and first error:
+
+* ``enforce`` checks at once (one scan; arrival order, where asked, a second);
+* ``observed`` checks inside the job that reads the rows anyway: the counts are
+  metrics of that job, and ``Gate.check`` raises when it has ended;
+* ``guarded`` checks inside a lazy plan: a row that breaks a rule stops the job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +24,7 @@ from aerocast.operators.ordered import shifted
 
 RULES = ("invalid_timestamp", "duplicate_timestamp", "out_of_order", "invalid_value", "negative_value")
 REASONS = {
+    "absent_key": "{n} rows have no key",
     "invalid_timestamp": "{n} rows have a time that is absent or not a time",
     "duplicate_timestamp": "{n} rows share their key and time; times must be unique per key",
     "out_of_order": "{n} rows arrive after a later one; arrival must be chronological",
@@ -99,66 +104,119 @@ def violations(df: DataFrame, **kw) -> DataFrame:
     return stacked.where(F.col("rule").isNotNull())
 
 
-def _faults(df: DataFrame, *, key: str, ts: str, seq: str, require_aqi: bool, chunk_rows: int | None,
-            by_column: bool) -> DataFrame:
-    """Per key: n_rows, one count per rule and, if asked, one per (column, value rule).
+def report(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: str = "seq",
+           require_aqi: bool = True, chunk_rows: int | None = None) -> DataFrame:
+    """Counts per key: rows and rows breaking each rule.
 
-    No wide row is shuffled: the row-local rules are one partial aggregate
-    over the scan; duplicates (an aggregate on ``(key, ts)``) and arrival
-    order (a chunked lag over ``seq``) read only ``key, seq, ts``; the three
-    per-key results are joined.
+    Row-local rules and duplicates come from one aggregate on ``(key, ts)``,
+    summed per key; arrival order (a lag over ``seq``) reads ``key, seq, ts``.
     """
-    require_observation_columns(df.columns, require_aqi=require_aqi, ts_col=ts)
     raw_cols = value_columns(require_aqi)
     c = coerce(df.select(key, seq, ts, *raw_cols), ts=ts, require_aqi=require_aqi)
-    absent = {x: F.col(x).isNull() for x in raw_cols}
-    negative = {x: F.coalesce(F.col(x) < 0, F.lit(False)) for x in raw_cols}
     count = lambda e: F.count(F.when(e, 1))
-    each = [count(flags[x]).alias(f"{rule}:{x}") for x in raw_cols
-            for rule, flags in (("invalid_value", absent), ("negative_value", negative))] if by_column else []
-    local = c.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_rows"), count(F.col(ts).isNull()).alias("invalid_timestamp"),
-        count(F.greatest(*absent.values())).alias("invalid_value"),
-        count(F.greatest(*negative.values())).alias("negative_value"), *each)
-    narrow = c.select(key, seq, ts)
-    dups = (narrow.where(F.col(ts).isNotNull()).groupBy(key, ts).agg(F.count(F.lit(1)).alias("_n"))
-            .where("_n > 1").groupBy(key).agg(F.sum("_n").alias("duplicate_timestamp")))
-    order = (shifted(narrow, [key], seq, [ts], max_lag=1, chunk_rows=chunk_rows).groupBy(key)
+    per_time = c.groupBy(key, ts).agg(
+        F.count(F.lit(1)).alias("n"), count(F.greatest(*[F.col(x).isNull() for x in raw_cols])).alias("absent"),
+        count(F.greatest(*[F.coalesce(F.col(x) < 0, F.lit(False)) for x in raw_cols])).alias("negative"))
+    local = per_time.groupBy(key).agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col(ts).isNull(), F.col("n")).otherwise(0)).alias("invalid_timestamp"),
+        F.sum(F.when(F.col(ts).isNotNull() & (F.col("n") > 1), F.col("n")).otherwise(0)).alias("duplicate_timestamp"),
+        F.sum("absent").alias("invalid_value"), F.sum("negative").alias("negative_value"))
+    order = (shifted(c.select(key, seq, ts), [key], seq, [ts], max_lag=1, chunk_rows=chunk_rows).groupBy(F.col(key).alias("__key"))
              .agg(count(F.col(ts) < F.col(f"{ts}__lag1")).alias("out_of_order")))
-    for side in (dups, order):  # a null key is a key of its own
-        named = side.withColumnRenamed(key, "__key")
-        local = local.join(named, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
-    return local.fillna(0, ["duplicate_timestamp", "out_of_order"])
+    return (local.join(order, F.col(key).eqNullSafe(F.col("__key")), "left")  # a null key is a key of its own
+            .select(key, "n_rows", *[F.coalesce(r, F.lit(0)).cast("long").alias(r) for r in RULES]))
 
 
-def report(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: str = "seq",
-           require_aqi: bool = True, chunk_rows: int | None = None) -> DataFrame:
-    """Counts per key: rows and rows breaking each rule."""
-    found = _faults(df, key=key, ts=ts, seq=seq, require_aqi=require_aqi, chunk_rows=chunk_rows, by_column=False)
-    return found.select(key, "n_rows", *[F.col(r).cast("long").alias(r) for r in RULES])
+def _row_faults(key: str, ts: str, require_aqi: bool) -> list[tuple[str, str, Column]]:
+    """(rule, column, condition) of what one coerced row can break, in the contract's order."""
+    out = [("absent_key", key, F.col(key).isNull()), ("invalid_timestamp", ts, F.col(ts).isNull())]
+    for x in value_columns(require_aqi):
+        out += [("invalid_value", x, F.col(x).isNull()), ("negative_value", x, F.coalesce(F.col(x) < 0, F.lit(False)))]
+    return out
+
+
+class Gate:
+    """Counts of broken rules that a job gathers while it runs."""
+
+    def __init__(self):
+        self.rows, self.keys = Observation(), Observation()
+
+    def watch(self, coerced: DataFrame, *, key: str, ts: str, require_aqi: bool) -> DataFrame:
+        counts = [F.count(F.when(bad, 1)).alias(f"{rule}:{x}") for rule, x, bad in _row_faults(key, ts, require_aqi)]
+        return coerced.observe(self.rows, F.count(F.lit(1)).alias("n"), *counts)
+
+    def twins(self, per_key: DataFrame, n: str, ts: str) -> DataFrame:
+        return per_key.observe(self.keys, F.sum(F.when(F.col(ts).isNotNull() & (F.col(n) > 1), F.col(n)).otherwise(0)).alias("n"))
 
+    @property
+    def n_rows(self) -> int:
+        return self.rows.get["n"]
 
-def enforce(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: str = "seq",
+    def check(self, out_of_order=lambda: 0) -> None:
+        """Raise the first error; waits for the job. Key and time rules come first, then
+        arrival order, then the value columns in order."""
+        found = self.rows.get
+        time_rules = [(r, "", sum(n for k, n in found.items() if k.startswith(f"{r}:"))) for r in ("absent_key", "invalid_timestamp")]
+        for rule, column, n in [*time_rules, ("duplicate_timestamp", "", self.keys.get["n"] or 0)]:
+            if n:
+                raise DataQualityError(REASONS[rule].format(n=n, column=column))
+        if n := out_of_order():
+            raise DataQualityError(REASONS["out_of_order"].format(n=n, column=""))
+        for name, n in found.items():
+            rule, _, column = name.partition(":")
+            if n and rule in ("invalid_value", "negative_value"):
+                raise DataQualityError(REASONS[rule].format(n=n, column=column))
+
+
+def observed(df: DataFrame, *, key: str = "city", ts: str = "timestamp",
+             require_aqi: bool = True) -> tuple[DataFrame, Gate]:
+    """Coerced rows, one per (key, ts), and the gate over them.
+
+    The rows carry the gate's counts: run one job that reads them all, then
+    ``check`` the gate before its results are used. Nothing is read twice.
+    """
+    gate = Gate()
+    c = gate.watch(coerce(df, ts=ts, require_aqi=require_aqi), key=key, ts=ts, require_aqi=require_aqi)
+    rest = [x for x in c.columns if x not in (key, ts)]
+    one = c.groupBy(key, ts).agg(F.count(F.lit(1)).alias("__n"), *[F.any_value(x).alias(x) for x in rest])
+    return gate.twins(one, "__n", ts).select(*df.columns), gate
+
+
+def enforce(df: DataFrame, *, key: str = "city", ts: str = "timestamp", seq: str | None = "seq",
             require_aqi: bool = True, chunk_rows: int | None = None) -> DataFrame:
     """Raise the contract error when any rule fails; else ``df`` coerced.
 
-    One job. Time rules come first; then the value columns in the contract's
-    order, each with its absent and its negative values.
+    One scan for the row rules and duplicates (only key and time are
+    shuffled). With ``seq``, arrival order is tested by a second job over
+    three columns, if nothing failed before it.
     """
-    found = _faults(df, key=key, ts=ts, seq=seq, require_aqi=require_aqi, chunk_rows=chunk_rows, by_column=True)
-    checks = [(r, r, "") for r in RULES[:3]] + [
-        (f"{r}:{x}", r, x) for x in value_columns(require_aqi) for r in ("invalid_value", "negative_value")]
-    totals = found.agg(*[F.sum(F.col(f"`{name}`")).alias(name) for name, _, _ in checks]).first()
-    for name, rule, column in checks:
-        if totals[name]:
-            raise DataQualityError(REASONS[rule].format(n=totals[name], column=column))
-    return coerce(df, ts=ts, require_aqi=require_aqi)
+    gate = Gate()
+    c = coerce(df, ts=ts, require_aqi=require_aqi)
+    wide = c.select(*dict.fromkeys([key, ts, *value_columns(require_aqi)]))
+    per_key = gate.watch(wide, key=key, ts=ts, require_aqi=require_aqi).groupBy(key, ts).agg(F.count(F.lit(1)).alias("n"))
+    gate.twins(per_key, "n", ts).agg(F.count(F.lit(1))).collect()
+    gate.check(lambda: out_of_order(df, key=key, ts=ts, seq=seq, chunk_rows=chunk_rows).count() if seq and seq != ts else 0)
+    return c
+
+
+def guarded(df: DataFrame, *, key: str = "city", ts: str = "timestamp", require_aqi: bool = True) -> DataFrame:
+    """Coerced rows of a plan that stops at a row without key, time or value, or with a negative one."""
+    c = coerce(df, ts=ts, require_aqi=require_aqi)
+    fault = F.lit(None).cast("string")
+    for rule, column, bad in reversed(_row_faults(key, ts, require_aqi)):
+        fault = F.when(bad, F.lit(REASONS[rule].format(n="some", column=column))).otherwise(fault)
+    return c.where(stop_at(fault))
+
+
+def stop_at(fault: Column) -> Column:
+    """A filter that every row without ``fault`` passes; a fault stops the job with its text."""
+    return F.when(fault.isNotNull(), F.raise_error(fault).cast("boolean")).otherwise(F.lit(True))
 
 
 def require_valid(history: DataFrame, *, key: str = "city", ts: str = "timestamp", require_aqi: bool = True) -> DataFrame:
     """``enforce`` for stored history: a table has no arrival order, so the
-    rules are those of time, uniqueness and values, in one narrow job."""
-    return enforce(history.withColumn("__seq", F.col(ts)), key=key, ts=ts, seq="__seq", require_aqi=require_aqi).drop("__seq")
+    rules are those of key, time, uniqueness and values, in one scan."""
+    return enforce(history, key=key, ts=ts, seq=None, require_aqi=require_aqi)
 
 
 def missing_lags(rows: DataFrame, columns: Sequence[str] = tuple(FEATURE_COLUMNS[-4:])) -> DataFrame:

@@ -37,19 +37,21 @@ def rows_to_insert(existing: DataFrame, batch: DataFrame, keys: Sequence[str] =
 
 def append_once(spark: SparkSession, store_path: str, batch: DataFrame,
                 keys: Sequence[str] = STORE_KEY, ts: str = "event_timestamp",
-                order_cols: Sequence[str] = ("created_timestamp",), partition_by: str = "event_date") -> int:
+                order_cols: Sequence[str] = ("created_timestamp",), partition_by: str = "event_date",
+                within: tuple | None = None) -> int:
     """Conflict-safe append; returns rows inserted (0 for an empty batch).
 
     The store is read only over the batch's time range (partition and
     row-group pruning), so the anti join does not scan the whole history.
+    ``within`` gives that range where it is known, so ``batch`` runs once.
     """
-    rng = batch.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    if rng is None or rng["lo"] is None:
+    lo, hi = within or batch.agg(F.min(ts), F.max(ts)).first()
+    if lo is None:
         return 0
     if path_exists(spark, store_path):
         existing = spark.read.parquet(store_path).where(
-            (F.col(partition_by) >= F.to_date(F.lit(rng["lo"]))) & (F.col(partition_by) <= F.to_date(F.lit(rng["hi"])))
-        ).where(F.col(ts).between(rng["lo"], rng["hi"]))
+            (F.col(partition_by) >= F.to_date(F.lit(lo))) & (F.col(partition_by) <= F.to_date(F.lit(hi)))
+        ).where(F.col(ts).between(lo, hi))
         new = rows_to_insert(existing, batch, keys, order_cols)
     else:
         new = first_per_key(batch, keys, order_cols)
