@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from aerocast.contract import RAW_FEATURES
 from aerocast.operators import features as ft
+from aerocast.operators import partials as pt
 from aerocast.operators import status as stt
 from aerocast.operators.store import append_once, refresh_served
-from aerocast.sources.files import flatten_payloads, read_payloads
+from aerocast.sources.files import CORRUPT, flatten_payloads, read_payloads, stream_payloads
 from aerocast.streaming import ingest as ig
 
 
@@ -48,6 +49,39 @@ def run_collect(spark: SparkSession, landing: str, store: str, served: str, supp
     return status, status_after(spark.read.parquet(store)), ready
 
 
+def collect_stream(spark: SparkSession, landing: str, store: str, status_out: str, checkpoint: str, supported: DataFrame,
+                   created_at, *, served: str | None = None, partials: str | None = None, archive: str | None = None,
+                   multi_line: bool = True, run: str | None = None, max_files_per_trigger: int | None = None):
+    """The hourly collect as an incremental job: each run reads only the
+    payload files that landed since the last one.
+
+    One status row per payload: text that cannot be read as a payload is
+    ``malformed``, a key outside ``supported`` ``unsupported``, the others get
+    the ingest statuses; each row names its file. Keyed state, store, served
+    table and day partials are advanced per micro-batch, so neither the
+    landing folder nor the store is read again. ``history_after`` and
+    ``readiness_after`` report from the partials.
+    """
+    obs = (flatten_payloads(stream_payloads(spark, landing, multi_line, archive, max_files_per_trigger))
+           .withColumnRenamed("timestamp", ig.TS).withColumn(ig.SEQ, F.unix_micros(ig.TS)))
+    known = supported.select(ig.KEY).where(F.col(ig.KEY).isNotNull()).distinct().withColumn("_known", F.lit(True))
+    refused = (F.when(F.col(CORRUPT).isNotNull(), "malformed")
+               .when(F.col(ig.KEY).isNotNull() & F.col("_known").isNull(), "unsupported"))
+    marked = obs.join(known, ig.KEY, "left").withColumn("refused", refused)
+    rows = marked.select("file", ig.KEY, ig.TS, ig.SEQ, "aqi", *RAW_FEATURES, "refused")
+    return ig.ingest_rows(rows, store, status_out, checkpoint, created_at, served=served, run=run, partials=partials)
+
+
+def history_after(spark: SparkSession, partials: str) -> DataFrame:
+    """History status per key after a run, from the day partials."""
+    return pt.status(spark.read.parquet(partials))
+
+
+def readiness_after(spark: SparkSession, partials: str) -> DataFrame:
+    """Training readiness per key after a run, from the day partials."""
+    return pt.training_status(spark.read.parquet(partials))
+
+
 def status_after(stored: DataFrame) -> DataFrame:
     """History status per key (count, chronological, latest)."""
     return stt.history_status(stored.withColumnRenamed(ig.TS, "timestamp")

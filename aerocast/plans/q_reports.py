@@ -20,7 +20,7 @@ from aerocast.session import prepare, scratch_path
 from aerocast.sources.files import flatten_payloads, read_csv_history, read_payloads
 from aerocast.sources.history import city_history, history_page, page_after
 from aerocast.sources.observations import events_observations
-from aerocast.streaming.windows import late_after_close, run_daily_mean_stream
+from aerocast.streaming.windows import late_after_close, run_daily_mean_stream, run_daily_mean_table
 
 ISO_MICRO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -263,6 +263,25 @@ def q_stream_late_rows(spark, sf_dir):
     return finish(late_after_close(landed, spark.read.parquet(f"{root}/out")).select("city", "timestamp", "n_landed", "n_rows", "n_late"))
 
 
+# --- R6: stored daily means that rows three days late and more correct ------------------------
+@query("daily_mean_corrected", f"""
+WITH {obs_cte('user', 'first')},
+late AS (SELECT * REPLACE (timestamp - INTERVAL 3 DAY AS timestamp, aqi + 7 AS aqi) FROM first WHERE pm2_5 > 50),
+obs AS (SELECT * FROM first UNION ALL SELECT * FROM late), {daily_cte()}
+SELECT city, timestamp, {r6('aqi, ' + POLLUTANTS)}, n_rows FROM daily
+JOIN (SELECT city AS c, date_trunc('day', timestamp) AS t, count(*) AS n_rows FROM obs GROUP BY 1, 2) ON c = city AND t = timestamp
+""")
+def q_daily_mean_corrected(spark, sf_dir):
+    prepare(spark)
+    root = scratch_path(spark, "daily-corrected")
+    obs = events_observations(spark, sf_dir, "user").select("city", "timestamp", "aqi", *RAW_FEATURES)
+    late = obs.where("pm2_5 > 50").withColumns({"timestamp": F.col("timestamp") - F.expr("INTERVAL 3 DAY"), "aqi": F.col("aqi") + 7})
+    for part, rows in ((1, obs), (2, late)):
+        rows.write.parquet(f"{root}/landing/part={part}")
+        run_daily_mean_table(spark, f"{root}/landing/part=*", obs.schema, f"{root}/out", f"{root}/ckpt")
+    return finish(spark.read.parquet(f"{root}/out").drop("event_date"), ["aqi", *RAW_FEATURES])
+
+
 # --- W8: chronological 80/20 split -----------------------------------------------------------
 @query("chrono_split", f"""
 WITH {obs_cte('user')}, {daily_cte()}, {dense_daily_features_cte()}

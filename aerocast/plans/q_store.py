@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_COLUMNS, MIN_HISTORY_ROWS, RAW_FEATURES
 from aerocast.operators import features as ft
+from aerocast.operators import partials as pt
 from aerocast.operators import store as so
 from aerocast.operators.joins import asof_join
 from aerocast.operators.ordered import last_n_per_key
 from aerocast.plans import scenario as sc
-from aerocast.plans.registry import finish, query
-from aerocast.plans.sqlparts import FEATURES, hourly_cte, obs_cte
+from aerocast.plans.registry import ORACLES, finish, query
+from aerocast.plans.sqlparts import FEATURES, daily_cte, dense_daily_features_cte, hourly_cte, obs_cte
 from aerocast.session import prepare, scratch_path
 from aerocast.sources.observations import events_observations, table
 from aerocast.streaming import ingest as ig
@@ -103,31 +104,32 @@ def q_ingest_batch(spark, sf_dir):
 def _streamed(spark, sf_dir):
     """Two scheduled runs on one checkpoint, each picking up what landed since,
     and a third that meets all files again through a new checkpoint; the paths
-    of status, store and served table."""
+    of status, store, served table and day partials."""
     root = scratch_path(spark, "stream-ingest")
-    landing, store, status, served, ckpt = (f"{root}/{p}" for p in ("landing", "store", "status", "served", "ckpt"))
+    landing, store, status, served, partials, ckpt = (
+        f"{root}/{p}" for p in ("landing", "store", "status", "served", "partials", "ckpt"))
     stored = sc.stored(spark, sf_dir)
     seed = ft.hourly_feature_rows(stored.withColumnRenamed("event_timestamp", "timestamp"),
                                   include_targets=False, complete_only=False)
     seed = seed.withColumnRenamed("timestamp", "event_timestamp").select(
         "city", "event_timestamp", F.col("event_timestamp").alias("created_timestamp"), "aqi", *FEATURE_COLUMNS)
-    ig.seed_store(seed, store, served)
+    ig.seed_store(seed, store, served, partials)
     parts = sc.batch_parts(spark, sf_dir)
     first = parts["fresh"].unionByName(parts["newcomers"]).unionByName(parts["broken"])
     second = parts["twins"].unionByName(parts["replay"]).unionByName(parts["late"])
     for part, rows in (("1", first), ("2", second)):
         rows.write.parquet(f"{landing}/part={part}")
         ig.run_ingest_stream(spark, f"{landing}/part=*", store, status, ckpt, first.schema,
-                             created_at="2024-02-01 00:00:00", served=served, run="hourly")
+                             created_at="2024-02-01 00:00:00", served=served, run="hourly", partials=partials)
     ig.run_ingest_stream(spark, f"{landing}/part=*", store, status, f"{root}/ckpt2", first.schema,
-                         created_at="2024-02-02 00:00:00", served=served, run="again")
-    return status, store, served
+                         created_at="2024-02-02 00:00:00", served=served, run="again", partials=partials)
+    return status, store, served, partials
 
 
 @query("stream_ingest", _INGEST_SQL)
 def q_stream_ingest(spark, sf_dir):
     prepare(spark)
-    status, _, _ = _streamed(spark, sf_dir)
+    status, *_ = _streamed(spark, sf_dir)
     out = spark.read.parquet(status).where("run = 'hourly'")
     out = out.select("city", "event_timestamp", "seq", "aqi", *RAW_FEATURES, "hour", "month", "day", "day_of_week",
                      "aqi_lag1", "aqi_lag2", "aqi_lag3", "aqi_rolling_mean", "status")
@@ -144,7 +146,7 @@ SELECT city, count(*) AS n_rows, count(DISTINCT event_timestamp) AS n_keys, max(
 """)
 def q_stream_store(spark, sf_dir):
     prepare(spark)
-    _, store, _ = _streamed(spark, sf_dir)
+    _, store, *_ = _streamed(spark, sf_dir)
     return finish(spark.read.parquet(store).groupBy("city").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_timestamp").alias("n_keys"), F.max("event_timestamp").alias("last_ts")))
 
@@ -155,10 +157,29 @@ QUALIFY row_number() OVER (PARTITION BY city ORDER BY event_timestamp DESC) = 1
 """)
 def q_stream_served(spark, sf_dir):
     prepare(spark)
-    _, _, served = _streamed(spark, sf_dir)
+    _, _, served, _ = _streamed(spark, sf_dir)
     return finish(so.read_served(spark, served).select("city", "event_timestamp", "aqi"))
 
 
+# --- A1, A2, A3 after a live run: from the day partials, which each batch advances ---
+@query("status_from_partials", f"""{_STREAMED_SQL.replace('held AS (', 'hobs AS (SELECT city, event_timestamp AS timestamp, aqi, ' + _P + ' FROM stored UNION ALL SELECT city, event_timestamp, aqi, ' + _P + " FROM done WHERE status = 'inserted'), held AS (")},
+{daily_cte('hobs')}, {dense_daily_features_cte()},
+n AS (SELECT city, count(*) AS n_rows, max(timestamp) AS latest_timestamp FROM hobs GROUP BY city),
+u AS (SELECT city, count(*) AS usable_daily_rows FROM dfeat GROUP BY city),
+a AS (SELECT city, sum(aqi) AS aqi_of_days FROM daily GROUP BY city)
+SELECT n.city, n.n_rows, true AS chronological, n.latest_timestamp, CAST(greatest(0, 30 - n.n_rows) AS BIGINT) AS missing_rows,
+       coalesce(u.usable_daily_rows, 0) AS usable_daily_rows, n.n_rows >= 30 AND coalesce(u.usable_daily_rows, 0) >= 15 AS ready,
+       round(a.aqi_of_days, 6) AS aqi_of_days
+FROM n LEFT JOIN u ON n.city = u.city LEFT JOIN a ON n.city = a.city
+""")
+def q_status_from_partials(spark, sf_dir):
+    prepare(spark)
+    *_, path = _streamed(spark, sf_dir)
+    partials = spark.read.parquet(path)
+    days = pt.means(partials).groupBy("city").agg(F.sum("aqi").alias("aqi_of_days"))
+    return finish(pt.status(partials).join(pt.training_status(partials).drop("n_rows"), "city").join(days, "city"), ["aqi_of_days"])
+
+
 # --- W9: latest per key, equal event times resolved by created time ----------
 _REISSUE_SQL = f"""{obs_cte('user')},
 r AS (SELECT city, timestamp AS event_timestamp, timestamp AS created_timestamp, aqi FROM obs
@@ -196,8 +217,8 @@ def q_materialize_latest(spark, sf_dir):
     r = _reissued(spark, sf_dir)
     cut = F.to_timestamp(F.lit(sc.CUT))
     root = scratch_path(spark, "served")
-    so.refresh_served(spark, root, r.where(F.col("created_timestamp") < cut))    # version 0
-    so.refresh_served(spark, root, r.where(F.col("created_timestamp") >= cut))   # version 1
+    so.refresh_served(spark, root, r.where(F.col("created_timestamp") < cut))
+    so.refresh_served(spark, root, r.where(F.col("created_timestamp") >= cut))
     return finish(so.read_served(spark, root))
 
 
@@ -335,16 +356,46 @@ def q_collect_payloads(spark, sf_dir):
     from aerocast.plans.collect import collect
     prepare(spark)
     path = scratch_path(spark, "collect-payloads")
-    b = sc.batch(spark, sf_dir)
+    _land(sc.batch(spark, sf_dir), path)
+    status = collect(spark, path, sc.stored(spark, sf_dir), _supported(spark, sf_dir), multi_line=False)
+    return finish(status.select(*_COLLECTED), ["aqi_rolling_mean"])
+
+
+_COLLECTED = ["city", "event_timestamp", "aqi", "aqi_lag1", "aqi_lag2", "aqi_lag3", "aqi_rolling_mean", "status"]
+
+
+def _supported(spark, sf_dir):
+    return table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "MACHINERY").select(F.col("c_custkey").cast("string").alias("city"))
+
+
+def _land(b, path, broken=None):
+    """The rows of ``b`` as payloads, some once more without components; and lines that are cut short."""
     comp = F.struct(
         F.col("carbon_monoxide").alias("co"), F.col("nitrogen_dioxide").alias("no2"), F.col("ozone").alias("o3"),
         F.col("sulphur_dioxide").alias("so2"), F.col("pm2_5").alias("pm2_5"), F.col("pm10").alias("pm10"))
     when = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp")
-    b.select(when, "city", F.struct(F.array(F.struct(comp.alias("components"))).alias("list")).alias("air_pollution")).write.json(path)
-    # payloads without components
+    b.select(when, "city", F.struct(F.array(F.struct(comp.alias("components"))).alias("list")).alias("air_pollution")).write.mode("append").json(path)
     b.where("city IS NOT NULL AND seq % 11 = 0").select(when, "city").write.mode("append").json(path)
-    ok = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "MACHINERY").select(
-        F.col("c_custkey").cast("string").alias("city"))
-    status = collect(spark, path, sc.stored(spark, sf_dir), ok, multi_line=False)
-    cols = ["city", "event_timestamp", "aqi", "aqi_lag1", "aqi_lag2", "aqi_lag3", "aqi_rolling_mean", "status"]
-    return finish(status.select(*cols), ["aqi_rolling_mean"])
+    if broken is not None:
+        broken.select(F.concat(F.lit('{"city": "'), F.col("city"), F.lit('", "air_poll')).alias("value")).write.mode("append").text(path)
+
+
+# --- C2, S2 as an incremental job: two runs, each reading only what landed since -----------
+@query("collect_incremental", ORACLES["collect_payloads"].rstrip() + """
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'malformed' FROM batch WHERE city IS NOT NULL AND seq % 13 = 0
+""")
+def q_collect_incremental(spark, sf_dir):
+    from aerocast.plans.collect import collect_stream
+    prepare(spark)
+    root = scratch_path(spark, "collect-incremental")
+    landing, store, status = f"{root}/landing", f"{root}/store", f"{root}/status"
+    seed = ft.hourly_feature_rows(sc.stored(spark, sf_dir).withColumnRenamed("event_timestamp", "timestamp"),
+                                  include_targets=False, complete_only=False).withColumnRenamed("timestamp", "event_timestamp")
+    ig.seed_store(seed.select("city", "event_timestamp", F.col("event_timestamp").alias("created_timestamp"), "aqi", *FEATURE_COLUMNS), store)
+    parts = sc.batch_parts(spark, sf_dir)
+    for names in (("fresh", "newcomers", "broken"), ("twins", "replay", "late")):
+        for name in names:
+            _land(parts[name], landing, parts[name].where("city IS NOT NULL AND seq % 13 = 0"))
+        collect_stream(spark, landing, store, status, f"{root}/ckpt", _supported(spark, sf_dir), "2024-02-01 00:00:00", multi_line=False)
+    return finish(spark.read.parquet(status).select(*_COLLECTED), ["aqi_rolling_mean"])

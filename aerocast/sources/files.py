@@ -65,6 +65,26 @@ def read_payloads(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     return spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", multi_line).json(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def stream_payloads(spark: SparkSession, landing: str, multi_line: bool = True, archive: str | None = None,
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """New payload files as a stream, each read once by a checkpointed job.
+
+    Text that is no payload document comes as a row whose ``_corrupt_record``
+    is not null; ``file`` names the source of each row. With ``archive``,
+    files are moved there once their batch is done, so listing stays short.
+    """
+    reader = (spark.readStream.schema(T.StructType([*PAYLOAD_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())]))
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.json(landing).withColumn("file", F.col("_metadata.file_name"))
+
+
 def flatten_payloads(payloads: DataFrame, source: str = "payload") -> DataFrame:
     """One observation row per payload: first reading of the pollution list,
     renamed components, PM2.5-derived AQI, weather fields (absent -> NULL).
@@ -75,6 +95,7 @@ def flatten_payloads(payloads: DataFrame, source: str = "payload") -> DataFrame:
     """
     comp = F.get(F.col("air_pollution.list"), 0).getField("components")
     return payloads.select(
+        *[c for c in ("file", CORRUPT) if c in payloads.columns],
         F.col("city"),
         to_utc_instant("timestamp").alias("timestamp"),
         *[comp.getField(src).alias(dst) for dst, src in COMPONENT_MAP.items()],

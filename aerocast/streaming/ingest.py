@@ -199,8 +199,21 @@ def append_new(spark: SparkSession, store: str, rows: DataFrame) -> None:
 
 def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out: str, checkpoint: str,
                       schema: T.StructType, created_at, max_files_per_trigger: int | None = None,
-                      served: str | None = None, run: str | None = None):
-    """Structured Streaming job: landed files -> statuses, store, served table.
+                      served: str | None = None, run: str | None = None, partials: str | None = None):
+    """Structured Streaming job over landed observation files; see ``ingest_rows``."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return ingest_rows(reader.parquet(landing), store, status_out, checkpoint, created_at, served=served, run=run, partials=partials)
+
+
+def ingest_rows(rows: DataFrame, store: str, status_out: str, checkpoint: str, created_at, *,
+                served: str | None = None, run: str | None = None, partials: str | None = None):
+    """Structured Streaming job: a stream of observations -> statuses, store,
+    served table, day partials.
+
+    Rows whose ``refused`` (where there is such a column) is not null get it
+    as their status and touch nothing else.
 
     A run is named by its checkpoint (or ``run``). Each key's summary lives in
     the state store under the checkpoint; a new checkpoint is seeded once from
@@ -214,11 +227,16 @@ def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out:
 
     Runs as ``availableNow``: everything landed since the last run is one
     micro-batch by default (a scheduled run, as the hourly collector), or
-    ``max_files_per_trigger`` files per batch. Files carry no time order, so
-    a row that reaches a key after a newer row of it was stored is ``late``.
+    ``maxFilesPerTrigger`` files of the source per batch. Files carry no time
+    order, so a row that reaches a key after a newer row of it was stored is
+    ``late``.
     """
+    from aerocast.operators.partials import refresh_days
     from aerocast.operators.store import refresh_served
 
+    spark = rows.sparkSession
+    if "refused" not in rows.columns:
+        rows = rows.withColumn("refused", F.lit(None).cast("string"))
     run = run or hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     seeds = f"{checkpoint.rstrip('/')}-seed"
     if not path_exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
@@ -229,9 +247,11 @@ def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out:
     def per_batch(df: DataFrame, batch_id: int) -> None:
         own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
         both = df.checkpoint()  # the stateful plan runs once per batch
-        rows = both.where("row is not null").select("row.*")
+        landed = both.where("row is not null").select("row.*")
+        refused = landed.where("refused is not null").withColumnRenamed("refused", "status")
         summary = both.where("state is not null").select("state.*")
-        st = ingest_batch(rows, summary, spark.read.parquet(store).where(~own), summary_is_table=True).withColumns(
+        st = ingest_batch(landed.where("refused is null"), summary, spark.read.parquet(store).where(~own), summary_is_table=True)
+        st = st.unionByName(refused, allowMissingColumns=True).withColumns(
             {"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")}).persist()
         new = store_rows(st, created_at)
         append_new(spark, store, new.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")}))
@@ -239,13 +259,11 @@ def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out:
          .partitionBy("run", "batch_id").parquet(status_out))
         if served is not None:
             refresh_served(spark, served, new)
+        if partials is not None:
+            refresh_days(spark, partials, spark.read.parquet(store), new.select(F.to_date(TS).alias(DATE)))
         st.unpersist()
 
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reader.parquet(landing)
-    states = keyed_summaries(rows, spark.readStream.schema(FED).parquet(seeds))
+    states = keyed_summaries(rows.where("refused is null"), spark.readStream.schema(FED).parquet(seeds))
     as_row, as_state = F.struct(*rows.columns).alias("row"), F.struct(*states.columns).alias("state")
     both = rows.select(as_row).unionByName(states.select(as_state), allowMissingColumns=True)
     q = (both.writeStream.foreachBatch(per_batch)
@@ -254,8 +272,9 @@ def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out:
     return q
 
 
-def seed_store(stored: DataFrame, store: str, served: str | None = None) -> None:
-    """Write the initial store and its served table."""
+def seed_store(stored: DataFrame, store: str, served: str | None = None, partials: str | None = None) -> None:
+    """Write the initial store, its served table and its day partials."""
+    from aerocast.operators.partials import day_partials
     from aerocast.operators.store import refresh_served
 
     spark = stored.sparkSession
@@ -263,3 +282,5 @@ def seed_store(stored: DataFrame, store: str, served: str | None = None) -> None
      .write.mode("overwrite").partitionBy(DATE).parquet(store))
     if served is not None:
         refresh_served(spark, served, spark.read.parquet(store).drop("run", "batch_id", DATE))
+    if partials is not None:
+        day_partials(spark.read.parquet(store)).write.mode("overwrite").partitionBy(DATE).parquet(partials)
