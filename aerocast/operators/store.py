@@ -17,7 +17,7 @@ from aerocast.contract import FEATURE_COLUMNS, STORE_KEY
 from aerocast.operators.ordered import latest_per_key, one_per_key
 from aerocast.session import path_exists, shared_root
 
-SERVED_BUCKETS = 64  # of the served table; more where a bucket of keys outgrows a task
+SERVED_BUCKETS = 16  # of the served table; more where a bucket of keys outgrows a task
 BUCKET = "bucket"
 
 
@@ -118,15 +118,16 @@ def read_served(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def refresh_served(spark: SparkSession, root: str, new_rows: DataFrame, key: str = "city",
-                   ts: str = "event_timestamp", created: str = "created_timestamp") -> int:
+                   ts: str = "event_timestamp", created: str = "created_timestamp", buckets: int = SERVED_BUCKETS) -> int:
     """Incremental refresh of the served table; returns the buckets rewritten.
 
     The table is partitioned by a hash bucket of the key. Only the buckets that
     hold a key of ``new_rows`` are read, merged (latest of the bucket and the
     new rows) and swapped by a dynamic partition overwrite; the others are not
-    touched. A refresh that is run again gives the same rows.
+    touched. A refresh that is run again gives the same rows. One table keeps
+    one number of ``buckets``.
     """
-    fresh = latest_rows(new_rows, key, ts, created).withColumn(BUCKET, served_bucket(key))
+    fresh = latest_rows(new_rows, key, ts, created).withColumn(BUCKET, served_bucket(key, buckets))
     shared_root(spark)
     fresh = fresh.checkpoint()  # read twice below
     changed = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # SERVED_BUCKETS numbers at most
@@ -137,6 +138,6 @@ def refresh_served(spark: SparkSession, root: str, new_rows: DataFrame, key: str
         held = spark.read.parquet(root).where(F.col(BUCKET).isin(changed))
         # the merged buckets are complete before the old ones are swapped out
         fresh = materialize(held.select(*fresh.columns), fresh, key, ts, created).checkpoint()
-    (fresh.repartition(len(changed), BUCKET).write.mode("overwrite")
+    (fresh.repartition(BUCKET).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic" if there else "static").partitionBy(BUCKET).parquet(root))
     return len(changed)
