@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_COLUMNS, STORE_KEY
 from aerocast.operators.ordered import latest_per_key, one_per_key
-from aerocast.session import path_exists, shared_root
+from aerocast.session import path_exists
 
 SERVED_BUCKETS = 16  # of the served table; more where a bucket of keys outgrows a task
 BUCKET = "bucket"
@@ -127,17 +127,15 @@ def refresh_served(spark: SparkSession, root: str, new_rows: DataFrame, key: str
     touched. A refresh that is run again gives the same rows. One table keeps
     one number of ``buckets``.
     """
-    fresh = latest_rows(new_rows, key, ts, created).withColumn(BUCKET, served_bucket(key, buckets))
-    shared_root(spark)
-    fresh = fresh.checkpoint()  # read twice below
-    changed = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # SERVED_BUCKETS numbers at most
-    if not changed:
-        return 0
-    there = read_served(spark, root) is not None
-    if there:
-        held = spark.read.parquet(root).where(F.col(BUCKET).isin(changed))
-        # the merged buckets are complete before the old ones are swapped out
-        fresh = materialize(held.select(*fresh.columns), fresh, key, ts, created).checkpoint()
-    (fresh.repartition(BUCKET).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic" if there else "static").partitionBy(BUCKET).parquet(root))
+    fresh = latest_rows(new_rows, key, ts, created).withColumn(BUCKET, served_bucket(key, buckets)).persist()  # read twice
+    changed = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # ``buckets`` numbers at most
+    if changed:
+        out, there = fresh, read_served(spark, root) is not None
+        if there:
+            held = spark.read.parquet(root).where(F.col(BUCKET).isin(changed))
+            out = materialize(held.select(*fresh.columns), fresh, key, ts, created)
+        # a dynamic overwrite swaps the buckets when all of them are written, so they can be read meanwhile
+        (out.repartition(BUCKET).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic" if there else "static").partitionBy(BUCKET).parquet(root))
+    fresh.unpersist()
     return len(changed)

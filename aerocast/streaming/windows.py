@@ -50,7 +50,7 @@ def run_daily_mean_table(spark: SparkSession, landing: str, schema: T.StructType
     shared_root(spark)
 
     def upsert(changed: DataFrame, batch_id: int) -> None:
-        changed = changed.withColumn(DAY, F.to_date(ts)).checkpoint()
+        changed = changed.withColumn(DAY, F.to_date(ts)).checkpoint()  # the stateful plan runs once per batch
         days = sorted(r[0] for r in changed.select(DAY).distinct().collect())
         if not days:
             return
@@ -58,7 +58,7 @@ def run_daily_mean_table(spark: SparkSession, landing: str, schema: T.StructType
         if there:
             held = spark.read.parquet(out).where(F.col(DAY).isin(days)).select(*changed.columns)
             same = held[key].eqNullSafe(changed[key]) & (held[DAY] == changed[DAY])
-            changed = held.join(changed, same, "left_anti").unionByName(changed).checkpoint()
+            changed = held.join(changed, same, "left_anti").unionByName(changed)
         (changed.repartition(DAY).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic" if there else "static").partitionBy(DAY).parquet(out))
 
