@@ -91,3 +91,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs_path(spark, path)
     fs.delete(p, True)
+
+
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """(name, size, modification time) of every file under ``path``: what a reuse of results may be keyed by."""
+    fs, p = _fs_path(spark, path)
+    files, out = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
