@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_COLUMNS, STORE_KEY
+from aerocast.operators.layout import only_keys_of, store_writer
 from aerocast.operators.ordered import latest_per_key, one_per_key
 from aerocast.session import path_exists
 
@@ -52,13 +53,15 @@ def append_once(spark: SparkSession, store_path: str, batch: DataFrame,
         existing = spark.read.parquet(store_path).where(
             (F.col(partition_by) >= F.to_date(F.lit(lo))) & (F.col(partition_by) <= F.to_date(F.lit(hi)))
         ).where(F.col(ts).between(lo, hi))
+        if within is None:  # the batch may be run for its keys
+            existing = only_keys_of(existing, batch, keys[0])
         new = rows_to_insert(existing, batch, keys, order_cols)
     else:
         new = first_per_key(batch, keys, order_cols)
     new = new.withColumn(partition_by, F.to_date(ts)).cache()
     n = new.count()
     if n:
-        new.write.mode("append").partitionBy(partition_by).parquet(store_path)
+        store_writer(new, key=keys[0], ts=ts, day=partition_by).mode("append").parquet(store_path)
     new.unpersist()
     return n
 

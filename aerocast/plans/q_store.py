@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURE_COLUMNS, MIN_HISTORY_ROWS, RAW_FEATURES
 from aerocast.operators import features as ft
+from aerocast.operators import layout as lo
 from aerocast.operators import partials as pt
 from aerocast.operators import store as so
 from aerocast.operators.joins import asof_join
@@ -51,6 +54,15 @@ def q_already_stored(spark, sf_dir):
                   .select("city", "event_timestamp", "seq"))
 
 
+# --- J4, K1 over a stored table: day partitions, row groups by key ------------------
+@query("probe_history", ORACLES["already_stored"])
+def q_probe_history(spark, sf_dir):
+    prepare(spark)
+    path = scratch_path(spark, "history")
+    lo.store_writer(sc.stored(spark, sf_dir).withColumn("event_date", F.to_date("event_timestamp"))).parquet(path)
+    return finish(lo.held_rows(spark.read.parquet(path), sc.batch(spark, sf_dir)).select("city", "event_timestamp", "seq"))
+
+
 # --- F6, R4: not newer than the stored history --------------------------------
 @query("late_rows", f"""
 WITH {sc.SQL},
@@ -254,6 +266,16 @@ def q_online_lookup(spark, sf_dir):
     return finish(out.select("city", "event_timestamp", *FEATURE_COLUMNS), ["aqi_rolling_mean"])
 
 
+# --- J5 on a bucketed, sorted table: the stored side is not shuffled -----------------
+@query("bucketed_lookup", ORACLES["online_lookup"])
+def q_bucketed_lookup(spark, sf_dir):
+    prepare(spark)
+    name = f"served_{uuid.uuid4().hex}"
+    served = lo.write_bucketed(_served(spark, sf_dir), name, scratch_path(spark, name))
+    out = so.online_lookup(_entities(spark, sf_dir), served, columns=["event_timestamp", *FEATURE_COLUMNS])
+    return finish(out.select("city", "event_timestamp", *FEATURE_COLUMNS), ["aqi_rolling_mean"])
+
+
 # --- F5: served vectors with a gap ----------------------------------------------
 @query("online_vector_gaps", f"""
 WITH {_SERVED_SQL}

@@ -33,6 +33,7 @@ from pyspark.sql.streaming.state import GroupState
 from aerocast.contract import FEATURE_COLUMNS, MIN_HISTORY_ROWS, RAW_FEATURES
 from aerocast.functions import calendar_columns
 from aerocast.operators.features import rolling_prev3
+from aerocast.operators.layout import only_keys_of, store_writer
 from aerocast.operators.ordered import last_n_per_key, shifted
 from aerocast.session import path_exists, shared_root
 
@@ -190,11 +191,11 @@ def seed_rows(stored: DataFrame) -> DataFrame:
 
 def append_new(spark: SparkSession, store: str, rows: DataFrame) -> None:
     """Append the rows whose (key, ts) the store doesn't hold; the probe reads
-    only the days of ``rows``."""
+    only the days of ``rows`` and, of those, the row groups of their keys."""
     probe = [KEY, TS, DATE]
     rows = rows.withColumn(DATE, F.to_date(TS))
-    held = rows.select(*probe).join(spark.read.parquet(store).select(*probe), probe, "left_semi")
-    rows.join(held, probe, "left_anti").write.mode("append").partitionBy(DATE).parquet(store)
+    held = rows.select(*probe).join(only_keys_of(spark.read.parquet(store), rows, KEY).select(*probe), probe, "left_semi")
+    store_writer(rows.join(held, probe, "left_anti"), key=KEY, ts=TS, day=DATE).mode("append").parquet(store)
 
 
 def run_ingest_stream(spark: SparkSession, landing: str, store: str, status_out: str, checkpoint: str,
@@ -278,8 +279,8 @@ def seed_store(stored: DataFrame, store: str, served: str | None = None, partial
     from aerocast.operators.store import refresh_served
 
     spark = stored.sparkSession
-    (stored.withColumns({"run": F.lit("seed"), "batch_id": F.lit(-1).cast("long"), DATE: F.to_date(TS)})
-     .write.mode("overwrite").partitionBy(DATE).parquet(store))
+    store_writer(stored.withColumns({"run": F.lit("seed"), "batch_id": F.lit(-1).cast("long"), DATE: F.to_date(TS)}),
+                 key=KEY, ts=TS, day=DATE).mode("overwrite").parquet(store)
     if served is not None:
         refresh_served(spark, served, spark.read.parquet(store).drop("run", "batch_id", DATE))
     if partials is not None:
