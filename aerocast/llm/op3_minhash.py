@@ -61,7 +61,14 @@ FACTOR, ADD = _salt[0] | np.uint64(1), _salt[1]  # the first HASHES for tables,
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """(document index, shingle hash), distinct, sorted by document and hash."""
+    """(document index, shingle hash), distinct, sorted by document and hash; slice by slice, so
+    that many long documents at once need little memory."""
+    found = [(lo, *_sets_of_slice(buf[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], k)) for lo, hi in ta.slices(offsets)]
+    return (np.concatenate([d + lo for lo, d, _ in found] or [np.zeros(0, np.int64)]),
+            np.concatenate([h for *_, h in found] or [np.zeros(0, np.uint64)]))
+
+
+def _sets_of_slice(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     low = LOWER[buf]
     start, end, doc = ta.word_spans(low, offsets)
     words = ta.Prefix(ta.word_codes(low, start, end))

@@ -78,11 +78,11 @@ class Prefix:
 
     def __init__(self, codes: np.ndarray):
         self.c, self.inv = [], []
-        for field, residues in zip(FIELDS, (codes & LOW, codes >> np.uint64(33)), strict=True):
+        for field, residues in zip(FIELDS, (lambda x: x & LOW, lambda x: x >> np.uint64(33)), strict=True):
             c, power = np.zeros(len(codes) + 1, np.uint64), field.powers(field.base, len(codes))
             for lo in range(0, len(codes), BLOCK):  # blocks stay in the processor's cache
                 hi = min(lo + BLOCK, len(codes))
-                np.cumsum(field.fold(residues[lo:hi] * power[lo:hi]), out=c[lo + 1:hi + 1])
+                np.cumsum(field.fold(residues(codes[lo:hi]) * power[lo:hi]), out=c[lo + 1:hi + 1])
                 c[lo + 1:hi + 1] += c[lo]
             self.c.append(c)
             self.inv.append(field.powers(field.inverse, len(codes) + 1))
