@@ -124,7 +124,12 @@ class Bucket:
         run = np.flatnonzero(hot[self.which])
         n = self.high[run] - self.low[run] + 1
         start = np.repeat(self.low[run], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        h = ta.Prefix(ta.CODE[self.buf]).spans(start, start + LENGTH) if len(start) else np.zeros(0, np.uint64)
+        h = np.zeros(len(start), np.uint64)
+        for lo, hi in ta.slices(self.offsets):  # starts ascend, and none crosses a document
+            a, z = self.offsets[lo], self.offsets[hi]
+            i, j = np.searchsorted(start, (a, z))
+            if i < j:
+                h[i:j] = ta.Prefix(ta.CODE[self.buf[a:z]]).spans(start[i:j] - a, start[i:j] - a + LENGTH)
         distinct, first, inverse, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
         return start, distinct, start[first], inverse, count
 
