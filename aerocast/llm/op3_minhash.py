@@ -335,11 +335,13 @@ def near_components(docs: DataFrame) -> DataFrame:
     nodes = written(base.filter("n_shingles > 0").join(sets.select(F.col("node").alias("doc_id"), "s1", "s2", "n_shingles"), ["doc_id", "s1", "s2", "n_shingles"])
                     .dropDuplicates(["doc_id", "s1", "s2"]).select(F.col("version").alias("doc_id"), F.col("doc_id").alias("id"), "sig"), "nodes")
     keys = table_keys(nodes)
-    buckets = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("centre")).filter("size > 1")
+    # nearly all keys are alone: the first shuffle carries the key and its count only
+    buckets = keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     groups = written(keys.join(buckets, "key"), "buckets")
+    centres = groups.groupBy("key").agg(F.min("doc_id").alias("centre"))
     labels = written(groups.select("doc_id").distinct().withColumn("comp", F.col("doc_id")), "labels")
     texts = written(_packed(docs).join(labels.select("doc_id"), "doc_id", "left_semi"), "texts")
-    pairs = groups.filter("centre != doc_id").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
+    pairs = groups.join(centres, "key").filter("centre != doc_id").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
     labels = joined(labels, confirmed(pairs, texts))
     members = written(mixed(groups, labels), "mixed")
     dealt = block_pairs(written(search_groups(members, nodes), "groups"), BLOCK)
