@@ -15,8 +15,8 @@ Status of each arriving row, tested in this order; every row gets one:
 
 Per key the rules need a small summary (stored rows, last time, last 3 rows)
 instead of the history; only rows that could be stored (``ts <= last time``) are
-checked against the store, over the batch's days. The streaming job keeps that
-summary in Spark's state store, one value per key.
+checked against the store, over the batch's days. The streaming job keeps those
+summaries in Spark's state store, one value per hash bucket of keys.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,8 +132,12 @@ def store_rows(status_rows: DataFrame, created_at) -> DataFrame:
 
 
 _TIMES, _VALUES = ("t1", "t2", "t3"), ("v1", "v2", "v3")  # oldest to newest, the last ``k`` of them count
-STATE = "n long, k int, " + ", ".join([*(f"{t} long" for t in _TIMES), *(f"{v} double" for v in _VALUES)])
+SUMMARY = "n long, k int, " + ", ".join([*(f"{t} long" for t in _TIMES), *(f"{v} double" for v in _VALUES)])
+HELD = [KEY, "n", "us", "aqi"]
+STATE = f"{KEY} array<string>, n array<long>, us array<long>, aqi array<double>"
 FED = f"{KEY} string, n long, us long, seq long, aqi double"
+BUCKET = "bucket"
+BUCKET_KEYS, LEAST_BUCKETS = 128, 64  # keys of a state bucket, on average; buckets of a run
 
 
 def newest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,40 +148,51 @@ def newest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield best.groupby(KEY, sort=False).tail(MIN_HISTORY_ROWS)
 
 
-def advance_key(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The summary of a key before the batch; its state moves on past the rows
-    that the rules insert. Rows with ``n`` seed a key that has no state yet."""
+def advance_bucket(bucket: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The summaries before the batch of a bucket's keys in it; the state moves
+    on past the rows that the rules insert. Rows with ``n`` seed a key that has
+    no state yet. The state holds up to three rows of each key with history,
+    oldest first; a key without history inserts nothing and needs none."""
     rows = pd.concat(list(batches))
-    if state.exists:
-        n, k, *flat = state.get
-        times, values = list(flat[3 - k:3]), list(flat[6 - k:6])
-    else:
-        seed = rows[rows["n"] > 0].sort_values("us")
-        n, times, values = int(seed["n"].max()) if len(seed) else 0, seed["us"].tolist(), seed["aqi"].tolist()
-    before = _flat(n, times, values)
-    yield pd.DataFrame([(key[0], *before)], columns=[KEY, "n", "k", *_TIMES, *_VALUES])
-    if n >= MIN_HISTORY_ROWS:  # fail closed: nothing is inserted without history
-        new = rows[(rows["n"] == 0) & (rows["us"] > times[-1])]
-        new = new.sort_values(["us", "seq", "aqi"]).drop_duplicates("us").tail(MIN_HISTORY_ROWS)
-        times, values = (times + new["us"].tolist())[-3:], (values + new["aqi"].tolist())[-3:]
-    state.update(_flat(n, times, values))
-
-
-def _flat(n: int, times: list, values: list) -> tuple:
-    pad = 3 - len(times)
-    return (n, len(times), *[0] * pad, *map(int, times), *[0.0] * pad, *map(float, values))
-
-
-def keyed_summaries(rows: DataFrame, seeds: DataFrame) -> DataFrame:
+    held = pd.DataFrame(dict(zip(HELD, state.get)), columns=HELD) if state.exists else rows.iloc[:0][HELD]
+    held = held.astype({"n": "int64", "us": "int64", "aqi": "float64"})
+    seed = rows[(rows["n"] > 0) & ~rows[KEY].isin(held[KEY])].sort_values([KEY, "us"])
+    if len(seed):
+        seed = seed[HELD].assign(n=seed.groupby(KEY)["n"].transform("max"))
+        held = pd.concat([held, seed]) if len(held) else seed
+    yield _summaries(pd.Index(rows[KEY].unique()), held)
+    ready = held[held["n"] >= MIN_HISTORY_ROWS].groupby(KEY).agg(n=("n", "max"), last=("us", "last"))  # fail closed
+    new = rows[rows["n"] == 0].drop(columns="n").merge(ready, left_on=KEY, right_index=True)
+    new = new[new["us"] > new["last"]].sort_values([KEY, "us", "seq", "aqi"]).drop_duplicates([KEY, "us"])
+    if len(new):
+        held = pd.concat([held, new[HELD]]).groupby(KEY, sort=False).tail(MIN_HISTORY_ROWS)
+    if len(seed) or len(new):
+        state.update(tuple(held[c].tolist() for c in HELD))
+
+
+def _summaries(keys: pd.Index, held: pd.DataFrame) -> pd.DataFrame:
+    """One row of SUMMARY for each of ``keys``; ``held`` has a key's rows oldest first."""
+    mine = held[held[KEY].isin(keys)]
+    at, place = keys.get_indexer(mine[KEY]), 2 - mine.groupby(KEY).cumcount(ascending=False).to_numpy()
+    n, times, values = np.zeros(len(keys), "int64"), np.zeros((len(keys), 3), "int64"), np.zeros((len(keys), 3))
+    n[at], times[at, place], values[at, place] = mine["n"], mine["us"], mine["aqi"]
+    return pd.DataFrame({KEY: keys, "n": n, "k": np.bincount(at, minlength=len(keys)).astype("int32"),
+                         **{c: times[:, i] for i, c in enumerate(_TIMES)}, **{c: values[:, i] for i, c in enumerate(_VALUES)}})
+
+
+def keyed_summaries(rows: DataFrame, seeds: DataFrame, buckets: int) -> DataFrame:
     """Per key of the micro-batch, its summary before it, from the state store.
 
     ``rows`` and ``seeds`` are streams. A key's rows are cut to three per Arrow
-    batch before they are shuffled, so a hot key stays small."""
+    batch before they are shuffled, so a hot key stays small. The state store
+    holds ``buckets`` values, each for the keys of a hash bucket: a call of the
+    stateful function costs the same few milliseconds for one key as for a
+    hundred. A checkpoint keeps one number of buckets."""
     fed = (rows.where(~is_invalid())
            .select(KEY, F.lit(0).cast("long").alias("n"), F.unix_micros(TS).alias("us"), F.col(SEQ).cast("long").alias("seq"),
                    F.col("aqi").cast("double").alias("aqi")).mapInPandas(newest_rows, FED))
-    return (fed.unionByName(seeds).groupBy(KEY)
-            .applyInPandasWithState(advance_key, f"{KEY} string, {STATE}", STATE, "append", "NoTimeout")
+    return (fed.unionByName(seeds).withColumn(BUCKET, F.pmod(F.xxhash64(KEY), F.lit(buckets))).groupBy(BUCKET)
+            .applyInPandasWithState(advance_bucket, f"{KEY} string, {SUMMARY}", STATE, "append", "NoTimeout")
             .select(KEY, F.col("n").alias("n_stored"), F.when(F.col("k") > 0, F.timestamp_micros("t3")).alias("last_ts"),
                     F.slice(F.array(*[F.struct(F.timestamp_micros(t).alias(TS), F.col(v).alias("aqi")) for t, v in zip(_TIMES, _VALUES)]),
                             4 - F.col("k"), F.col("k")).alias("last_rows")))
@@ -218,7 +234,7 @@ def ingest_rows(rows: DataFrame, store: str, status_out: str, checkpoint: str, c
 
     A run is named by its checkpoint (or ``run``). Each key's summary lives in
     the state store under the checkpoint; a new checkpoint is seeded once from
-    the rows that other runs stored. A batch that is run again after a failure
+    the rows that other runs stored, and their number fixes its state buckets. A batch that is run again after a failure
     starts from the state before it and from all rows that other batches and
     runs stored, so it gives the same statuses; files that reach the job again
     through a new checkpoint are ``duplicate``. Store appends skip every (key,
@@ -239,10 +255,13 @@ def ingest_rows(rows: DataFrame, store: str, status_out: str, checkpoint: str, c
     if "refused" not in rows.columns:
         rows = rows.withColumn("refused", F.lit(None).cast("string"))
     run = run or hashlib.md5(checkpoint.encode()).hexdigest()[:12]
-    seeds = f"{checkpoint.rstrip('/')}-seed"
+    seeds, layout = f"{checkpoint.rstrip('/')}-seed", f"{checkpoint.rstrip('/')}-buckets"
     if not path_exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
         others = spark.read.parquet(store).where(F.col("run") != run)
         seed_rows(others).write.mode("overwrite").parquet(seeds)
+        many = spark.read.parquet(seeds).count() // (BUCKET_KEYS * MIN_HISTORY_ROWS)
+        spark.range(1).select(F.lit(max(LEAST_BUCKETS, many)).alias("buckets")).write.mode("overwrite").parquet(layout)
+    buckets = spark.read.parquet(layout).first()["buckets"]
     shared_root(spark)
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
@@ -264,7 +283,7 @@ def ingest_rows(rows: DataFrame, store: str, status_out: str, checkpoint: str, c
             refresh_days(spark, partials, spark.read.parquet(store), new.select(F.to_date(TS).alias(DATE)))
         st.unpersist()
 
-    states = keyed_summaries(rows.where("refused is null"), spark.readStream.schema(FED).parquet(seeds))
+    states = keyed_summaries(rows.where("refused is null"), spark.readStream.schema(FED).parquet(seeds), buckets)
     as_row, as_state = F.struct(*rows.columns).alias("row"), F.struct(*states.columns).alias("state")
     both = rows.select(as_row).unionByName(states.select(as_state), allowMissingColumns=True)
     q = (both.writeStream.foreachBatch(per_batch)

@@ -180,6 +180,21 @@ def test_state_is_fed_few_rows_of_a_hot_key(spark):
     assert sorted(map(tuple, out[["city", "us", "seq"]].values.tolist())) == [("b", 7, 9000), ("hot", 2997, 2997), ("hot", 2998, 2998), ("hot", 2999, 2999)]
 
 
+def test_state_is_kept_by_bucket_of_keys(spark):
+    """The stateful step is called per bucket of keys, not per key; every key keeps its own lags."""
+    root = scratch_path(spark, "stream-buckets")
+    keys = {f"k{i}": 10.0 * i for i in range(400)}
+    _tiny_store(spark, root, [(k, h, h, v + h) for k, v in keys.items() for h in (1, 2, 3)])
+    rows = _tiny(spark, [(k, 4, 1, v) for k, v in keys.items()] + [("new", 4, 1, 1.0)])
+    rows.write.parquet(f"{root}/landing/part=0")
+    q = ig.run_ingest_stream(spark, f"{root}/landing/part=*", f"{root}/store", f"{root}/status", f"{root}/ckpt", rows.schema,
+                             created_at="2024-02-01 00:00:00")
+    held = max(sum(s["numRowsTotal"] for s in p["stateOperators"]) for p in q.recentProgress)
+    assert 0 < held <= 64
+    got = {r.city: (r.status, r.aqi_lag1, r.aqi_lag2, r.aqi_lag3) for r in spark.read.parquet(f"{root}/status").collect()}
+    assert got == {k: ("inserted", v + 3, v + 2, v + 1) for k, v in keys.items()} | {"new": ("no_history", None, None, None)}
+
+
 def test_refresh_served_changes_only_its_buckets(spark):
     import glob
     root = scratch_path(spark, "served")
