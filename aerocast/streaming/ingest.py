@@ -161,8 +161,8 @@ def advance_bucket(bucket: tuple, batches: Iterator[pd.DataFrame], state: GroupS
         seed = seed[HELD].assign(n=seed.groupby(KEY)["n"].transform("max"))
         held = pd.concat([held, seed]) if len(held) else seed
     yield _summaries(pd.Index(rows[KEY].unique()), held)
-    ready = held[held["n"] >= MIN_HISTORY_ROWS].groupby(KEY).agg(n=("n", "max"), last=("us", "last"))  # fail closed
-    new = rows[rows["n"] == 0].drop(columns="n").merge(ready, left_on=KEY, right_index=True)
+    ready = held[held["n"] >= MIN_HISTORY_ROWS].groupby(KEY).agg(n=("n", "max"), last=("us", "last")).reset_index()  # fail closed
+    new = rows[rows["n"] == 0].drop(columns="n").merge(ready, on=KEY)
     new = new[new["us"] > new["last"]].sort_values([KEY, "us", "seq", "aqi"]).drop_duplicates([KEY, "us"])
     if len(new):
         held = pd.concat([held, new[HELD]]).groupby(KEY, sort=False).tail(MIN_HISTORY_ROWS)

@@ -195,6 +195,26 @@ def test_state_is_kept_by_bucket_of_keys(spark):
     assert got == {k: ("inserted", v + 3, v + 2, v + 1) for k, v in keys.items()} | {"new": ("no_history", None, None, None)}
 
 
+def test_a_bucket_without_new_rows_or_without_history():
+    import pandas as pd
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    def step(state, *rows):
+        out = pd.concat(ig.advance_bucket((0,), iter([pd.DataFrame(rows, columns=["city", "n", "us", "seq", "aqi"])]), state))
+        return {r.city: (r.n, r.k, r.t3, r.v3) for r in out.itertuples()}
+
+    state = State()
+    assert step(state, ("new", 0, 5, 1, 1.0)) == {"new": (0, 0, 0, 0.0)}
+    assert step(state, *[("a", 3, us, 0, float(us)) for us in (2, 1, 3)]) == {"a": (3, 3, 3, 3.0)}
+    assert step(state, ("a", 0, 5, 2, 9.0), ("a", 0, 5, 1, 5.0), ("a", 0, 2, 3, 2.0), ("new", 0, 6, 1, 1.0)) == {"a": (3, 3, 3, 3.0), "new": (0, 0, 0, 0.0)}
+    assert state.get == (["a"] * 3, [3] * 3, [2, 3, 5], [2.0, 3.0, 5.0])
+
+
 def test_refresh_served_changes_only_its_buckets(spark):
     import glob
     root = scratch_path(spark, "served")
